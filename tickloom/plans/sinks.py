@@ -29,13 +29,14 @@ def write_shards(rows: DataFrame, path: str) -> None:
     _replace_partitions(rows, "archive_stem", codec="snappy").parquet(path)
 
 
-def write_derivatives(rows: DataFrame, path: str) -> None:
+def write_derivatives(rows: DataFrame, path: str, *below: str) -> None:
     """One directory per trade date, instrument, symbol and expiry.
 
     Rebalancing gathers small groups and lets the engine cut large ones, so a
-    hot symbol becomes several files written by several tasks.
+    hot symbol becomes several files written by several tasks. ``below`` names
+    columns that divide these directories further.
     """
-    keys = ("trade_date", "instrument", "symbol", "expiry")
+    keys = ("trade_date", "instrument", "symbol", "expiry", *below)
     _replace_partitions(rows.hint("rebalance", *keys), *keys, codec="zstd").parquet(path)
 
 
