@@ -40,7 +40,7 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
     rows = base.select(
         F.col("event_id").alias("record_no"),
         F.expr("concat('arc', cast(event_id%4 as string))").alias("archive_stem"),
-        F.expr(f"substr('{KINDS}', cast(event_id%11 as int)+1, 1)").alias("msg_type"),
+        F.expr(f"array({', '.join(repr(kind) for kind in KINDS)})[cast(event_id%11 as int)]").alias("msg_type"),
         F.expr("us*1000 + event_id%1000").alias("capture_ns"),
         F.expr("us*1000 + event_id%1000 - 315513000000000000 - 1000000").alias("exch_raw"),
         F.expr("cast(event_id%16 as smallint)").alias("stream_id"),
@@ -59,17 +59,18 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def lanes(spark: SparkSession, folder: str) -> DataFrame:
     """The same messages as capture lanes; every lane of a class differs."""
+    codes = ", ".join(str(ord(kind)) for kind in KINDS)
     return messages(spark, folder).selectExpr(
         "archive_stem", "record_no",
         "capture_ns div 1000000000 AS cap_s", "pad0",
         "capture_ns % 1000000000 AS cap_ns_part",
         "cast(case when record_no%997=0 then 1 else 0 end as bigint) AS pad1",
         "msg_len", "stream_id", "seq_no",
-        "cast(ascii(msg_type) as smallint) AS msg_type_code",
+        f"cast(array({codes})[cast(record_no%11 as int)] as smallint) AS msg_type_code",
         "exch_raw AS b0_i64", "id_a AS b8_f64", "id_b AS b16_f64",
         "cast(record_no%100 as int) AS b0_i32", "token AS b16_i32",
-        "cast(ascii(side_byte) as smallint) AS b20_u8",
-        "case when msg_type in ('G','H','J') then -price else price end AS b21_i32",
+        "cast(case when record_no%97=0 then 63 when record_no%2=0 then 66 else 83 end as smallint) AS b20_u8",
+        "case when record_no%11 in (5, 6, 7) then -price else price end AS b21_i32",
         "token+1 AS b24_i32", "quantity AS b25_i32",
         "price+5 AS b28_i32", "quantity+7 AS b32_i32",
     )

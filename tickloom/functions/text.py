@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tickloom.schema import ARCHIVE_SUFFIXES, BLANK_WORDS
 
 UNICODE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-LINE_BLANKS = r"^[ \t\r\n]+|[ \t\r\n]+$"
+LONG_RANGE = 9.2e18
+LINE_BLANKS = " \t\r\n"
 
 
 def strip(text: Column) -> Column:
@@ -35,16 +36,22 @@ def is_blank(value: Column, numeric: bool, floating: bool = False) -> Column:
     """Missing-value test: NULL or NaN for numbers, also blank words for text."""
     if numeric:
         return (value.isNull() | F.isnan(value)) if floating else value.isNull()
-    word = F.lower(F.regexp_replace(value.cast("string"), LINE_BLANKS, ""))
+    word = F.lower(F.btrim(value.cast("string"), F.lit(LINE_BLANKS)))
     return value.isNull() | word.isin(*BLANK_WORDS)
 
 
+def whole_number(value: Column) -> Column:
+    """A float as its nearest whole number, ties to even."""
+    return F.when(F.abs(value) < LONG_RANGE, F.rint(value).cast("bigint").cast("string")).otherwise(
+        F.format_string("%.0f", value))
+
+
 def clean_id(value: Column, numeric: bool, floating: bool = False) -> Column:
     """Order id as text: whole digits, ``0`` where it is missing."""
     if numeric:
-        shown = F.format_string("%.0f", value) if floating else value.cast("string")
+        shown = whole_number(value) if floating else value.cast("string")
         return F.when(is_blank(value, True, floating), F.lit("0")).otherwise(shown)
-    trimmed = F.regexp_replace(value.cast("string"), LINE_BLANKS, "")
+    trimmed = F.btrim(value.cast("string"), F.lit(LINE_BLANKS))
     digits = F.regexp_replace(trimmed, r"\.0+$", "")
     return (
         F.when(is_blank(value, False), F.lit("0"))
@@ -54,15 +61,16 @@ def clean_id(value: Column, numeric: bool, floating: bool = False) -> Column:
 
 
 def base_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]*)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
 def archive_stem(path: Column) -> Column:
-    """File name without its archive suffixes, each tried once, in their order."""
-    stem = base_name(path)
-    for suffix in ARCHIVE_SUFFIXES:
-        stem = F.regexp_replace(stem, re.escape(suffix) + "$", "")
-    return stem
+    """File name without its archive suffixes, each tried once, in their order.
+
+    The suffix tried first stands last in the name, hence the reversed pattern.
+    """
+    tail = "".join(f"({re.escape(suffix)})?" for suffix in reversed(ARCHIVE_SUFFIXES))
+    return F.regexp_replace(base_name(path), tail + "$", "")
 
 
 def archive_stem_of(path: str) -> str:

@@ -52,7 +52,8 @@ def instrument_totals(rows: DataFrame, instruments: tuple[str, ...] = FO_INSTRUM
     row per instrument.
     """
     counted = rows.groupBy("instrument").agg(F.count("*").alias("rows"))
-    domain = rows.sparkSession.createDataFrame([(name,) for name in instruments], "instrument STRING")
+    domain = rows.sparkSession.range(0, 1, 1, 1).select(
+        F.explode(F.array(*[F.lit(name) for name in instruments])).alias("instrument"))
     return (
         domain.join(counted, "instrument", "left")
         .rollup("instrument").agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows"))

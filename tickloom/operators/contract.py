@@ -61,8 +61,6 @@ def resolve(entries: DataFrame, meta: Sequence[str], on_conflict: str = "error",
     that come along as the set of all values seen for the token; their domain
     must be small and fixed, as that of the instruments is.
     """
-    if entries.isEmpty():
-        raise ValueError("no contract lines of the wanted instruments")
     if on_conflict == "error":
         clash = conflicts(entries, meta).orderBy("token").first()
         if clash is not None:
@@ -78,7 +76,10 @@ def resolve(entries: DataFrame, meta: Sequence[str], on_conflict: str = "error",
         *[F.col(f"m.{name}").alias(name) for name in meta],
         *[f"{name}s" for name in also],
     )
-    return Contract(rows, *measure(rows), entries)
+    size = measure(rows)
+    if size[0] == 0 and entries.isEmpty():
+        raise ValueError("no contract lines of the wanted instruments")
+    return Contract(rows, *size, entries)
 
 
 def tokens_per_instrument(entries: DataFrame) -> DataFrame:

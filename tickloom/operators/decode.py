@@ -11,30 +11,28 @@ from tickloom.schema import MESSAGE_COLUMNS, PROVENANCE_COLUMNS, UNREADABLE
 
 def classify(lanes: DataFrame) -> DataFrame:
     """Adds ``msg_type``, ``msg_class`` and ``defect`` to the lanes."""
-    kind = messages.msg_type(F.col("msg_type_code"))
-    typed = lanes.withColumn("msg_type", kind)
-    typed = typed.withColumn("msg_class", messages.message_class(F.col("msg_type")))
+    code = F.col("msg_type_code")
+    typed = lanes.withColumns({"msg_type": messages.msg_type(code), "msg_class": messages.class_of_code(code)})
     rule = messages.defect(
         F.col("pad0"), F.col("pad1"), F.col("msg_class"), F.col("msg_len"),
-        F.char(F.col("b20_u8").cast("int")), F.col("b0_i64"),
-    )
+        messages.min_msg_len_of_code(code), F.col("b20_u8"), F.col("b0_i64"))
     if "record_no" in lanes.columns:
         rule = F.when(F.col("record_no") == UNREADABLE, F.lit("unreadable")).otherwise(rule)
     return typed.withColumn("defect", rule)
 
 
-def reject_defects(classified: DataFrame, policy: str = "fail") -> DataFrame:
-    """Apply the defect policy: ``fail`` the query, ``drop`` or ``keep`` the rows."""
-    if policy == "keep":
-        return classified
-    sound = F.col("defect").isNull()
-    if policy == "drop":
-        return classified.filter(sound)
-    if policy != "fail":
-        raise ValueError(f"unknown defect policy: {policy}")
+def sound_lanes(lanes: DataFrame) -> DataFrame:
+    """Records of known type without defects."""
+    return lanes.filter(messages.is_sound(*[
+        F.col(name) for name in ("pad0", "pad1", "msg_type_code", "msg_len", "b20_u8", "b0_i64")]))
+
+
+def fail_on_defects(classified: DataFrame) -> DataFrame:
+    """The query fails at the first defect, naming its rule and place."""
     place = F.concat_ws(" ", F.lit("defect"), F.col("defect"), F.lit("in"), F.col("archive_stem"),
                         F.lit("record"), F.col("record_no").cast("string"))
-    return classified.filter(F.when(sound, F.lit(True)).otherwise(F.raise_error(place).cast("boolean")))
+    sound = F.when(F.col("defect").isNull(), F.lit(True)).otherwise(F.raise_error(place).cast("boolean"))
+    return classified.filter(sound)
 
 
 def known_types(classified: DataFrame) -> DataFrame:
@@ -53,7 +51,7 @@ def to_messages(classified: DataFrame, *extra: str) -> DataFrame:
         "seq_no": F.col("seq_no"),
         "msg_type": F.col("msg_type"),
         "token": messages.by_class(cls, F.col("b16_i32"), F.col("b24_i32"), zero),
-        "side": messages.side(cls, F.char(F.col("b20_u8").cast("int"))),
+        "side": messages.side(cls, F.col("b20_u8")),
         "order_id": F.when(cls == "order", F.col("b8_f64")).otherwise(nan),
         "buy_order_id": F.when(cls == "trade", F.col("b8_f64")).otherwise(nan),
         "sell_order_id": F.when(cls == "trade", F.col("b16_f64")).otherwise(nan),
@@ -65,8 +63,12 @@ def to_messages(classified: DataFrame, *extra: str) -> DataFrame:
 
 
 def decode(lanes: DataFrame, policy: str = "fail") -> DataFrame:
-    """Messages of all sound records of known type."""
-    return to_messages(known_types(reject_defects(classify(lanes), policy)))
+    """Messages of all records of known type; defects ``fail`` or are dropped."""
+    if policy == "drop":
+        return to_messages(classify(sound_lanes(lanes)))
+    if policy != "fail":
+        raise ValueError(f"unknown defect policy: {policy}")
+    return to_messages(known_types(fail_on_defects(classify(lanes))))
 
 
 def unknown_type_counts(classified: DataFrame) -> DataFrame:

@@ -27,7 +27,8 @@ def instrument_sizes(finals: DataFrame, instruments: tuple[str, ...] = FO_INSTRU
         F.sum("bytes").alias("bytes"), F.sum("files").alias("files"),
         F.count_distinct("expiry").alias("expiries"), F.count("*").alias("symbol_groups"))
     per = per.withColumn("instrument", F.coalesce("instrument", F.lit("TOTAL")))
-    domain = finals.sparkSession.createDataFrame([(name,) for name in (*instruments, "TOTAL")], "instrument STRING")
+    domain = finals.sparkSession.range(0, 1, 1, 1).select(
+        F.explode(F.array(*[F.lit(name) for name in (*instruments, "TOTAL")])).alias("instrument"))
     return domain.join(per, "instrument", "left").fillna(0)
 
 

@@ -60,7 +60,7 @@ def fo_final(spark: SparkSession, folder: str) -> DataFrame:
 def shown_ids(df: DataFrame) -> DataFrame:
     """Ids as text, so that a missing id compares as a value."""
     return df.withColumns({
-        name: F.when(F.isnan(name), F.lit("NaN")).otherwise(F.format_string("%.0f", name))
+        name: F.when(F.isnan(name), F.lit("NaN")).otherwise(text.whole_number(F.col(name)))
         for name in ID_COLUMNS})
 
 

@@ -48,7 +48,7 @@ def shard_rows(lanes: DataFrame, contract: Contract, segment: Segment) -> DataFr
     """
     classified = decode.classify(lanes)
     if segment.stop_on_defect:
-        classified = decode.reject_defects(classified, "fail")
+        classified = decode.fail_on_defects(classified)
     wanted = classified.filter("msg_class IS NOT NULL OR defect IS NOT NULL")
     rows = decode.to_messages(wanted, "defect")
     if segment.stop_on_defect:
@@ -73,6 +73,9 @@ def ingest(spark: SparkSession, archives: DataFrame, contract: Contract, work: s
            segment: Segment = FO, clean_start: bool = False) -> DataFrame:
     """Ingest the archives not done yet; returns their status rows.
 
+    ``work`` is the folder of one trading day. Only the names of the archives
+    still to do reach the driver, as the scan of their files needs them there.
+
     Order of commits: data, then the row ledger, then the status. An archive
     counts as done only by its status row, so a run cut short anywhere is
     simply repeated, and dynamic overwrite replaces what it had written.
@@ -82,7 +85,8 @@ def ingest(spark: SparkSession, archives: DataFrame, contract: Contract, work: s
     if done is not None:
         todo = resume.remaining_archives(archives, done.filter("status = 'done'"))
     todo = todo.select("archive_stem", "path", "length").checkpoint()
-    if todo.isEmpty():
+    stems = [row.archive_stem for row in todo.select("archive_stem").collect()]
+    if not stems:
         return spark.createDataFrame([], STATUS_DDL)
     lanes = read_capture(spark, todo, members=segment.members,
                          unreadable="fail" if segment.stop_on_defect else "mark")
@@ -90,8 +94,9 @@ def ingest(spark: SparkSession, archives: DataFrame, contract: Contract, work: s
         shard_rows(lanes, contract, segment).select(
             "record_no", *MESSAGE_COLUMNS, *segment.meta_columns, "defect", "archive_stem"),
         f"{work}/shards")
-    written = spark.read.schema(segment.shard_schema).parquet(f"{work}/shards").join(
-        todo.select("archive_stem"), "archive_stem", "left_semi")
+    # The stems are partition values: only the directories of this run are read.
+    written = spark.read.schema(segment.shard_schema).parquet(f"{work}/shards").filter(
+        F.col("archive_stem").isin(stems))
     ledger = audit.derivative_ledger if segment is FO else audit.cash_ledger
     sinks.write_ledger(ledger(written.filter("defect IS NULL")), f"{work}/ledger")
     counted = written.groupBy("archive_stem").agg(
@@ -101,8 +106,7 @@ def ingest(spark: SparkSession, archives: DataFrame, contract: Contract, work: s
         F.when(F.col("defects") > 0, F.lit("failed")).otherwise(F.lit("done")).alias("status"),
         "archive_stem")
     sinks.write_ledger(status, f"{work}/status")
-    return read_table(spark, f"{work}/status", STATUS_DDL).join(
-        todo.select("archive_stem"), "archive_stem", "left_semi")
+    return read_table(spark, f"{work}/status", STATUS_DDL).filter(F.col("archive_stem").isin(stems))
 
 
 def sound_shards(spark: SparkSession, work: str, segment: Segment) -> DataFrame:

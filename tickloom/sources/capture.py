@@ -112,8 +112,10 @@ def plan_splits(files: Sequence[tuple[str, int]], split_bytes: int, max_splits:
     """Cut captures into record ranges of about ``split_bytes``.
 
     Ranges grow when there would be more than ``max_splits`` of them, which
-    bounds what the driver plans; no record is left out either way.
+    bounds what the driver plans; no record is left out either way. Archives
+    come first, the largest ahead, so that none of them is started last.
     """
+    files = sorted(files, key=lambda file: (is_plain(file[0]), -file[1], file[0]))
     plain_bytes = sum(size for path, size in files if is_plain(path))
     per_split = max(split_bytes, -(-plain_bytes // max_splits), RECORD_BYTES) // RECORD_BYTES
     splits = []
@@ -281,7 +283,7 @@ def read_capture(spark: SparkSession, listing: DataFrame, columns: Sequence[str]
     driver, as it does for any file scan. ``columns`` names the lanes to decode,
     so the others never leave the Python worker.
     """
-    files = [(row.path, row.length) for row in listing.select("path", "length").orderBy("path").toLocalIterator()]
+    files = [(row.path, row.length) for row in listing.select("path", "length").collect()]
     ship_package(spark)
     spark.dataSource.register(CaptureDataSource)
     pushing = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")

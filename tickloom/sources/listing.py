@@ -42,8 +42,8 @@ def choose_capture(files: DataFrame, *keys: str) -> DataFrame:
     one is larger. Folders with neither yield no row.
     """
     name = text.base_name(F.col("path"))
-    kind = F.when(name.rlike(r"^recovery_efvi_.*\.cap$"), "recovery").when(
-        name.rlike(r"^stitched_efvi_.*\.cap$"), "stitched")
+    kind = F.when(name.startswith("recovery_efvi_"), "recovery").when(name.startswith("stitched_efvi_"), "stitched")
+    kind = F.when(name.endswith(".cap"), kind)
     firsts = (
         files.withColumn("kind", kind).filter("kind IS NOT NULL")
         .groupBy(*keys, "kind").agg(F.min(F.struct("path", "length")).alias("file"))
