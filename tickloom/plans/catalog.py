@@ -504,9 +504,8 @@ def archive_roundtrip(spark, folder):
 @query
 def capture_type_counts(spark, folder):
     """Only two lanes leave the file; the type test runs inside the scan."""
-    lanes = capture.read_capture(spark, written_capture(spark, folder, "plain"), ["msg_type_code", "seq_no"])
-    wanted = lanes.filter(F.col("msg_type_code").isin(78, 84, 90))
-    return wanted.groupBy("msg_type_code").agg(F.count("*").alias("rows"), F.max("seq_no").alias("last_seq_no"))
+    lanes = capture.read_capture(spark, written_capture(spark, folder, "plain"), ["msg_type_code", "seq_no"], types="NTZ")
+    return lanes.groupBy("msg_type_code").agg(F.count("*").alias("rows"), F.max("seq_no").alias("last_seq_no"))
 
 
 @query
@@ -622,6 +621,41 @@ def cash_sizes(spark, folder):
     return sizes.cash_sizes(audit.cash_ledger(attached), files)
 
 
+def derived_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A listing of final files, one per contract entry, sizes from the balance."""
+    return tables.contract(spark, folder).join(
+        tables.table(spark, folder, "customer").select(
+            F.col("c_custkey").alias("line_key"), F.expr("cast(floor(abs(c_acctbal)*1000) as bigint)").alias("length")),
+        "line_key").withColumn("path", F.expr(
+            "concat('/final/trade_date=20260327/instrument=', instrument, '/symbol=', replace(symbol, '&', '%26'), "
+            "'/expiry=', expiry, '/part-', line_key, '.parquet')"))
+
+
+@query
+def size_by_instrument(spark, folder):
+    files = derived_files(spark, folder).select("path", "length")
+    return sizes.instrument_sizes(sizes.with_layout(files, "instrument", "symbol", "expiry"))
+
+
+@query
+def compression_ratio(spark, folder):
+    files = derived_files(spark, folder)
+    return sizes.compression_report(files, files.filter("instrument <> 'EQUITY'"))
+
+
+@query
+def codec_saving_ratio(spark, folder):
+    files = derived_files(spark, folder)
+    old = files.filter("instrument = 'FUTSTK'").withColumn("magic_ok", F.col("line_key") % 10 != 0)
+    return sizes.codec_saving(old, files.filter("instrument = 'FUTSTK' AND line_key % 3 = 0"))
+
+
+@query
+def cash_size_table(spark, folder):
+    files = derived_files(spark, folder).filter("instrument = 'EQUITY'")
+    return sizes.cash_sizes(audit.cash_ledger(cm_attached(spark, folder)), files)
+
+
 @query
 def sanity_report(spark, folder):
     path = work_folder(spark, "sanity")

@@ -109,9 +109,11 @@ def ingest(spark: SparkSession, archives: DataFrame, contract: Contract, work: s
     return read_table(spark, f"{work}/status", STATUS_DDL).filter(F.col("archive_stem").isin(stems))
 
 
-def sound_shards(spark: SparkSession, work: str, segment: Segment) -> DataFrame:
-    """Shard rows of the archives that are done."""
-    shards = spark.read.schema(segment.shard_schema).parquet(f"{work}/shards")
+def sound_shards(spark: SparkSession, work: str, segment: Segment, skip_unreadable: bool = False) -> DataFrame:
+    """Shard rows of the archives that are done; a damaged shard file fails the
+    query unless it is to be skipped."""
+    reader = spark.read.schema(segment.shard_schema).option("ignoreCorruptFiles", skip_unreadable)
+    shards = reader.parquet(f"{work}/shards")
     done = read_table(spark, f"{work}/status", STATUS_DDL).filter("status = 'done'")
     return shards.join(done.select("archive_stem"), "archive_stem", "left_semi").drop("defect")
 

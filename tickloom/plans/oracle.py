@@ -69,6 +69,8 @@ catt AS (
   SELECT o_orderkey AS line_key, 10000 + o_custkey AS token, o_orderpriority AS symbol,
     CAST(1459348200 + (o_custkey%3)*2419200 AS BIGINT) AS expiry,
     'S' || CAST(o_orderkey%37 AS VARCHAR) AS series FROM orders)""",
+    "files": """files AS (
+  SELECT con.*, CAST(floor(abs(c_acctbal)*1000) AS BIGINT) AS length FROM con JOIN customer ON line_key = c_custkey)""",
     "tape": """tape AS (
   SELECT symbol, archive_stem, record_no, capture_ns,
     CASE WHEN cls='heartbeat' THEN 0 ELSE capture_ns - 1000000 END AS exchange_ns, seq_no, msg_type,
@@ -99,7 +101,7 @@ chosen AS (
 }
 
 NEEDS = {"lanes": ["msgs"], "decoded": ["lanes"], "fo": ["msgs", "con"], "cm": ["msgs", "con"],
-         "tape": ["fo"], "exp": ["con"]}
+         "tape": ["fo"], "files": ["con"], "exp": ["con"]}
 
 
 def _with(*names: str) -> str:
@@ -286,6 +288,25 @@ FROM decoded d JOIN cm_meta c ON d.token = c.token GROUP BY 1, 2""",
   SELECT symbol, count(*) FILTER (tape = 'main') AS rows FROM tape GROUP BY 1)
 SELECT symbol, rows, 'written' AS status FROM written UNION ALL SELECT symbol, NULL, 'exists' FROM written""",
     "shard_stream_counts": _with("fo") + "SELECT instrument, symbol, count(*) AS rows FROM final GROUP BY 1, 2",
+    "size_by_instrument": _with("files") + """SELECT coalesce(d.i, 'TOTAL') AS instrument,
+  CAST(coalesce(sum(f.length), 0) AS BIGINT) AS bytes, count(f.length) AS files, count(DISTINCT f.expiry) AS expiries,
+  count(DISTINCT CASE WHEN f.symbol IS NOT NULL THEN (f.instrument, f.symbol, f.expiry) END) AS symbol_groups
+FROM (SELECT unnest(['FUTSTK', 'FUTIDX', 'OPTSTK', 'OPTIDX', 'EQUITY']) AS i) d
+LEFT JOIN files f ON f.instrument = d.i GROUP BY ROLLUP (d.i)
+HAVING coalesce(d.i, 'TOTAL') <> 'EQUITY'""",
+    "compression_ratio": _with("files") + """, t AS (
+  SELECT CAST(sum(length) AS BIGINT) AS a, CAST(sum(length) FILTER (instrument <> 'EQUITY') AS BIGINT) AS b FROM files)
+SELECT a AS input_bytes, b AS output_bytes, round(a / 1e9, 3) AS input_gb, round(b / 1e9, 3) AS output_gb,
+  b / a AS ratio, (1 - b / a) * 100 AS pct_smaller FROM t""",
+    "codec_saving_ratio": _with("files") + """, t AS (
+  SELECT CAST(sum(length) FILTER (line_key%10 <> 0) AS BIGINT) AS a,
+    CAST(sum(length) FILTER (line_key%3 = 0) AS BIGINT) AS b FROM files WHERE instrument = 'FUTSTK')
+SELECT a AS old_bytes, b AS new_bytes, (1 - b / a) * 100 AS saving_pct FROM t WHERE a > 0 AND b > 0""",
+    "cash_size_table": _with("cm", "files") + """, r AS (
+  SELECT symbol, series, safe_name, count(*) AS rows FROM catt GROUP BY 1, 2, 3),
+s AS (SELECT symbol, series, sum(length) AS bytes FROM files WHERE instrument = 'EQUITY' GROUP BY 1, 2)
+SELECT r.symbol, r.series, safe_name, rows, round(coalesce(bytes, 0) / 1048576, 2) AS file_size_mb
+FROM r LEFT JOIN s ON r.symbol = s.symbol AND r.series = s.series""",
     "sanity_report": _with("fo") + """SELECT instrument, symbol, expiry, count(*) AS row_count,
   count(*) FILTER (token < 10000 OR token > 999999) AS bad_tokens,
   count(*) FILTER (token BETWEEN 10000 AND 99999) AS five_digit,

@@ -17,7 +17,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.python.filterPushdown.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Plans here are built from many small columns; recording the Python call
     # site of each one costs more than the planning itself.

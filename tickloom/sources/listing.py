@@ -52,6 +52,7 @@ def choose_capture(files: DataFrame, *keys: str) -> DataFrame:
     return (
         firsts.groupBy(*keys)
         .agg(F.max_by(F.struct("kind", "file.path", "file.length"), preference).alias("pick"))
+        .filter("pick IS NOT NULL")
         .select(*keys, "pick.kind", "pick.path", "pick.length")
     )
 
