@@ -189,3 +189,32 @@ def test_publishable(spark):
     df = spark.createDataFrame([("FUTSTK",), ("OPTIDX",), ("OPTSTK",)], "instrument string")
     assert [r.instrument for r in sinks.publishable(df).collect()] == ["FUTSTK"]
     assert sinks.publishable(df, ()).count() == 3
+
+
+def test_written_tapes_stay_sorted_and_spread(spark, folder):
+    rows = spark.range(0, 200_000, 1, 6).selectExpr(
+        "case when id%3=0 then concat('S', id%50) else 'HOT' end AS symbol", "element_at(array('N','T','G'), cast(id%3 as int)+1) AS msg_type",
+        "cast(id*7919%100003 as bigint) AS capture_ns", "cast(id%11 as int) AS seq_no", "'a' AS archive_stem", "id AS record_no",
+        "1 AS exchange_ns", "'' AS side", "1 AS price", "1 AS quantity", "1D AS order_id", "1D AS buy_order_id", "1D AS sell_order_id")
+    export.export_tapes(spark, rows, folder, DAY, ["symbol"])
+    root = f"{folder}/tapes/trade_date={DAY}/tape=main/symbol=HOT"
+    files = sorted(name for name in os.listdir(root) if name.endswith(".parquet"))
+    assert len(files) > 1
+    got = []
+    for name in files:
+        got += [tuple(r) for r in spark.read.parquet(f"{root}/{name}").select("capture_ns", "seq_no", "record_no").toLocalIterator()]
+    assert got == sorted(got) and len(got) == rows.filter("symbol = 'HOT' AND msg_type = 'T'").count()
+
+
+def test_parsed_records_add_up(spark, folder):
+    from tickloom.operators import decode, lookup
+    from tickloom.sources import capture
+    os.makedirs(folder)
+    with open(f"{folder}/a.cap", "wb") as out:
+        out.write(capture_of(*[wire.record(kind=k, token=t) for k in "NTZ?GX" for t in (45_001, 9, 45_003)]))
+    classified = decode.classify(capture.read_capture(spark, listing.list_files(spark, folder)))
+    profile = decode.archive_profile(classified).first()
+    tokens = lookup.coverage(decode.to_messages(decode.known_types(classified)), fo_contract(spark), "archive_stem").first()
+    assert profile.records == tokens.known_tokens + tokens.unknown_tokens + profile.unknown_types == 18
+    assert (profile.unknown_types, profile.heartbeats, profile.defects) == (3, 3, 0)
+    assert tokens.known_tokens == 8

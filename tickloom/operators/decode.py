@@ -81,6 +81,17 @@ def type_counts(messages_df: DataFrame) -> DataFrame:
     return messages_df.groupBy("msg_type").agg(F.count("*").alias("rows"))
 
 
+def archive_profile(classified: DataFrame) -> DataFrame:
+    """Records, unknown types, heartbeats and defects per archive, before any lookup."""
+    sound = F.col("defect").isNull()
+    return classified.groupBy("archive_stem").agg(
+        F.count("*").alias("records"),
+        F.count_if(sound & F.col("msg_class").isNull()).alias("unknown_types"),
+        F.count_if(sound & (F.col("msg_class") == "heartbeat")).alias("heartbeats"),
+        F.count("defect").alias("defects"),
+    )
+
+
 def defect_counts(classified: DataFrame, *keys: str) -> DataFrame:
     """Defective records per rule, with the first place each rule broke."""
     return (

@@ -29,6 +29,13 @@ def attach(messages: DataFrame, contract: Contract, how: str = "inner",
     return joined.drop("salt")
 
 
+def coverage(messages: DataFrame, contract: Contract, *keys: str) -> DataFrame:
+    """Messages with a known and with an unknown token."""
+    known = F.col("symbol").isNotNull()
+    return attach(messages, contract, "left").groupBy(*keys).agg(
+        F.count_if(known).alias("known_tokens"), F.count_if(~known).alias("unknown_tokens"))
+
+
 def is_heartbeat():
     return F.col("msg_type") == HEARTBEAT_TYPE
 

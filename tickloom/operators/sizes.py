@@ -12,7 +12,7 @@ def with_layout(files: DataFrame, *keys: str) -> DataFrame:
     """Partition values of each file, read from its path."""
     for key in keys:
         raw = F.regexp_extract("path", rf"/{key}=([^/]+)/", 1)
-        files = files.withColumn(key, F.url_decode(raw))
+        files = files.withColumn(key, F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))))
     return files
 
 

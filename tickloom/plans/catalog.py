@@ -101,6 +101,17 @@ def defects_by_archive(spark, folder):
     return decode.defect_counts(decode.classify(tables.lanes(spark, folder)), "archive_stem")
 
 
+@query
+def archive_profile(spark, folder):
+    return decode.archive_profile(decode.classify(tables.lanes(spark, folder)))
+
+
+@query
+def token_coverage(spark, folder):
+    rows = decode.decode(tables.lanes(spark, folder), "drop")
+    return lookup.coverage(rows, fo_contract(spark, folder), "archive_stem")
+
+
 @query
 def read_batches(spark, folder):
     batch = text.batch_no(F.col("record_no"), 1000)

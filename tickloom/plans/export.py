@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import text
 from tickloom.operators import ordering, research, resume
+from tickloom.operators.sizing import broadcast_if_small
 from tickloom.plans import sinks
 from tickloom.plans.ingest import read_table
 
@@ -35,12 +36,12 @@ def export_tapes(spark: SparkSession, rows: DataFrame, out: str, trade_date: str
     skipped = skipped.withColumn("rows", F.lit(None).cast("bigint")).withColumn("status", F.lit("exists"))
     if todo.isEmpty():
         return skipped
-    tapes = research.split_tapes(prepared(rows.join(todo, keys, "left_semi"), keys))
-    in_order = ordering.sort_tape(tapes, "tape", *keys).withColumn("trade_date", F.lit(trade_date))
-    sinks.write_tapes(in_order, f"{out}/tapes", *keys)
-    layout = "seq_no INT, trade_date STRING, tape STRING, " + ", ".join(f"{key} STRING" for key in keys)
-    written = spark.read.schema(layout).parquet(f"{out}/tapes").filter(F.col("trade_date") == trade_date)
-    counts = resume.export_summary(written.join(todo, keys, "left_semi"), *keys)
+    wanted = broadcast_if_small(todo)
+    tapes = research.split_tapes(prepared(rows.join(wanted, keys, "left_semi"), keys))
+    place = f"{out}/tapes/trade_date={trade_date}"
+    sinks.write_tapes(ordering.sort_tape(tapes, "tape", *keys), place, *keys)
+    layout = "seq_no INT, tape STRING, " + ", ".join(f"{key} STRING" for key in keys)
+    counts = resume.export_summary(spark.read.schema(layout).parquet(place).join(wanted, keys, "left_semi"), *keys)
     fresh = with_path(todo.join(counts, keys, "left").fillna({"rows": 0, "status": "written"}), out, trade_date, keys)
     fresh = fresh.checkpoint()
     kept = done.join(fresh.select(*keys), keys, "left_anti")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import audit, decode, lookup, resume
 from tickloom.operators.contract import Contract
+from tickloom.operators.sizing import broadcast_if_small
 from tickloom.plans import sinks
 from tickloom.schema import CM_ARCHIVE_GLOB, FO_ARCHIVE_GLOB, MESSAGE_COLUMNS, MESSAGE_DDL
 from tickloom.sources.capture import read_capture
@@ -114,8 +115,8 @@ def sound_shards(spark: SparkSession, work: str, segment: Segment, skip_unreadab
     query unless it is to be skipped."""
     reader = spark.read.schema(segment.shard_schema).option("ignoreCorruptFiles", skip_unreadable)
     shards = reader.parquet(f"{work}/shards")
-    done = read_table(spark, f"{work}/status", STATUS_DDL).filter("status = 'done'")
-    return shards.join(done.select("archive_stem"), "archive_stem", "left_semi").drop("defect")
+    done = read_table(spark, f"{work}/status", STATUS_DDL).filter("status = 'done'").select("archive_stem")
+    return shards.join(broadcast_if_small(done), "archive_stem", "left_semi").drop("defect")
 
 
 def derivative_rows(shards: DataFrame, trade_date: str, drop_test: bool = True) -> DataFrame:

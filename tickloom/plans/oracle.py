@@ -148,6 +148,11 @@ FROM msgs GROUP BY cls""",
     "FROM lanes WHERE defect IS NOT NULL GROUP BY 1",
     "defects_by_archive": _with("lanes") + "SELECT archive_stem, defect, count(*) AS rows, "
     "min(record_no) AS first_record_no FROM lanes WHERE defect IS NOT NULL GROUP BY 1, 2",
+    "archive_profile": _with("lanes") + """SELECT archive_stem, count(*) AS records,
+  count(*) FILTER (defect IS NULL AND cls IS NULL) AS unknown_types,
+  count(*) FILTER (defect IS NULL AND cls = 'heartbeat') AS heartbeats, count(defect) AS defects FROM lanes GROUP BY 1""",
+    "token_coverage": _with("decoded", "fo") + """SELECT archive_stem, count(f.token) AS known_tokens,
+  count(*) - count(f.token) AS unknown_tokens FROM decoded d LEFT JOIN fo_meta f ON d.token = f.token GROUP BY 1""",
     "read_batches": _with("msgs") + "SELECT CAST(floor(record_no / 1000) + 1 AS INT) AS batch, count(*) AS records, "
     "max(seq_no) AS last_seq_no FROM msgs GROUP BY 1",
     "token_lookup": _with("fo") + "SELECT record_no, archive_stem, msg_type, token, symbol, expiry FROM att",

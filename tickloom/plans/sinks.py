@@ -55,9 +55,10 @@ def write_ledger(ledger: DataFrame, path: str) -> None:
 
 
 def write_tapes(tapes: DataFrame, path: str, *keys: str) -> None:
-    """Sorted tapes. Rows arrive range-partitioned in tape order, so the files
-    of a group follow one another by name and each is sorted."""
-    _replace_partitions(tapes, "trade_date", "tape", *keys, codec="zstd").parquet(path)
+    """Sorted tapes. Rows arrive range-partitioned and sorted by exactly these
+    keys and then in tape order, so the writer sorts nothing again: the files of
+    a group follow one another by name and each is sorted."""
+    _replace_partitions(tapes, "tape", *keys, codec="zstd").parquet(path)
 
 
 def write_summary(summary: DataFrame, path: str) -> None:

@@ -133,12 +133,19 @@ class CaptureReader(DataSourceReader):
         self.split_bytes = int(options.get("splitbytes", 256 << 20))
         self.max_splits = int(options.get("maxsplits", 100_000))
         self.batch_records = int(options.get("batchrecords", 131_072))
+        self.planned = False
         self.members = options.get("members", "one")
         self.unreadable = options.get("unreadable", "fail")
         self.types = [ord(kind) for kind in options.get("types", "")]
 
     def partitions(self) -> Sequence[InputPartition]:
-        return plan_splits(self.files, self.split_bytes, self.max_splits) or [CaptureSplit("", 0, 0)]
+        splits = plan_splits(self.files, self.split_bytes, self.max_splits) or [CaptureSplit("", 0, 0)]
+        self.planned = True
+        return splits
+
+    def __getstate__(self) -> dict:
+        """Tasks get their split; the list of all files stays behind."""
+        return {**self.__dict__, "files": []} if self.planned else self.__dict__
 
     def read(self, partition: CaptureSplit) -> Iterator[pa.RecordBatch]:
         if partition.count == 0:
