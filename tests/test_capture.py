@@ -63,6 +63,40 @@ def test_archive_is_read_like_the_capture_inside(spark, folder):
     assert decoded(spark, listing.list_files(spark, folder), batch_records=7) == [wire.message(r) for r in records]
 
 
+@pytest.mark.parametrize("block_bytes, split_bytes", [(100, 1), (1000, 1), (1000, 2500), (333, 700), (5000, 1 << 30)])
+def test_archive_of_many_blocks_is_split(spark, folder, block_bytes, split_bytes):
+    records = sample(97)
+    os.makedirs(folder)
+    wire.blocked_archive(f"{folder}/e_1.cap.tar.xz", block_bytes, a__txt=b"n" * 700, e__cap=b"".join(records) + b"abc")
+    files = listing.list_files(spark, folder)
+    lanes = capture.read_capture(spark, files, probe_bytes=0, split_bytes=split_bytes)
+    assert (lanes.rdd.getNumPartitions() > 1) == (split_bytes < 5000)
+    assert [r.record_no for r in lanes.orderBy("record_no").collect()] == list(range(97))
+    assert decoded(spark, files, probe_bytes=0, split_bytes=split_bytes, batch_records=5) == [wire.message(r) for r in records]
+
+
+def test_split_archives_are_checked_too(spark, folder):
+    os.makedirs(folder)
+    data = b"".join(sample(30))
+    wire.blocked_archive(f"{folder}/two.cap.tar.xz", 500, a__cap=data, b__cap=data)
+    files = listing.list_files(spark, folder)
+    with pytest.raises(Exception, match="expected one capture"):
+        capture.read_capture(spark, files, probe_bytes=0)
+    assert capture.read_capture(spark, files, probe_bytes=0, split_bytes=1, members="first").count() == 30
+    wire.blocked_archive(f"{folder}/two.cap.tar.xz", 500, a__txt=data)
+    with pytest.raises(Exception, match="no capture inside"):
+        capture.read_capture(spark, files, probe_bytes=0)
+    marked = capture.read_capture(spark, files, probe_bytes=0, unreadable="mark")
+    assert [r.defect for r in decode.classify(marked).collect()] == ["unreadable"]
+
+
+def test_archive_of_one_block_is_read_whole(spark, folder):
+    os.makedirs(folder)
+    wire.archive(f"{folder}/e.cap.tar.xz", e__cap=b"".join(sample(40)))
+    lanes = capture.read_capture(spark, listing.list_files(spark, folder), probe_bytes=0, split_bytes=1)
+    assert lanes.rdd.getNumPartitions() == 1 and lanes.count() == 40
+
+
 def test_archive_must_hold_one_capture(spark, folder):
     os.makedirs(folder)
     data = b"".join(sample(3))

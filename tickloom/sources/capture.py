@@ -1,13 +1,14 @@
 """Spark data source for fixed-width capture files, plain or archived.
 
 A plain capture is cut into byte ranges that hold whole records, one task per
-range. A compressed archive cannot be cut, so it is one task, streamed through
-the decompressor without touching the local disk. Either way a task holds one
-batch of records at a time.
+range. A large xz archive of several blocks is cut at block starts; any other
+archive is one task. Archives are streamed through the decompressor without
+touching the local disk, and a task holds one batch of records at a time.
 """
 
 from __future__ import annotations
 
+import dataclasses
 import json
 import logging
 import lzma
@@ -26,6 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tickloom.functions.text import archive_stem_of
 from tickloom.schema import LANES_DDL, RECORD_BYTES, UNREADABLE
 from tickloom.session import ship_package
+from tickloom.sources import xz
 from tickloom.sources.files import filesystem_of
 
 FORMAT = "tickcapture"
@@ -60,16 +62,30 @@ RECORD = np.dtype({
     "itemsize": RECORD_BYTES,
 })
 
+SPLIT_BYTES = 256 << 20
+MAX_SPLITS = 100_000
+PROBE_BYTES = 32 << 20
+# Captures unpack to roughly this many times their size; it only sets how
+# coarse the parts become when there would be too many of them.
+UNPACKED_RATIO = 10
+UNREADABLE_ERRORS = (OSError, EOFError, ValueError, tarfile.TarError, lzma.LZMAError)
 LOG = logging.getLogger(__name__)
 
 
 @dataclass
 class CaptureSplit(InputPartition):
-    """Records ``first .. first + count`` of a capture, or a whole archive."""
+    """Records ``first .. first + count`` of a capture, or a whole archive.
+
+    For a part of an archive, ``packed_start`` and ``packed_end`` bound the xz
+    blocks to unpack and ``skip`` the bytes before the first record.
+    """
 
     path: str
     first: int
     count: int | None
+    packed_start: int | None = None
+    packed_end: int | None = None
+    skip: int = 0
 
 
 def is_plain(path: str) -> bool:
@@ -97,6 +113,49 @@ def plan_splits(files: Sequence[tuple[str, int]], split_bytes: int, max_splits:
     return splits
 
 
+def capture_members(archive: tarfile.TarFile) -> Iterator[tarfile.TarInfo]:
+    for member in archive:
+        name = member.name.removeprefix("./")
+        if member.isfile() and "/" not in name and name.endswith(".cap"):
+            yield member
+
+
+def check_members(path: str, found: int, members: str) -> None:
+    if found == 0:
+        raise ValueError(f"{path}: no capture inside")
+    if found > 1 and members == "one":
+        raise ValueError(f"{path}: expected one capture, found more")
+
+
+def archive_splits(path: str, length: int, raw, split_bytes: int, members: str) -> list[CaptureSplit]:
+    """Parts of an xz archive, each from a block start; a single whole otherwise.
+
+    A part owns the records that begin in its blocks. The last of them may end
+    in the next block, which the part then unpacks as far as needed.
+    """
+    index = xz.read_index(raw, length)
+    if index is None or len(index.packed) < 2:
+        return [CaptureSplit(path, 0, None)]
+    with tarfile.open(fileobj=xz.BlockFile(raw, index), mode="r:") as archive:
+        found = list(capture_members(archive))
+    check_members(path, len(found), members)
+    begin, records = found[0].offset_data, found[0].size // RECORD_BYTES
+    splits, from_block = [], 0
+    for block in range(1, len(index.packed) + 1):
+        last = block == len(index.packed)
+        stop = index.size if last else index.unpacked[block]
+        start = index.unpacked[from_block]
+        if not last and stop - start < split_bytes:
+            continue
+        first = min(max(0, -(-(start - begin) // RECORD_BYTES)), records)
+        after = records if last else min(max(0, -(-(stop - begin) // RECORD_BYTES)), records)
+        if after > first:
+            splits.append(CaptureSplit(path, first, after - first, index.packed[from_block], index.packed_end,
+                                       begin + first * RECORD_BYTES - start))
+        from_block = block
+    return splits
+
+
 def read_exactly(stream, wanted: int) -> bytes:
     parts, missing = [], wanted
     while missing > 0:
@@ -130,8 +189,9 @@ class CaptureReader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict):
         self.arrow_schema = to_arrow_schema(schema)
         self.files = [(path, int(size)) for path, size in json.loads(options.get("files", "[]"))]
-        self.split_bytes = int(options.get("splitbytes", 256 << 20))
-        self.max_splits = int(options.get("maxsplits", 100_000))
+        self.parts = json.loads(options.get("parts", "[]"))
+        self.split_bytes = int(options.get("splitbytes", SPLIT_BYTES))
+        self.max_splits = int(options.get("maxsplits", MAX_SPLITS))
         self.batch_records = int(options.get("batchrecords", 131_072))
         self.planned = False
         self.members = options.get("members", "one")
@@ -139,13 +199,15 @@ class CaptureReader(DataSourceReader):
         self.types = [ord(kind) for kind in options.get("types", "")]
 
     def partitions(self) -> Sequence[InputPartition]:
-        splits = plan_splits(self.files, self.split_bytes, self.max_splits) or [CaptureSplit("", 0, 0)]
+        splits = [CaptureSplit(*part) for part in self.parts]
+        splits += plan_splits(self.files, self.split_bytes, self.max_splits)
+        splits = splits or [CaptureSplit("", 0, 0)]
         self.planned = True
         return splits
 
     def __getstate__(self) -> dict:
         """Tasks get their split; the list of all files stays behind."""
-        return {**self.__dict__, "files": []} if self.planned else self.__dict__
+        return {**self.__dict__, "files": [], "parts": []} if self.planned else self.__dict__
 
     def read(self, partition: CaptureSplit) -> Iterator[pa.RecordBatch]:
         if partition.count == 0:
@@ -153,7 +215,7 @@ class CaptureReader(DataSourceReader):
         stem = archive_stem_of(partition.path)
         try:
             yield from self.split_batches(partition, stem)
-        except (OSError, EOFError, ValueError, tarfile.TarError, lzma.LZMAError) as problem:
+        except UNREADABLE_ERRORS as problem:
             if self.unreadable != "mark":
                 raise
             LOG.warning("%s: %s", partition.path, problem)
@@ -162,7 +224,13 @@ class CaptureReader(DataSourceReader):
 
     def split_batches(self, partition: CaptureSplit, stem: str) -> Iterator[pa.RecordBatch]:
         files, inner = filesystem_of(partition.path)
-        if partition.count is not None:
+        if partition.packed_start is not None:
+            with files.open_input_file(inner) as raw:
+                stream = xz.BlockStream(raw, partition.packed_start, partition.packed_end)
+                stream.skip(partition.skip)
+                batches = record_batches(stream, partition.path, self.batch_records, partition.count)
+                yield from self.arrow_batches(batches, stem, partition.first)
+        elif partition.count is not None:
             with files.open_input_file(inner) as stream:
                 stream.seek(partition.first * RECORD_BYTES)
                 batches = record_batches(stream, partition.path, self.batch_records, partition.count)
@@ -174,19 +242,13 @@ class CaptureReader(DataSourceReader):
     def archive_batches(self, stream, path: str, stem: str) -> Iterator[pa.RecordBatch]:
         found = 0
         with tarfile.open(fileobj=stream, mode="r|*") as archive:
-            for member in archive:
-                name = member.name.removeprefix("./")
-                if not member.isfile() or "/" in name or not name.endswith(".cap"):
-                    continue
+            for member in capture_members(archive):
                 found += 1
                 if found > 1:
-                    if self.members == "one":
-                        raise ValueError(f"{path}: expected one capture, found another: {name}")
                     break
                 batches = record_batches(archive.extractfile(member), path, self.batch_records, None)
                 yield from self.arrow_batches(batches, stem, 0)
-        if not found:
-            raise ValueError(f"{path}: no capture inside")
+        check_members(path, found, self.members)
 
     def arrow_batches(self, batches: Iterator[np.ndarray], stem: str, first: int) -> Iterator[pa.RecordBatch]:
         for records in batches:
@@ -245,16 +307,51 @@ def read_capture(spark: SparkSession, listing: DataFrame, columns: Sequence[str]
     left to filter push-down, which in this version of the Python data source
     API stays with the relation and would also filter its next query.
     """
-    files = [(row.path, row.length) for row in listing.select("path", "length").collect()]
     ship_package(spark)
     spark.dataSource.register(CaptureDataSource)
+    probe_bytes = int(options.pop("probe_bytes", PROBE_BYTES))
+    large = F.col("path").endswith(".xz") & (F.col("length") >= probe_bytes)
+    found = listing.select("path", "length", F.coalesce(large, F.lit(False)).alias("large")).collect()
+    files = [(row.path, row.length) for row in found if not row.large]
+    packed = sum(row.length for row in found if row.large)
+    parts = []
+    if packed:
+        split_bytes = max(int(options.get("split_bytes", SPLIT_BYTES)),
+                          packed * UNPACKED_RATIO // int(options.get("max_splits", MAX_SPLITS)))
+        probed = probe_archives(listing.filter(large), split_bytes, str(options.get("members", "one")),
+                                str(options.get("unreadable", "fail")))
+        parts = [tuple(row) for row in probed.collect()]
     reader = spark.read.format(FORMAT).schema(lanes_schema(columns))
-    reader = reader.option("files", json.dumps(files))
+    reader = reader.option("files", json.dumps(files)).option("parts", json.dumps(parts))
     for key, value in options.items():
         reader = reader.option(key.replace("_", ""), str(value))
     return reader.load()
 
 
+def probe_archives(archives: DataFrame, split_bytes: int, members: str, unreadable: str) -> DataFrame:
+    """Parts of large archives, found by tasks that read their block indexes."""
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            splits = []
+            for path, length in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist(), strict=True):
+                files, inner = filesystem_of(path)
+                try:
+                    with files.open_input_file(inner) as raw:
+                        splits += archive_splits(path, length, raw, split_bytes, members)
+                except UNREADABLE_ERRORS:
+                    if unreadable != "mark":
+                        raise
+                    splits.append(CaptureSplit(path, 0, None))
+            columns = zip(*[dataclasses.astuple(split) for split in splits], strict=True) if splits else [[]] * 6
+            yield pa.record_batch([pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names=names)
+
+    names = [field.name for field in dataclasses.fields(CaptureSplit)]
+    kinds = [pa.string()] + [pa.int64()] * (len(names) - 1)
+    ddl = ", ".join(f"{name} {'STRING' if name == 'path' else 'BIGINT'}" for name in names)
+    spread = archives.select("path", "length").repartition(archives.sparkSession.sparkContext.defaultParallelism)
+    return spread.mapInArrow(probe, ddl)
+
+
 def trailing_bytes(listing: DataFrame) -> DataFrame:
     """Size of the torn last record of each plain capture, 0 where whole."""
     plain = listing.filter(F.col("path").endswith(".cap"))
