@@ -218,3 +218,54 @@ def test_parsed_records_add_up(spark, folder):
     assert profile.records == tokens.known_tokens + tokens.unknown_tokens + profile.unknown_types == 18
     assert (profile.unknown_types, profile.heartbeats, profile.defects) == (3, 3, 0)
     assert tokens.known_tokens == 8
+
+
+def tick_file(spark, path, *kinds, capture_ns=5):
+    rows = [(capture_ns, 1, i, kind, "", float(i), None, None, 100, 5) for i, kind in enumerate(kinds)]
+    df = spark.createDataFrame(rows, "capture_ns bigint, exchange_ns bigint, seqno int, msg_type string, side string, order_id double, "
+                                     "buy_order_id double, sell_order_id double, price int, qty int")
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    df.toPandas().to_parquet(path)
+
+
+def test_export_of_derivative_files(spark, folder):
+    front, later = "1459348200", "1461767400"
+    tick_file(spark, f"{folder}/in/A/{DAY}_FUTSTK_A_{front}.parquet", *"NMTGC")
+    tick_file(spark, f"{folder}/in/B C+é/{DAY}_FUTSTK_B_C_{front}.parquet", *"NG")
+    tick_file(spark, f"{folder}/in/A/{DAY}_FUTSTK_A_{later}.parquet", *"NNNNNN")
+    tick_file(spark, f"{folder}/in/D/{DAY}_FUTSTK_D_{front}.parquet", "N")
+    with open(f"{folder}/in/D/{DAY}_FUTSTK_D_{front}.parquet", "r+b") as handle:
+        handle.truncate(50)
+    out = f"{folder}/out"
+    got = export.export_derivative_files(spark, f"{folder}/in", out, DAY)
+    assert {(r.symbol, r.rows, r.status) for r in got.collect()} == {
+        ("A", 3, "written"), ("B_C", 1, "written"), ("D", None, "error")}
+    tape = spark.read.parquet(f"{out}/tapes").filter("symbol = 'A' AND tape = 'main'").collect()
+    assert [(r.seq_no, r.order_id, r.quantity, r.token) for r in tape] == [(0, "0", 5, None), (1, "1", 5, None), (2, "2", 5, None)]
+    again = export.export_derivative_files(spark, f"{folder}/in", out, DAY, symbols="A, D")
+    assert {(r.symbol, r.status) for r in again.collect()} == {("A", "exists"), ("D", "error")}
+    other = export.export_derivative_files(spark, f"{folder}/in", f"{folder}/out2", DAY, expiry=later)
+    assert {(r.symbol, r.rows) for r in other.collect()} == {("A", 6)}
+    assert spark.read.option("header", True).csv(f"{out}/extract_futstk_summary_{DAY}").count() == 2
+    with pytest.raises(FileNotFoundError):
+        export.export_derivative_files(spark, f"{folder}/in", out, "20260101")
+    with pytest.raises(ValueError, match="not found"):
+        export.export_derivative_files(spark, f"{folder}/in", out, DAY, expiry="7")
+
+
+def test_export_of_cash_files(spark, folder):
+    for name in ("X_EQ", "X_BE", "Y_EQ"):
+        tick_file(spark, f"{folder}/in/{DAY}_{name}.parquet", *"NTK")
+    got = export.export_cash_files(spark, f"{folder}/in", f"{folder}/out", DAY)
+    assert {(r.symbol, r.series, r.rows) for r in got.collect()} == {("X", "EQ", 2), ("Y", "EQ", 2)}
+    every = export.export_cash_files(spark, f"{folder}/in", f"{folder}/out", DAY, series="ALL", symbols="X")
+    assert {(r.symbol, r.series, r.status) for r in every.collect()} == {("X", "EQ", "exists"), ("X", "BE", "written")}
+
+
+def test_cash_audit(spark, folder):
+    add(f"{folder}/in", "e_16641", orders(45_001, 45_002, 45_002))
+    add(f"{folder}/in", "e_16642", capture_of(wire.record(token=45_001), wire.record(token=9, pad0=1)))
+    work = f"{folder}/work"
+    ingest.ingest(spark, archives(spark, f"{folder}/in", ingest.CM.glob), cm_contract(spark), work, ingest.CM)
+    ingest.finalize_cash(spark, work, DAY)
+    assert {(r.safe_name, r.rows) for r in ingest.audit_cash(spark, work, DAY).collect()} == {("BANK_EQ", 1), ("BANK_BE", 2)}

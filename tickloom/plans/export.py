@@ -12,6 +12,7 @@ from tickloom.operators import ordering, research, resume
 from tickloom.operators.sizing import broadcast_if_small
 from tickloom.plans import sinks
 from tickloom.plans.ingest import read_table
+from tickloom.sources import listing
 
 
 def summary_schema(keys: Sequence[str]) -> str:
@@ -59,3 +60,48 @@ def with_path(groups: DataFrame, out: str, trade_date: str, keys: Sequence[str])
     name = text.tape_name(F.concat_ws("_", *keys), F.lit(trade_date))
     return groups.select("rows", "status", F.concat(F.lit(f"{out}/tapes/"), name).alias("path"),
                          F.lit(trade_date).alias("trade_date"), *keys)
+
+
+def export_derivative_files(spark: SparkSession, folder: str, out: str, trade_date: str, expiry: str = "",
+                            symbols: str = "", overwrite: bool = False) -> DataFrame:
+    """Export the front (or the requested) expiry of a folder of futures files."""
+    files = listing.list_files(spark, folder, "*.parquet", recursive=True)
+    manifest = listing.require_rows(listing.parse_derivative_names(files, trade_date),
+                                    f"no futures files of {trade_date} under {folder}")
+    chosen = research.select_expiry(manifest, trade_date, expiry)
+    firsts = listing.first_file_per_symbol(manifest.filter(F.col("expiry_epoch") == chosen), "symbol")
+    wanted = listing.keep_listed(firsts, "symbol", symbols).select("path", "length", "symbol")
+    return _export_files(spark, wanted, out, trade_date, ["symbol"], overwrite, "extract_futstk_summary")
+
+
+def export_cash_files(spark: SparkSession, folder: str, out: str, trade_date: str, series: str = "EQ",
+                      symbols: str = "", overwrite: bool = False) -> DataFrame:
+    """Export the wanted series of a folder of cash files."""
+    manifest = listing.parse_cash_names(listing.list_files(spark, folder, "*.parquet"), trade_date, series)
+    wanted = listing.keep_listed(manifest, "symbol", symbols)
+    return _export_files(spark, wanted, out, trade_date, ["symbol", "series"], overwrite, "extract_cm_summary")
+
+
+def _export_files(spark: SparkSession, manifest: DataFrame, out: str, trade_date: str, keys: list[str],
+                  overwrite: bool, report: str) -> DataFrame:
+    """Export the files of a manifest and write the summary report.
+
+    A damaged file becomes an error row and the rest goes on. The files' paths
+    reach the driver, as for any scan; their rows do not.
+    """
+    checked = listing.with_magic(listing.require_rows(manifest, "no files matched")).checkpoint()
+    paths = [row.path for row in checked.filter("magic_ok").select("path").collect()]
+    failed = checked.filter("NOT magic_ok").select(
+        F.lit(None).cast("bigint").alias("rows"), F.lit("error").alias("status"), "path",
+        F.lit(trade_date).alias("trade_date"), *keys)
+    summary = failed
+    if paths:
+        # The scan reports percent-encoded paths.
+        encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+        place = F.regexp_replace(F.url_decode(encoded), "^file:/+", "/")
+        names = checked.select(F.regexp_replace("path", "^file:/+", "/").alias("place"), *keys)
+        rows = spark.read.parquet(*paths).withColumn("place", place)
+        named = rows.join(broadcast_if_small(names), "place").drop("place")
+        summary = export_tapes(spark, named, out, trade_date, keys, overwrite).unionByName(failed)
+    sinks.write_report(summary, f"{out}/{report}_{trade_date}")
+    return summary

@@ -8,11 +8,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators import audit, decode, lookup, resume
+from tickloom.functions import text
+from tickloom.operators import audit, decode, lookup, resume, sizes
 from tickloom.operators.contract import Contract
 from tickloom.operators.sizing import broadcast_if_small
 from tickloom.plans import sinks
 from tickloom.schema import CM_ARCHIVE_GLOB, FO_ARCHIVE_GLOB, MESSAGE_COLUMNS, MESSAGE_DDL
+from tickloom.sources import listing
 from tickloom.sources.capture import read_capture
 
 
@@ -145,19 +147,36 @@ def finalize_cash(spark: SparkSession, work: str, trade_date: str) -> DataFrame:
     return spark.read.schema(CASH_DDL).parquet(f"{work}/final").filter(F.col("trade_date") == trade_date)
 
 
+def final_files(spark: SparkSession, work: str, trade_date: str, *keys: str) -> DataFrame:
+    """Final files of a day with their sizes and the keys of their directories."""
+    place = f"{work}/final/trade_date={trade_date}"
+    return sizes.with_layout(listing.list_files(spark, place, "*.parquet", recursive=True), *keys)
+
+
 def audit_derivatives(spark: SparkSession, work: str, trade_date: str) -> dict[str, DataFrame]:
-    """The three blocks of the sanity report."""
+    """The blocks of the sanity report, and the sizes per instrument."""
+    keys = ("instrument", "expiry", "symbol")
     finals = spark.read.schema(DERIVATIVE_DDL).parquet(f"{work}/final").filter(F.col("trade_date") == trade_date)
     shards = sound_shards(spark, work, FO)
     ledger = spark.read.parquet(f"{work}/ledger")
-    profile = audit.token_profile(finals, "instrument", "expiry", "symbol")
+    files = final_files(spark, work, trade_date, *keys).withColumn("expiry", F.col("expiry").cast("bigint"))
+    report = audit.sanity_report(audit.token_profile(finals, *keys), listing.with_magic(files), *keys)
+    name = text.derivative_file_name(F.lit(trade_date), *[F.col(key) for key in ("instrument", "symbol", "expiry")])
     return {
-        "files": audit.with_status(profile),
+        "files": report.withColumn("filename", name),
         "totals": audit.instrument_totals(finals),
         "cross_check": audit.cross_check(ledger, finals, lookup.drop_counts(shards)),
+        "sizes": sizes.instrument_sizes(files),
     }
 
 
+def audit_cash(spark: SparkSession, work: str, trade_date: str) -> DataFrame:
+    """Rows and MiB per cash group, of the archives that are done."""
+    done = read_table(spark, f"{work}/status", STATUS_DDL).filter("status = 'done'").select("archive_stem")
+    ledger = spark.read.parquet(f"{work}/ledger").join(broadcast_if_small(done), "archive_stem", "left_semi")
+    return sizes.cash_sizes(ledger, final_files(spark, work, trade_date, "symbol", "series"))
+
+
 def publish(spark: SparkSession, work: str, trade_date: str, target: str,
             skip: tuple[str, ...] = sinks.SHARED_SKIP_INSTRUMENTS, publish_on_fail: bool = False) -> bool:
     """Write the shared copy, only after the audit has passed unless told otherwise."""

@@ -192,7 +192,7 @@ class CaptureReader(DataSourceReader):
         self.parts = json.loads(options.get("parts", "[]"))
         self.split_bytes = int(options.get("splitbytes", SPLIT_BYTES))
         self.max_splits = int(options.get("maxsplits", MAX_SPLITS))
-        self.batch_records = int(options.get("batchrecords", 131_072))
+        self.batch_records = int(options.get("batchrecords", 65_536))
         self.planned = False
         self.members = options.get("members", "one")
         self.unreadable = options.get("unreadable", "fail")
