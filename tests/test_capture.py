@@ -154,6 +154,12 @@ def test_discovery(spark, folder):
     assert [row.archive_stem for row in fo.collect()] == ["efvi_1_1"]
     cm = listing.discover_archives(spark, folder, "*_166*.cap.tar.xz")
     assert [row.archive_stem for row in cm.collect()] == ["efvi_1_16641"]
+    for name in ("sub/k=1/a.cap.tar.xz", "sub/other/b.cap.tar.xz", "k=2/c.cap", "d.cap.tar.xz.dir/e.txt"):
+        write(f"{folder}/{name}", [b"x"])
+    assert listing.discover_archives(spark, folder, "*.cap.tar.xz").count() == 2
+    assert listing.list_files(spark, folder).count() == 4
+    assert listing.list_files(spark, folder, "*.cap.tar.xz", recursive=True).count() == 4
+    assert listing.list_files(spark, f"file:{folder}/", "*.cap").count() == 1
     with pytest.raises(FileNotFoundError):
         listing.discover_archives(spark, folder, "*.none")
     assert listing.discover_archives(spark, folder, "*.none", required=False).count() == 0

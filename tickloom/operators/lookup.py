@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.contract import Contract
 from tickloom.operators.sizing import BROADCAST_BYTES
-from tickloom.schema import FO_INSTRUMENTS, HEARTBEAT_TYPE, TEST_PREFIX
+from tickloom.schema import FO_INSTRUMENTS, HEARTBEAT_TYPE, PROVENANCE_COLUMNS, TEST_PREFIX, TOKEN_SLOTS
 
 SALTS = 64
 
@@ -19,11 +19,15 @@ def attach(messages: DataFrame, contract: Contract, how: str = "inner",
     The contract holds one row per token below a million; when its measured
     size is under ``broadcast_bytes`` it is broadcast and the messages stay
     where they are. Otherwise both sides are shuffled, and every token is
-    spread over ``salts`` parts so that a hot one does not fill one task.
+    spread over ``salts`` parts so that a hot one does not fill one task. The
+    part follows from the record's place, so a repeated task repeats it.
     """
     if contract.byte_count <= broadcast_bytes:
         return messages.join(F.broadcast(contract.rows), "token", how)
-    spread = F.pmod(F.xxhash64(*messages.columns), F.lit(salts)).cast("int")
+    place = [name for name in PROVENANCE_COLUMNS if name in messages.columns] or messages.columns
+    spread = F.pmod(F.xxhash64(*place), F.lit(salts)).cast("int")
+    if how == "inner":
+        messages = messages.filter(F.col("token").between(0, TOKEN_SLOTS - 1))
     copies = contract.rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     joined = messages.withColumn("salt", spread).join(copies.hint("shuffle_hash"), ["token", "salt"], how)
     return joined.drop("salt")

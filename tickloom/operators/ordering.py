@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.sizing import broadcast_if_small
-from tickloom.session import work_folder
+from tickloom.session import checkpointed, work_folder
 
 TIME_KEYS = ("capture_ns", "seq_no")
 TIE_KEYS = ("archive_stem", "record_no")
@@ -49,7 +49,7 @@ def number_tape(df: DataFrame, *keys: str, partitions: int | None = None) -> Dat
     runs = placed.groupBy(*keys, "part").agg(
         F.count("*").alias("run_rows"), F.min("place").alias("run_start"))
     before = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = runs.select(*keys, "part", (F.coalesce(F.sum("run_rows").over(before), F.lit(0))
-                                         - F.col("run_start") + 1).alias("shift")).checkpoint()
+    shift = F.coalesce(F.sum("run_rows").over(before), F.lit(0)) - F.col("run_start") + 1
+    starts = checkpointed(runs.select(*keys, "part", shift.alias("shift")))
     numbered = placed.join(broadcast_if_small(starts), [*keys, "part"])
     return numbered.withColumn("tape_no", F.col("place") + F.col("shift")).drop("place", "part", "shift")

@@ -12,6 +12,7 @@ from tickloom.operators import ordering, research, resume
 from tickloom.operators.sizing import broadcast_if_small
 from tickloom.plans import sinks
 from tickloom.plans.ingest import read_table
+from tickloom.session import checkpointed
 from tickloom.sources import listing
 
 
@@ -31,8 +32,8 @@ def export_tapes(spark: SparkSession, rows: DataFrame, out: str, trade_date: str
     targets = rows.select(*keys).distinct()
     before = read_table(spark, f"{out}/summary", schema)
     done = spark.createDataFrame([], schema) if before is None else before.filter(F.col("trade_date") == trade_date)
-    done = done.checkpoint()
-    todo = resume.export_work(targets, done, *keys, overwrite=overwrite).checkpoint()
+    done = checkpointed(done)
+    todo = checkpointed(resume.export_work(targets, done, *keys, overwrite=overwrite))
     skipped = done if overwrite else resume.export_existing(done, targets, *keys)
     skipped = skipped.withColumn("rows", F.lit(None).cast("bigint")).withColumn("status", F.lit("exists"))
     if todo.isEmpty():
@@ -44,7 +45,7 @@ def export_tapes(spark: SparkSession, rows: DataFrame, out: str, trade_date: str
     layout = "seq_no INT, tape STRING, " + ", ".join(f"{key} STRING" for key in keys)
     counts = resume.export_summary(spark.read.schema(layout).parquet(place).join(wanted, keys, "left_semi"), *keys)
     fresh = with_path(todo.join(counts, keys, "left").fillna({"rows": 0, "status": "written"}), out, trade_date, keys)
-    fresh = fresh.checkpoint()
+    fresh = checkpointed(fresh)
     kept = done.join(fresh.select(*keys), keys, "left_anti")
     sinks.write_summary(fresh.unionByName(kept), f"{out}/summary")
     return fresh.unionByName(skipped) if not overwrite else fresh
@@ -89,7 +90,7 @@ def _export_files(spark: SparkSession, manifest: DataFrame, out: str, trade_date
     A damaged file becomes an error row and the rest goes on. The files' paths
     reach the driver, as for any scan; their rows do not.
     """
-    checked = listing.with_magic(listing.require_rows(manifest, "no files matched")).checkpoint()
+    checked = checkpointed(listing.with_magic(listing.require_rows(manifest, "no files matched")))
     paths = [row.path for row in checked.filter("magic_ok").select("path").collect()]
     failed = checked.filter("NOT magic_ok").select(
         F.lit(None).cast("bigint").alias("rows"), F.lit("error").alias("status"), "path",

@@ -14,6 +14,7 @@ from tickloom.operators.contract import Contract
 from tickloom.operators.sizing import broadcast_if_small
 from tickloom.plans import sinks
 from tickloom.schema import CM_ARCHIVE_GLOB, FO_ARCHIVE_GLOB, MESSAGE_COLUMNS, MESSAGE_DDL
+from tickloom.session import checkpointed
 from tickloom.sources import listing
 from tickloom.sources.capture import read_capture
 
@@ -87,7 +88,7 @@ def ingest(spark: SparkSession, archives: DataFrame, contract: Contract, work: s
     todo = archives
     if done is not None:
         todo = resume.remaining_archives(archives, done.filter("status = 'done'"))
-    todo = todo.select("archive_stem", "path", "length").checkpoint()
+    todo = checkpointed(todo.select("archive_stem", "path", "length"))
     stems = [row.archive_stem for row in todo.select("archive_stem").collect()]
     if not stems:
         return spark.createDataFrame([], STATUS_DDL)

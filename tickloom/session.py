@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,6 +54,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows of a frame, kept in the shared folder so that losing executors
+    neither recomputes nor changes them."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers of any executor.
 

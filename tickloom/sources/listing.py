@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import text
@@ -13,20 +15,37 @@ from tickloom.session import ship_package
 from tickloom.sources.files import filesystem_of
 
 PARQUET_MAGIC = b"PAR1"
+LISTING_DDL = "path STRING, length BIGINT"
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*", recursive: bool = False,
                exclude: str | None = None) -> DataFrame:
-    """``path, length`` of the files below a folder; contents are never read."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    files = reader.load(folder).select("path", "length")
+    """``path, length`` of the files of a folder; contents are never read.
+
+    Without ``recursive`` only the folder itself is listed, whatever directories
+    lie beside the files. Nothing found gives no rows.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        if recursive:
+            files = reader.option("pathGlobFilter", glob).load(folder)
+        else:
+            files = reader.load(f"{folder.rstrip('/')}/{glob}").filter(directly_in(F.col("path"), folder))
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LISTING_DDL)
+    files = files.select("path", "length")
     if exclude:
         files = files.filter(~text.base_name(F.col("path")).rlike(exclude))
     return files
 
 
+def directly_in(path: Column, folder: str) -> Column:
+    bare = re.sub(r"^[a-z0-9]+:", "", folder).strip("/")
+    return F.regexp_replace(path, "/[^/]*$", "").endswith("/" + bare)
+
+
 def discover_archives(spark: SparkSession, folder: str, glob: str, exclude: str | None = None,
                       required: bool = True) -> DataFrame:
     files = list_files(spark, folder, glob, exclude=exclude)

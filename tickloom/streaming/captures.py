@@ -24,7 +24,7 @@ def run_available(spark: SparkSession, folder: str, contract: Contract, work: st
 
     arriving = (
         spark.readStream.format("binaryFile").schema(LISTING_DDL)
-        .option("pathGlobFilter", segment.glob).option("maxFilesPerTrigger", files_per_batch).load(folder)
+        .option("maxFilesPerTrigger", files_per_batch).load(f"{folder.rstrip('/')}/{segment.glob}")
         .select("path", "length", text.archive_stem(F.col("path")).alias("archive_stem"))
     )
     if segment.exclude:
