@@ -64,6 +64,10 @@ def test_derivative_ingest_resumes(spark, folder):
     assert {r.symbol: r.n for r in ledger} == {"A&B": 2, "IDX": 1, "TEST1": 1}
     restarted = ingest.ingest(spark, archives(spark, f"{folder}/in"), con, work, clean_start=True)
     assert restarted.count() == 3 and ingest.finalize_derivatives(spark, work, DAY).count() == 3
+    only = archives(spark, f"{folder}/in").filter("archive_stem = 'e3'")
+    assert ingest.ingest(spark, only, con, work, clean_start=True).count() == 1
+    assert [r.symbol for r in ingest.finalize_derivatives(spark, work, DAY).collect()] == ["A&B"]
+    assert set(statuses(spark, work)) == {"e3"} and ingest.sound_ledger(spark, work, ingest.FO).count() == 1
 
 
 def test_derivative_ingest_stops_at_a_defect(spark, folder):
@@ -269,3 +273,25 @@ def test_cash_audit(spark, folder):
     ingest.ingest(spark, archives(spark, f"{folder}/in", ingest.CM.glob), cm_contract(spark), work, ingest.CM)
     ingest.finalize_cash(spark, work, DAY)
     assert {(r.safe_name, r.rows) for r in ingest.audit_cash(spark, work, DAY).collect()} == {("BANK_EQ", 1), ("BANK_BE", 2)}
+    ingest.publish_cash(spark, work, DAY, f"{folder}/shared")
+    assert spark.read.schema(ingest.CASH_DDL).parquet(f"{folder}/shared").count() == 3
+
+
+def test_hot_group_is_written_by_many_tasks(spark, folder):
+    # As on a cluster: more shuffle partitions than groups, so that groups rarely share one.
+    wanted = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k", "spark.sql.shuffle.partitions": "200"}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(0, 200_000, 1, 16).selectExpr(
+            f"'{DAY}' AS trade_date", "'FUTSTK' AS instrument", "case when id%3=0 then concat('S', id%20) else 'HOT' end AS symbol",
+            "5 AS expiry", "id AS record_no", "hash(id) AS price")
+        sinks.write_derivatives(rows, folder)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    count = lambda symbol: len([n for n in os.listdir(f"{folder}/trade_date={DAY}/instrument=FUTSTK/symbol={symbol}/expiry=5")
+                                if n.endswith(".parquet")])
+    assert count("HOT") > 3 and count("S1") <= 2
+    assert spark.read.parquet(folder).count() == 200_000

@@ -27,6 +27,7 @@ class Segment:
     glob: str
     exclude: str | None
     meta: str
+    ledger: str
     members: str
     stop_on_defect: bool
 
@@ -34,14 +35,20 @@ class Segment:
     def shard_schema(self) -> str:
         return f"record_no BIGINT, {MESSAGE_DDL}, {self.meta}, defect STRING, archive_stem STRING"
 
+    @property
+    def ledger_schema(self) -> str:
+        return f"{self.ledger}, rows BIGINT, archive_stem STRING"
+
     @property
     def meta_columns(self) -> list[str]:
         return [field.split()[0] for field in self.meta.split(", ")]
 
 
 FO = Segment("fo", FO_ARCHIVE_GLOB, r"_166[^/]*\.cap\.tar\.xz$",
-             "symbol STRING, expiry BIGINT, instruments ARRAY<STRING>", "one", True)
-CM = Segment("cm", CM_ARCHIVE_GLOB, None, "symbol STRING, series STRING", "first", False)
+             "symbol STRING, expiry BIGINT, instruments ARRAY<STRING>",
+             "expiry BIGINT, symbol STRING, safe_symbol STRING", "one", True)
+CM = Segment("cm", CM_ARCHIVE_GLOB, None, "symbol STRING, series STRING",
+             "symbol STRING, series STRING, safe_name STRING", "first", False)
 
 
 def shard_rows(lanes: DataFrame, contract: Contract, segment: Segment) -> DataFrame:
@@ -84,7 +91,10 @@ def ingest(spark: SparkSession, archives: DataFrame, contract: Contract, work: s
     counts as done only by its status row, so a run cut short anywhere is
     simply repeated, and dynamic overwrite replaces what it had written.
     """
-    done = None if clean_start else read_table(spark, f"{work}/status", STATUS_DDL)
+    if clean_start:
+        for name, schema in (("status", STATUS_DDL), ("ledger", segment.ledger_schema), ("shards", segment.shard_schema)):
+            sinks.clear(spark, f"{work}/{name}", schema)
+    done = read_table(spark, f"{work}/status", STATUS_DDL)
     todo = archives
     if done is not None:
         todo = resume.remaining_archives(archives, done.filter("status = 'done'"))
@@ -117,9 +127,16 @@ def sound_shards(spark: SparkSession, work: str, segment: Segment, skip_unreadab
     """Shard rows of the archives that are done; a damaged shard file fails the
     query unless it is to be skipped."""
     reader = spark.read.schema(segment.shard_schema).option("ignoreCorruptFiles", skip_unreadable)
-    shards = reader.parquet(f"{work}/shards")
-    done = read_table(spark, f"{work}/status", STATUS_DDL).filter("status = 'done'").select("archive_stem")
-    return shards.join(broadcast_if_small(done), "archive_stem", "left_semi").drop("defect")
+    return of_done_archives(reader.parquet(f"{work}/shards"), work).drop("defect")
+
+
+def sound_ledger(spark: SparkSession, work: str, segment: Segment) -> DataFrame:
+    return of_done_archives(read_table(spark, f"{work}/ledger", segment.ledger_schema), work)
+
+
+def of_done_archives(rows: DataFrame, work: str) -> DataFrame:
+    done = read_table(rows.sparkSession, f"{work}/status", STATUS_DDL).filter("status = 'done'")
+    return rows.join(broadcast_if_small(done.select("archive_stem")), "archive_stem", "left_semi")
 
 
 def derivative_rows(shards: DataFrame, trade_date: str, drop_test: bool = True) -> DataFrame:
@@ -139,12 +156,13 @@ CASH_DDL = f"record_no BIGINT, {MESSAGE_DDL}, archive_stem STRING, trade_date ST
 
 def finalize_derivatives(spark: SparkSession, work: str, trade_date: str, drop_test: bool = True) -> DataFrame:
     rows = derivative_rows(sound_shards(spark, work, FO), trade_date, drop_test)
-    sinks.write_derivatives(rows, f"{work}/final")
+    sinks.replace_day(rows, f"{work}/final", trade_date, ("instrument", "symbol", "expiry"), "zstd")
     return spark.read.schema(DERIVATIVE_DDL).parquet(f"{work}/final").filter(F.col("trade_date") == trade_date)
 
 
 def finalize_cash(spark: SparkSession, work: str, trade_date: str) -> DataFrame:
-    sinks.write_cash(cash_rows(sound_shards(spark, work, CM), trade_date), f"{work}/final")
+    rows = cash_rows(sound_shards(spark, work, CM), trade_date)
+    sinks.replace_day(rows, f"{work}/final", trade_date, ("symbol", "series"), "snappy")
     return spark.read.schema(CASH_DDL).parquet(f"{work}/final").filter(F.col("trade_date") == trade_date)
 
 
@@ -159,7 +177,7 @@ def audit_derivatives(spark: SparkSession, work: str, trade_date: str) -> dict[s
     keys = ("instrument", "expiry", "symbol")
     finals = spark.read.schema(DERIVATIVE_DDL).parquet(f"{work}/final").filter(F.col("trade_date") == trade_date)
     shards = sound_shards(spark, work, FO)
-    ledger = spark.read.parquet(f"{work}/ledger")
+    ledger = sound_ledger(spark, work, FO)
     files = final_files(spark, work, trade_date, *keys).withColumn("expiry", F.col("expiry").cast("bigint"))
     report = audit.sanity_report(audit.token_profile(finals, *keys), listing.with_magic(files), *keys)
     name = text.derivative_file_name(F.lit(trade_date), *[F.col(key) for key in ("instrument", "symbol", "expiry")])
@@ -173,9 +191,7 @@ def audit_derivatives(spark: SparkSession, work: str, trade_date: str) -> dict[s
 
 def audit_cash(spark: SparkSession, work: str, trade_date: str) -> DataFrame:
     """Rows and MiB per cash group, of the archives that are done."""
-    done = read_table(spark, f"{work}/status", STATUS_DDL).filter("status = 'done'").select("archive_stem")
-    ledger = spark.read.parquet(f"{work}/ledger").join(broadcast_if_small(done), "archive_stem", "left_semi")
-    return sizes.cash_sizes(ledger, final_files(spark, work, trade_date, "symbol", "series"))
+    return sizes.cash_sizes(sound_ledger(spark, work, CM), final_files(spark, work, trade_date, "symbol", "series"))
 
 
 def publish(spark: SparkSession, work: str, trade_date: str, target: str,
@@ -189,3 +205,10 @@ def publish(spark: SparkSession, work: str, trade_date: str, target: str,
         finals = spark.read.schema(DERIVATIVE_DDL).parquet(f"{work}/final").filter(F.col("trade_date") == trade_date)
         sinks.write_derivatives(sinks.publishable(finals, skip), target)
     return passed
+
+
+def publish_cash(spark: SparkSession, work: str, trade_date: str, target: str) -> None:
+    """Write the cash report and the shared copy of all cash groups."""
+    sinks.write_report(audit_cash(spark, work, trade_date), f"{work}/audit/{trade_date}/cash")
+    finals = spark.read.schema(CASH_DDL).parquet(f"{work}/final").filter(F.col("trade_date") == trade_date)
+    sinks.write_cash(finals, target)

@@ -6,7 +6,7 @@ job again gives the same table instead of more rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.schema import SHARED_SKIP_INSTRUMENTS
@@ -45,6 +45,19 @@ def write_cash(rows: DataFrame, path: str) -> None:
     _replace_partitions(rows.hint("rebalance", *keys), *keys, codec="snappy").parquet(path)
 
 
+def replace_day(rows: DataFrame, path: str, trade_date: str, keys: tuple[str, ...], codec: str) -> None:
+    """A day's whole table: what the day held before and no longer has is gone."""
+    (rows.drop("trade_date").hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys)
+     .option("partitionOverwriteMode", "static").option("maxRecordsPerFile", ROWS_PER_FILE)
+     .option("compression", codec).parquet(f"{path}/trade_date={trade_date}"))
+
+
+def clear(spark: SparkSession, path: str, schema: str) -> None:
+    """An empty table in the place of whatever was there."""
+    (spark.createDataFrame([], schema).write.mode("overwrite").partitionBy("archive_stem")
+     .option("partitionOverwriteMode", "static").parquet(path))
+
+
 def publishable(rows: DataFrame, skip: tuple[str, ...] = SHARED_SKIP_INSTRUMENTS) -> DataFrame:
     return rows.filter(~F.col("instrument").isin(*skip)) if skip else rows
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyarrow import fs
 
 # Hadoop's names for object stores, and the names pyarrow knows them by.
@@ -14,4 +16,4 @@ def filesystem_of(path: str) -> tuple[fs.FileSystem, str]:
         return fs.LocalFileSystem(), path
     if scheme == "file":
         return fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    return fs.FileSystem.from_uri(f"{SCHEME_NAMES.get(scheme, scheme)}:{rest}")
+    return fs.FileSystem.from_uri(f"{SCHEME_NAMES.get(scheme, scheme)}:{quote(rest, safe='/:@')}")

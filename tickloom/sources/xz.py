@@ -17,7 +17,7 @@ HEADER_BYTES = 12
 FOOTER_BYTES = 12
 MAGIC = b"\xfd7zXZ\x00"
 FOOTER_MAGIC = b"YZ"
-CHUNK = 1 << 20
+CHUNK = 4 << 20
 
 
 @dataclass(frozen=True)
