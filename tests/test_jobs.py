@@ -165,6 +165,12 @@ def test_export_writes_sorted_tapes_once(spark, folder):
     assert {(r.symbol, r.rows, r.status) for r in over.collect()} == {("A", 4, "written"), ("B", 0, "written"), ("C", 0, "written")}
     assert spark.read.parquet(f"{folder}/tapes").count() == 10
     assert spark.read.parquet(f"{folder}/summary").count() == 3
+    moved = research_input(spark).filter("symbol = 'B'").withColumn("msg_type", F.lit("N"))
+    export.export_tapes(spark, moved, folder, DAY, keys, overwrite=True)
+    left = spark.read.parquet(f"{folder}/tapes")
+    assert {(r.symbol, r.tape): r["count"] for r in left.groupBy("symbol", "tape").count().collect()} == {
+        ("A", "main"): 4, ("A", "aux"): 4, ("B", "main"): 1, ("C", "aux"): 1}
+    assert {(r.symbol, r.rows) for r in spark.read.parquet(f"{folder}/summary").collect()} == {("A", 4), ("B", 1), ("C", 0)}
 
 
 def test_resume_from_shard_names(spark):

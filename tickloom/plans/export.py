@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import text
-from tickloom.operators import ordering, research, resume
+from tickloom.operators import ordering, research, resume, sizes
 from tickloom.operators.sizing import broadcast_if_small
 from tickloom.plans import sinks
 from tickloom.plans.ingest import read_table
 from tickloom.session import checkpointed
 from tickloom.sources import listing
+from tickloom.sources.files import remove_folder
 
 
 def summary_schema(keys: Sequence[str]) -> str:
@@ -41,8 +42,15 @@ def export_tapes(spark: SparkSession, rows: DataFrame, out: str, trade_date: str
     wanted = broadcast_if_small(todo)
     tapes = research.split_tapes(prepared(rows.join(wanted, keys, "left_semi"), keys))
     place = f"{out}/tapes/trade_date={trade_date}"
+    held = tape_folders(spark, place, keys)
     sinks.write_tapes(ordering.sort_tape(tapes, "tape", *keys), place, *keys)
     layout = "seq_no INT, tape STRING, " + ", ".join(f"{key} STRING" for key in keys)
+    if not held.isEmpty():
+        # A tape that has become empty writes nothing, so its old rows must go.
+        produced = tapes.select("tape", *keys).distinct()
+        stale = held.join(wanted, keys, "left_semi").join(produced, ["tape", *keys], "left_anti")
+        for row in stale.select("folder").collect():
+            remove_folder(row.folder)
     counts = resume.export_summary(spark.read.schema(layout).parquet(place).join(wanted, keys, "left_semi"), *keys)
     fresh = with_path(todo.join(counts, keys, "left").fillna({"rows": 0, "status": "written"}), out, trade_date, keys)
     fresh = checkpointed(fresh)
@@ -51,6 +59,13 @@ def export_tapes(spark: SparkSession, rows: DataFrame, out: str, trade_date: str
     return fresh.unionByName(skipped) if not overwrite else fresh
 
 
+def tape_folders(spark: SparkSession, place: str, keys: Sequence[str]) -> DataFrame:
+    """The tapes a day holds: one row per tape and group, with its folder."""
+    files = listing.list_files(spark, place, "*.parquet", recursive=True)
+    folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
+    return checkpointed(sizes.with_layout(files, "tape", *keys).select(folder, "tape", *keys).distinct())
+
+
 def prepared(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Research columns plus the keys and what breaks ties in the order."""
     ties = [name for name in ordering.TIE_KEYS if name in rows.columns]

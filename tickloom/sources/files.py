@@ -17,3 +17,8 @@ def filesystem_of(path: str) -> tuple[fs.FileSystem, str]:
     if scheme == "file":
         return fs.LocalFileSystem(), "/" + rest.lstrip("/")
     return fs.FileSystem.from_uri(f"{SCHEME_NAMES.get(scheme, scheme)}:{quote(rest, safe='/:@')}")
+
+
+def remove_folder(path: str) -> None:
+    files, inner = filesystem_of(path)
+    files.delete_dir(inner)
