@@ -7,6 +7,7 @@ by a rename when the job commits.
 from __future__ import annotations
 
 import io
+import itertools
 import tarfile
 import uuid
 from collections.abc import Iterator
@@ -55,19 +56,21 @@ class CaptureFileWriter(DataSourceArrowWriter):
         self.folder, self.form, self.torn = folder.rstrip("/"), form, torn
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        data = b"".join(encode(batch) for batch in iterator)
-        if not data:
+        pieces = (data for data in map(encode, iterator) if data)
+        first = next(pieces, None)
+        if first is None:
             return Written(None, None)
-        data += self.torn
         name = f"feed-{uuid.uuid4().hex}"
         suffix = ".cap" if self.form == "plain" else ".cap.tar.xz"
+        pieces = itertools.chain([first], pieces, [self.torn])
         if self.form != "plain":
-            data = self.archived(data, f"{name}.cap")
+            pieces = [self.archived(b"".join(pieces), f"{name}.cap")]
         files, inner = filesystem_of(self.folder)
         files.create_dir(inner, recursive=True)
         temporary = f"{inner}/_{name}.part"
         with files.open_output_stream(temporary, compression=None) as out:
-            out.write(data)
+            for data in pieces:
+                out.write(data)
         return Written(temporary, f"{inner}/{name}{suffix}")
 
     @staticmethod
