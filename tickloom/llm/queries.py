@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import attribution, packing
+from tickloom.llm import attribution, chats, packing, url_filter
 from tickloom.llm.common import table
 
 
@@ -33,9 +33,25 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribution.count_tokens(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN).drop("name")
 
 
+#: Verdict and host with path.
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.render(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op5_url_filter": op5_url_filter,
     "op6_token_counts": op6_token_counts,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_chat_formatting": chats.RENDER_SQL,
+}
