@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import attribution, chats, decontaminate, packing, url_filter
+from tickloom.llm import attribution, chats, decontaminate, near_vectors, packing, url_filter
 from tickloom.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribution.count_tokens(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN).drop("name")
 
 
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -51,6 +55,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_near_vectors": op2_near_vectors,
     "op3_decontamination": op3_decontamination,
     "op5_url_filter": op5_url_filter,
     "op6_token_counts": op6_token_counts,
