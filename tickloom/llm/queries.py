@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import attribution, chats, decontaminate, near_vectors, packing, url_filter
+from tickloom.llm import attribution, chats, decontaminate, near_vectors, packing, quality, url_filter
 from tickloom.llm.common import table
 
 
@@ -41,6 +41,26 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def held_out(key: str) -> Column:
+    """The rows that no label may be learnt from."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+#: Documents with a lower score are taken as bad.
+GOOD_FROM = 0.7
+
+
+def scored(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All columns of ``docs``, and the quality score of a model that has not seen held-out labels."""
+    model = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), usable=~held_out("key"))
+    return quality.score(docs, model)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scored(spark, docs, sf_dir).select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
+
+
 #: Verdict and host with path.
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
@@ -57,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_near_vectors": op2_near_vectors,
     "op3_decontamination": op3_decontamination,
+    "op4_quality": op4_quality,
     "op5_url_filter": op5_url_filter,
     "op6_token_counts": op6_token_counts,
     "op10_chat_formatting": op10_chat_formatting,
