@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,12 @@ MIX = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F], np.uint32)
 
 
 def indicators(data: bytes, bits: int) -> np.ndarray:
-    """Ascending distinct hash values, ``bits`` wide, of the byte n-grams of a whole text, one to four bytes long."""
+    """Ascending distinct hash values, ``bits`` wide, of the n-grams of a whole text.
+
+    They are its byte n-grams, one to four bytes long, and its n-grams of up
+    to three repeat marks, which say of each word whether it equals the word
+    before it: most words are rare, but their repetition is not.
+    """
     raw = np.frombuffer(data, np.uint8).astype(np.uint32)
     seen = np.zeros(1 << bits, bool)
     gram = np.zeros(0, np.uint32)
@@ -28,6 +34,15 @@ def indicators(data: bytes, bits: int) -> np.ndarray:
             break
         gram = raw if size == 1 else (gram[:-1] << np.uint32(8)) | raw[size - 1 :]
         seen[(gram ^ np.uint32(size * 0x1000193)) * MIX[size - 1] >> np.uint32(32 - bits)] = True
+    words = data.split()
+    marks = np.fromiter(map(eq, words, words[1:]), np.uint32, max(len(words) - 1, 0))
+    gram = np.zeros(0, np.uint32)
+    for size in range(1, 4):
+        if len(marks) < size:
+            break
+        gram = marks if size == 1 else gram[:-1] * np.uint32(2) + marks[size - 1 :]
+        for value in np.flatnonzero(np.bincount(gram, minlength=1 << size)):
+            seen[(np.array([0xA5A50000 + (size << 8) + int(value)], np.uint32) * MIX[1]) >> np.uint32(32 - bits)] = True
     return np.flatnonzero(seen)
 
 
@@ -126,7 +141,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           usable: Column | None = None, sample_bound: int = 3000, bits: int = 18, **options) -> Model:
     """Model of at most ``sample_bound`` labelled documents of each label, chosen by hash of the id.
 
-    The bound makes the sample a small table, so it may be broadcast to the
+    Scores are set to the share of the labels among all usable ones. The bound makes the sample a small table, so it may be broadcast to the
     texts and its features gathered on the driver. ``usable`` restricts the
     labels by id. Ids with no label 0 or 1, or with both, are left out.
     """
@@ -146,9 +161,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     schema = T.StructType([rows.schema["key"], T.StructField("label", T.IntegerType()), T.StructField("found", T.BinaryType())])
     drawn = rows.select("key", "label", "text").mapInArrow(features, schema).toArrow()
+    totals = {row.label: row["count"] for row in known.groupBy("label").count().collect()}
     order = sorted(range(drawn.num_rows), key=lambda row: (str(drawn.column("key")[row].as_py()), drawn.column("found")[row].as_py()))
     found = [np.frombuffer(drawn.column("found")[row].as_py(), "<u4").astype(np.int64) for row in order]
-    return fit(found, np.array([drawn.column("label")[row].as_py() for row in order]), bits, **options)
+    own = np.array([drawn.column("label")[row].as_py() for row in order], np.int64)
+    model = fit(found, own, bits, **options)
+    drawn_odds = np.count_nonzero(own == 1) + 1, np.count_nonzero(own == 0) + 1
+    shift = np.log((totals.get(1, 0) + 1) / (totals.get(0, 0) + 1)) - np.log(drawn_odds[0] / drawn_odds[1])
+    return replace(model, offset=float(model.offset + shift))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", output: str = "score") -> DataFrame:
