@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,16 +45,70 @@ def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Scalar, by
             yield keys[row], text_bytes(texts[row])
 
 
-class WordHashes(dict):
-    """64-bit hash of each word, kept for words seen before."""
+#: Odd base of the polynomial, its inverse modulo 2**64, and a random value for each byte.
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+BYTE_VALUES = np.random.default_rng(20).integers(1, 1 << 63, 256, np.uint64)
+LOWER_VALUES = BYTE_VALUES.copy()
+LOWER_VALUES[ord("A") : ord("Z") + 1] = BYTE_VALUES[ord("a") : ord("z") + 1]
+SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
-    LIMIT = 1_000_000
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
+class _Powers:
+    """Powers of the base and of its inverse, as many as were asked for so far."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            for name, factor in (("up", BASE), ("down", INVERSE)):
+                row = np.full(max(n, 1 << 20), factor, np.uint64)
+                row[0] = 1
+                setattr(self, name, np.multiply.accumulate(row))
+        return self.up[:n], self.down[:n]
+
+
+_POWERS = _Powers()
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """Spreads every bit of a 64-bit value over all bits; one to one."""
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
+
+
+def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts in a row, and each text's number of words.
+
+    Words are what ``bytes.split`` gives, A-Z in lower case if asked. Running
+    sums over the bytes give every word's polynomial at once, so no word is
+    handled by itself. Call it with a few MB at a time.
+    """
+    raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    space = SPACE[raw]
+    edges = np.flatnonzero(np.diff(np.concatenate(([True], space)))) if len(raw) else np.zeros(0, np.int64)
+    starts, ends = edges[0::2], edges[1::2]
+    up, down = _POWERS.upto(len(raw))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((LOWER_VALUES if lower else BYTE_VALUES)[raw] * down, out=sums[1:])
+    found = mixed((sums[ends] - sums[starts]) * up[starts])
+    limits = np.cumsum([len(text) + 1 for text in texts]) if texts else np.zeros(0, np.int64)
+    return found, np.diff(np.searchsorted(starts, limits), prepend=0)
+
+
+def slices(texts: list[bytes], size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """Stretches of texts of about so many bytes; a longer text is a stretch of its own."""
+    held, total = [], 0
+    for text in texts:
+        held.append(text)
+        total += len(text)
+        if total >= size:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
 
 
 def fits(df: DataFrame, rows: int) -> bool:

@@ -11,13 +11,12 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import WordHashes, prepare, stored, text_bytes
+from tickloom.llm.common import mixed, prepare, slices, stored, text_bytes, word_hashes
 from tickloom.session import work_folder
 
 #: Period of the cover, and its residues: any two residues modulo 7 have a common shift into them.
 PERIOD, COVER = 7, (0, 1, 3)
 RADIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
-MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
 def rolling(hashes: np.ndarray, width: int, radix: np.uint64) -> np.ndarray:
@@ -26,9 +25,7 @@ def rolling(hashes: np.ndarray, width: int, radix: np.uint64) -> np.ndarray:
     found = np.zeros(n, np.uint64)
     for k in range(width):
         found = found * radix + hashes[k : k + n]
-    found ^= found >> np.uint64(31)
-    found *= MIX
-    return found ^ (found >> np.uint64(29))
+    return mixed(found)
 
 
 def ranges_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
@@ -39,15 +36,12 @@ def ranges_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
 class Bucket:
     """Words of neighbouring documents as hashes in one array, with windows that stay within a document."""
 
-    def __init__(self, texts: list[bytes], window: int, hashes: WordHashes) -> None:
-        arrays = []
-        for data in texts:
-            words = data.split()
-            arrays.append(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
+    def __init__(self, texts: list[bytes], window: int) -> None:
+        parts = [word_hashes(part) for part in slices(texts)]
         self.window, self.anchor = window, window - PERIOD + 1
-        self.lengths = np.array([len(array) for array in arrays], np.int64)
-        self.words = np.concatenate(arrays) if arrays else np.zeros(0, np.uint64)
-        self.doc = np.repeat(np.arange(len(arrays)), self.lengths)
+        self.words = np.concatenate([np.zeros(0, np.uint64), *(words for words, _ in parts)])
+        self.lengths = np.concatenate([np.zeros(0, np.int64), *(lengths for _, lengths in parts)])
+        self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
         ends = np.cumsum(self.lengths)
         self.place = np.arange(len(self.words)) - (ends - self.lengths)[self.doc]
         self.left = self.lengths[self.doc] - self.place
@@ -103,7 +97,7 @@ class Steps:
         self.window, self.ranges = window, ranges
 
     def read(self, rows: pa.Table) -> Bucket:
-        bucket = Bucket([text_bytes(text) for text in rows.column("text")], self.window, _HASHES)
+        bucket = Bucket([text_bytes(text) for text in rows.column("text")], self.window)
         bucket.anchors()
         return bucket
 
@@ -196,10 +190,6 @@ class Steps:
         return pa.table([ids, pa.array(bucket.lengths), pa.array(counts, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=names)
 
 
-#: Kept by a worker process from task to task.
-_HASHES = WordHashes()
-
-
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13,
                    bucket_bytes: int = 16 << 20) -> DataFrame:
     """Texts without the words that a window covers which also starts in a document of smaller id:
