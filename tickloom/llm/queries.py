@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import attribution, chats, decontaminate, near_vectors, packing, quality, repeated_passages, url_filter
+from tickloom.llm import attribution, chats, decontaminate, near_vectors, packing, quality, repeated_passages, shingle_join, url_filter
 from tickloom.llm.common import table
 
 
@@ -69,6 +69,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_passages.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -85,11 +89,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_url_filter": op5_url_filter,
     "op6_token_counts": op6_token_counts,
+    "op7_shingle_join": op7_shingle_join,
     "op8_repeated_passages": op8_repeated_passages,
     "op10_chat_formatting": op10_chat_formatting,
 }
 
 ORACLE: dict[str, str] = {
+    "op7_shingle_join": shingle_join.JOIN_SQL,
     "op8_repeated_passages": repeated_passages.REPEATS_SQL,
     "op10_chat_formatting": chats.RENDER_SQL,
 }
