@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import attribution, chats, decontaminate, near_vectors, packing, quality, repeated_passages, shingle_join, url_filter
+from tickloom.llm import attribution, chats, decontaminate, near_vectors, packing, personal_data, quality, repeated_passages, shingle_join, url_filter
 from tickloom.llm.common import table
 
 
@@ -78,6 +78,23 @@ def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.find(docs, personal_data.train(docs))
+    base = F.filter("spans", lambda span: span["base"])
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda span: F.concat_ws(":", span["kind"], span["start"], span["end"])), ",")
+
+    return found.select(
+        "doc_id", *(_of_kind(base, kind).alias(f"n_{kind}") for kind in personal_data.BASE_KINDS),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+def _of_kind(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda span: span["kind"] == kind)).cast("long")
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.render(table(spark, sf_dir, "conversations"))
 
@@ -91,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_shingle_join": op7_shingle_join,
     "op8_repeated_passages": op8_repeated_passages,
+    "op9_personal_data": op9_personal_data,
     "op10_chat_formatting": op10_chat_formatting,
 }
 
