@@ -36,11 +36,13 @@ def ranges_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
 class Bucket:
     """Words of neighbouring documents as hashes in one array, with windows that stay within a document."""
 
-    def __init__(self, texts: list[bytes], window: int) -> None:
+    def __init__(self, texts: list[bytes], known: np.ndarray, window: int) -> None:
+        """``known``: which texts have an id; the others take no part in comparisons."""
         parts = [word_hashes(part) for part in slices(texts)]
         self.window, self.anchor = window, window - PERIOD + 1
         self.words = np.concatenate([np.zeros(0, np.uint64), *(words for words, _ in parts)])
         self.lengths = np.concatenate([np.zeros(0, np.int64), *(lengths for _, lengths in parts)])
+        self.known = known
         self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
         ends = np.cumsum(self.lengths)
         self.place = np.arange(len(self.words)) - (ends - self.lengths)[self.doc]
@@ -48,7 +50,7 @@ class Bucket:
 
     def anchors(self) -> None:
         """Anchor windows at cover positions: their places, distinct hashes in order, and which are in several documents here."""
-        cover = np.isin(self.place % PERIOD, COVER) & (self.left >= self.anchor)
+        cover = np.isin(self.place % PERIOD, COVER) & (self.left >= self.anchor) & self.known[self.doc]
         self.at = np.flatnonzero(cover)
         hashed = rolling(self.words, self.anchor, RADIX[0])[self.at]
         self.unique, self.which = np.unique(hashed, return_inverse=True)
@@ -97,7 +99,8 @@ class Steps:
         self.window, self.ranges = window, ranges
 
     def read(self, rows: pa.Table) -> Bucket:
-        bucket = Bucket([text_bytes(text) for text in rows.column("text")], self.window)
+        known = rows.column("id").is_valid().to_numpy()
+        bucket = Bucket([text_bytes(text) for text in rows.column("text")], known, self.window)
         bucket.anchors()
         return bucket
 
@@ -165,15 +168,14 @@ class Steps:
         bucket, key, place, which, _ = self._windows(rows, answers)
         late = self._answered(place, answers, "window")
         ids = rows.column("id")
-        # Ranks of the ids: equal ids are one document, null ids are before none and after none.
+        # Ranks of the ids: equal ids are one document; rows with a null id have no windows.
         values = ids.to_pylist()
         rank = {value: number for number, value in enumerate(sorted({value for value in values if value is not None}))}
         ranks = np.array([rank.get(value, -1) for value in values], np.int64)
         own = ranks[bucket.doc[bucket.starts]]
-        known = own >= 0
         least = np.full(len(key), len(rank))
-        np.minimum.at(least, which[known], own[known])
-        gone = known & (late[which] | (least[which] < own)) if len(which) else np.zeros(0, bool)
+        np.minimum.at(least, which, own)
+        gone = late[which] | (least[which] < own)
         edge = np.zeros(len(bucket.words) + 1, np.int64)
         np.add.at(edge, bucket.starts[gone], 1)
         np.add.at(edge, bucket.starts[gone] + self.window, -1)

@@ -51,10 +51,10 @@ def shingle_sets(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
                 yield np.unique(runs[at : at + count - width + 1])
             elif count:
                 # The length takes part, so that a short text differs from any full shingle.
-                whole = np.uint64(count)
+                whole = np.array([count], np.uint64)
                 for word in words[at : at + count]:
                     whole = whole * RADIX + word
-                yield mixed(np.array([whole], np.uint64))
+                yield mixed(whole)
             else:
                 yield np.zeros(0, np.uint64)
             at += count
