@@ -8,10 +8,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import components, mixed, prepare, slices, stored, text_bytes, word_hashes
+from tickloom.llm.near_vectors import Forest
 from tickloom.operators.sizing import broadcast_if_small
 
 #: Frequencies are kept for so many ranges of hashes: a table of fixed size, four bytes each while counting, one when used.
@@ -192,6 +194,111 @@ def verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     return both.mapInArrow(_verify(rule), "src long, dst long")
 
 
+#: Turns of the leader step at most. More of them or fewer change the work, not the result.
+LEADER_TURNS = 2
+#: Lists of more documents are compared in tiles, shorter ones by pairs; again the result is the same.
+LONG_LIST, TILE = 64, 512
+
+
+def _band(percent: int) -> Column:
+    """Class of a set's size: similar sets are in the same class or in neighbouring ones."""
+    return F.floor(F.log("n") / (float(np.log(100 / percent)) * 1.000001)).cast("int")
+
+
+def _placed(opened: DataFrame, known: DataFrame) -> DataFrame:
+    """The postings with each document's component so far."""
+    rest = opened.drop("part")
+    return stored(rest.join(known.withColumnRenamed("node", "doc"), "doc", "left").select(*rest.columns, F.coalesce("component", "doc").alias("part")), "placed")
+
+
+def _open(placed: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Postings of lists that still hold several components, and an upper estimate of the pairs between these."""
+    parts = placed.groupBy("token", "part").agg(F.count("*").alias("members"))
+    several = parts.groupBy("token").agg(
+        F.count("*").alias("parts"), ((F.sum("members") ** 2 - F.sum(F.col("members") ** 2)) / 2).alias("pairs")).where("parts > 1")
+    opened = stored(placed.join(several.select("token", "pairs"), "token"), name)
+    left = opened.select("token", "pairs").distinct().agg(F.sum("pairs")).first()[0] or 0
+    return opened.drop("pairs"), int(left)
+
+
+def _leaders(opened: DataFrame, turn: int, percent: int) -> DataFrame:
+    """(x, y): for each document the document of another component that leads most of its lists.
+
+    A list has a leader for each class of sizes, another one each turn.
+    """
+    order = F.struct(F.xxhash64(F.lit(turn), "doc"), "doc", "n", "part")
+    leads = opened.groupBy("token", "band").agg(F.min(order).alias("lead")) \
+        .select("token", "band", F.col("lead.doc").alias("lead"), F.col("lead.n").alias("lead_n"), F.col("lead.part").alias("lead_part"))
+    led = opened.join(leads, ["token", "band"]).where(
+        (F.col("part") != F.col("lead_part")) & (100 * F.least("n", "lead_n") >= percent * F.greatest("n", "lead_n")))
+    best = led.groupBy("doc", "lead").agg(F.count("*").alias("times")).groupBy("doc").agg(F.max(F.struct("times", "lead")).alias("best"))
+    return best.where("best.times > 1").select(F.col("best.lead").alias("x"), F.col("doc").alias("y"))
+
+
+def _remaining(opened: DataFrame, percent: int) -> DataFrame:
+    """(x, y): all pairs of different components that share enough of their prefixes.
+
+    Components meet first, by list and class of sizes, and their members only
+    then, so that documents of one component are never paired.
+    """
+    heads = opened.groupBy("token", "part", "band").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    left = heads.select("token", F.col("part").alias("px"), F.col("band").alias("bx"), F.col("low").alias("lx"), F.col("high").alias("hx"))
+    right = heads.select("token", F.col("part").alias("py"), F.col("band").alias("by"), F.col("low").alias("ly"), F.col("high").alias("hy")) \
+        .withColumn("bx", F.explode(F.array(F.col("by") - 1, F.col("by"), F.col("by") + 1)))
+    meets = left.join(right, ["token", "bx"]).where(
+        (F.col("px") < F.col("py")) & (100 * F.col("hx") >= percent * F.col("ly")) & (100 * F.col("hy") >= percent * F.col("lx"))) \
+        .select("token", "px", "bx", "py", "by")
+    sides = {side: opened.select("token", F.col("part").alias(f"p{side}"), F.col("band").alias(f"b{side}"), *(F.col(name).alias(f"{name}_{side}") for name in ("doc", "n", "level", "own")))
+             for side in "xy"}
+    met = meets.join(sides["x"], ["token", "px", "bx"]).join(sides["y"], ["token", "py", "by"])
+    level = F.least("level_x", "level_y")
+    met = met.where((100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (F.col("own_x") <= level) & (F.col("own_y") <= level))
+    return met.select("doc_x", "doc_y", level.alias("level")).groupBy("doc_x", "doc_y").agg(F.count("*").alias("shared"), F.max("level").alias("level")) \
+        .where("shared >= level").select(F.col("doc_x").alias("x"), F.col("doc_y").alias("y"))
+
+
+def _tile_links(rule: Rule):
+    """Spanning forest of the similar pairs between the two sides of a tile, without a row per pair."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        sides = [rows.filter(pa.compute.equal(rows.column("side"), side)) for side in (0, 1)]
+        ids = [side.column("doc").to_pylist() for side in sides]
+        sets = [list(shingle_sets([text_bytes(text) for text in side.column("text")], rule.width)) for side in sides]
+        sizes = np.array([len(found) for found in sets[1]], np.int64)
+        flat = np.concatenate([np.zeros(0, np.uint64), *sets[1]])
+        order = np.argsort(flat, kind="stable")
+        flat, column = flat[order], np.repeat(np.arange(len(sizes)), sizes)[order]
+        forest = Forest()
+        for own, found in zip(ids[0], sets[0], strict=True):
+            low, high = np.searchsorted(flat, found, "left"), np.searchsorted(flat, found, "right")
+            runs = high - low
+            places = np.repeat(low - np.cumsum(runs) + runs, runs) + np.arange(runs.sum())
+            shared = np.bincount(column[places], minlength=len(sizes))
+            for other in np.flatnonzero((100 * shared >= rule.percent * (len(found) + sizes - shared)) & (shared > 0)).tolist():
+                forest.join(own, ids[1][other])
+        a, b = forest.links()
+        return pa.table({"src": pa.array(a, pa.int64()), "dst": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _tiled(members: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """Links among documents that long lists join: (doc, head) says that a list holds both.
+
+    Documents joined by such lists form groups, and a group is compared with
+    itself in tiles of about TILE documents a side. A group's work is spread
+    over its tiles, and grows with the square of its size, but its rows do not.
+    """
+    found = stored(components(members.select(F.col("doc").alias("src"), F.col("head").alias("dst"))), "list-groups")
+    tiles = F.ceil(F.col("size") / TILE).cast("int")
+    sizes = found.groupBy("component").agg(F.count("*").alias("size"))
+    placed = found.join(sizes, "component").select("component", F.col("node").alias("id"), tiles.alias("tiles"), F.pmod(F.xxhash64("node"), tiles).cast("int").alias("own"))
+    placed = docs.join(broadcast_if_small(stored(placed, "list-members")), "id").withColumnRenamed("id", "doc")
+    first = placed.select("*", F.explode(F.sequence("own", F.col("tiles") - 1)).alias("tj")).select("component", F.col("own").alias("ti"), "tj", F.lit(0).alias("side"), "doc", "text")
+    second = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("ti")).select("component", "ti", F.col("own").alias("tj"), F.lit(1).alias("side"), "doc", "text")
+    return first.union(second).groupBy("component", "ti", "tj").applyInArrow(_tile_links(rule), "src long, dst long")
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 90,
                       most: int = 4) -> DataFrame:
     """Connected components of documents whose shingle sets are similar: (id, n_shingles, component_id), a row per input row.
@@ -206,12 +313,18 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     2. Each document posts a prefix of its rarest shingles. Its length adapts
        to the estimated cost, up to ``most`` shared shingles asked for.
     3. Documents with equal sets are taken as one, so copies cost one row.
-    4. Each document is checked against one other that leads most of its
-       lists. This joins large groups of near copies with one check a member.
+    4. While lists hold many pairs between components, each document is
+       checked against one other, the leader of most of its lists. A few turns
+       with other leaders join large groups of near copies, at one check a
+       member and turn.
     5. All pairs that share enough of their prefixes are then met and checked
        exactly, but for pairs already in one component: between those a check
        cannot change the result. Lists within one component are dropped as a
-       whole, so a group of m near copies makes no m squared pairs.
+       whole.
+    6. A pair that shares a list of more than LONG_LIST documents is checked
+       in a tile instead: many documents of about the limit's similarity then
+       cost arithmetic, not rows. All lists that a pair shares are short, or
+       it is in a tile.
 
     No list, pair or candidate is capped. Null and empty texts have an empty
     set and link with nothing, as do rows with a null id (component null).
@@ -230,30 +343,27 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     base = F.col("n") - F.ceil(F.col("n") * percent / 100)
     postings = sets.select("doc", "n", "level", F.posexplode("posted").alias("place", "token")) \
         .select("token", "doc", "n", "level", F.greatest(F.col("place") - base + 1, F.lit(1)).cast("int").alias("own"))
-    lists = postings.groupBy("token").agg(F.count("*").alias("size"), F.min(F.struct("n", "doc")).alias("lead")).where("size > 1")
-    lists = stored(postings.join(lists.select("token", F.col("lead.doc").alias("lead"), F.col("lead.n").alias("lead_n")), "token"), "lists")
-
-    led = lists.where((F.col("doc") != F.col("lead")) & (100 * F.col("lead_n") >= percent * F.col("n"))).groupBy("doc", "lead").agg(F.count("*").alias("times"))
-    first = stored(led.groupBy("doc").agg(F.max(F.struct("times", "lead")).alias("best")).where("best.times > 1")
-                   .select(F.col("best.lead").alias("x"), F.col("doc").alias("y")), "first-pairs")
-    links = stored(verified(first, rows, rule), "first-links")
-    known = stored(components(links), "first-components")
-
-    placed = lists.join(known.withColumnRenamed("node", "doc"), "doc", "left") \
-        .select("token", "doc", "n", "level", "own", F.coalesce("component", "doc").alias("part"))
-    parts = placed.groupBy("token", "part").agg(F.count("*").alias("members"))
-    several = parts.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("token")
-    open_lists = stored(placed.join(several, "token"), "open-lists")
-    heads = open_lists.select("token", "part").distinct()
-    meets = heads.select("token", F.col("part").alias("px")).join(heads.select("token", F.col("part").alias("py")), "token").where("px < py")
-    sides = {side: open_lists.select("token", *(F.col(name).alias(f"{name}_{side}") for name in ("doc", "n", "level", "own", "part"))) for side in "xy"}
-    met = meets.join(sides["x"].withColumnRenamed("part_x", "px"), ["token", "px"]).join(sides["y"].withColumnRenamed("part_y", "py"), ["token", "py"])
-    level = F.least("level_x", "level_y")
-    met = met.where((100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (F.col("own_x") <= level) & (F.col("own_y") <= level))
-    pairs = met.select("doc_x", "doc_y", level.alias("level")).groupBy("doc_x", "doc_y").agg(F.count("*").alias("shared"), F.max("level").alias("level")) \
-        .where("shared >= level").select(F.col("doc_x").alias("x"), F.col("doc_y").alias("y"))
-    more = verified(stored(pairs, "pairs"), rows, rule)
-    final = stored(components(links.union(more)), "components")
+    several = postings.groupBy("token").agg(F.count("*").alias("size")).where("size > 1").select("token")
+    lists = stored(postings.join(several, "token").withColumn("band", _band(percent)), "lists")
+
+    links, opened = None, lists.withColumn("part", F.col("doc"))
+    for turn in range(LEADER_TURNS):
+        opened, pairs_left = _open(opened, f"open-{turn}")
+        if pairs_left <= 4 * opened.count():
+            break
+        first = _leaders(opened, turn, percent)
+        found_links = stored(verified(stored(first, "first-pairs"), rows, rule), "first-links")
+        links = found_links if links is None else stored(links.union(found_links), "all-links")
+        # Components only grow, so lists that are closed stay closed.
+        opened = _placed(opened, components(links))
+    else:
+        opened, _ = _open(opened, "open-last")
+    lengths = opened.groupBy("token").agg(F.count("*").alias("docs"), F.min("doc").alias("head"))
+    listed = stored(opened.join(lengths, "token"), "listed")
+    short = listed.where(F.col("docs") <= LONG_LIST).drop("docs", "head")
+    more = verified(stored(_remaining(short, percent), "pairs"), rows, rule)
+    more = more.union(_tiled(listed.where(F.col("docs") > LONG_LIST).select("doc", "head"), rows, rule))
+    final = stored(components(more if links is None else links.union(more)), "components")
 
     same = sets.select("n", "f1", "f2", "doc").join(final.withColumnRenamed("node", "doc"), "doc", "left") \
         .select("n", "f1", "f2", F.coalesce("component", "doc").alias("component"))
