@@ -41,8 +41,8 @@ def add(path, name, data):
     wire.archive(f"{path}/{name}.cap.tar.xz", c__cap=data)
 
 
-def statuses(spark, work):
-    rows = spark.read.parquet(f"{work}/status").collect()
+def statuses(spark, work, segment=ingest.FO):
+    rows = spark.read.parquet(f"{segment.place(work)}/status").collect()
     return {r.archive_stem: (r.rows, r.defects, r.status) for r in rows}
 
 
@@ -60,7 +60,7 @@ def test_derivative_ingest_resumes(spark, folder):
     assert sorted((r.instrument, r.symbol, r.expiry) for r in finals.collect()) == [
         ("FUTSTK", "A&B", 5), ("FUTSTK", "A&B", 5), ("OPTIDX", "IDX", 6)]
     assert ingest.finalize_derivatives(spark, work, DAY).count() == 3
-    ledger = spark.read.parquet(f"{work}/ledger").groupBy("symbol").agg(F.sum("rows").alias("n")).collect()
+    ledger = spark.read.parquet(f"{work}/fo/ledger").groupBy("symbol").agg(F.sum("rows").alias("n")).collect()
     assert {r.symbol: r.n for r in ledger} == {"A&B": 2, "IDX": 1, "TEST1": 1}
     restarted = ingest.ingest(spark, archives(spark, f"{folder}/in"), con, work, clean_start=True)
     assert restarted.count() == 3 and ingest.finalize_derivatives(spark, work, DAY).count() == 3
@@ -75,7 +75,7 @@ def test_derivative_ingest_stops_at_a_defect(spark, folder):
     work = f"{folder}/work"
     with pytest.raises(Exception, match="defect side in bad record 1"):
         ingest.ingest(spark, archives(spark, f"{folder}/in"), fo_contract(spark), work)
-    assert not os.path.exists(f"{work}/status")
+    assert not os.path.exists(f"{work}/fo/status")
 
 
 def test_cash_ingest_leaves_failed_archives_out(spark, folder):
@@ -87,7 +87,7 @@ def test_cash_ingest_leaves_failed_archives_out(spark, folder):
     work = f"{folder}/work"
     found = archives(spark, f"{folder}/in", ingest.CM.glob)
     ingest.ingest(spark, found, cm_contract(spark), work, ingest.CM)
-    assert statuses(spark, work) == {"e_16641": (3, 0, "done"), "e_16642": (1, 1, "failed"), "e_16643": (0, 1, "failed")}
+    assert statuses(spark, work, ingest.CM) == {"e_16641": (3, 0, "done"), "e_16642": (1, 1, "failed"), "e_16643": (0, 1, "failed")}
     finals = ingest.finalize_cash(spark, work, DAY)
     assert {(r.symbol, r.series): r["count"] for r in finals.groupBy("symbol", "series").count().collect()} == {
         ("BANK", "EQ"): 1, ("BANK", "BE"): 2}
@@ -130,7 +130,7 @@ def test_shard_stream_adds_only_what_is_new(spark, folder):
     con = fo_contract(spark)
     add(f"{folder}/in", "e1", orders(45_001, 45_003))
     ingest.ingest(spark, archives(spark, f"{folder}/in"), con, f"{folder}/work")
-    take = lambda: shards.run_available(spark, f"{folder}/work/shards", f"{folder}/final", f"{folder}/state", DAY)
+    take = lambda: shards.run_available(spark, f"{folder}/work/fo/shards", f"{folder}/final", f"{folder}/state", DAY)
     count = lambda: spark.read.schema(ingest.DERIVATIVE_DDL).parquet(f"{folder}/final").count()
     take()
     take()
@@ -184,7 +184,7 @@ def test_unreadable_shards_fail_unless_skipped(spark, folder):
     add(f"{folder}/in", "e2", orders(45_001))
     work = f"{folder}/work"
     ingest.ingest(spark, archives(spark, f"{folder}/in"), fo_contract(spark), work)
-    place = f"{work}/shards/archive_stem=e2"
+    place = f"{work}/fo/shards/archive_stem=e2"
     victim, = [name for name in os.listdir(place) if name.endswith(".parquet")]
     os.remove(f"{place}/.{victim}.crc")
     with open(f"{place}/{victim}", "r+b") as handle:

@@ -93,7 +93,7 @@ def select_expiry(manifest: DataFrame, trade_date: str, requested: str = "") ->
     if requested:
         if manifest.filter(F.col("expiry_epoch") == requested).isEmpty():
             known = [row.expiry_epoch for row in
-                     manifest.select("expiry_epoch").distinct().orderBy("expiry_epoch").limit(100).collect()]
+                     manifest.select("expiry_epoch").distinct().orderBy("expiry_epoch").collect()]
             raise ValueError(f"expiry {requested} not found; available: {', '.join(known)}")
         return requested
     day = datetime.datetime.strptime(trade_date, "%Y%m%d").date()

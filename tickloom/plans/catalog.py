@@ -15,7 +15,7 @@ from tickloom.operators import audit, decode, lookup, ordering, research, resume
 from tickloom.operators import contract as contracts
 from tickloom.operators.contract import Contract
 from tickloom.plans import export, ingest, sinks
-from tickloom.schema import BATCH_RECORDS, FO_ARCHIVE_GLOB, FO_INSTRUMENTS, ID_COLUMNS
+from tickloom.schema import FO_ARCHIVE_GLOB, FO_INSTRUMENTS, ID_COLUMNS
 from tickloom.session import work_folder
 from tickloom.sources import capture, contracts as contract_files, listing
 from tickloom.streaming import shards as shard_stream
@@ -24,7 +24,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 TRADE_DATE = tables.TRADE_DATE
 TRADE_DAY = datetime.datetime.strptime(TRADE_DATE, "%Y%m%d").date()
-MID_DAY = datetime.date(2026, 4, 20)
 
 
 def query(build: Query) -> Query:

@@ -31,6 +31,10 @@ class Segment:
     members: str
     stop_on_defect: bool
 
+    def place(self, work: str) -> str:
+        """The segment's own folder below that of a trading day, so that segments of one day never replace each other's tables."""
+        return f"{work}/{self.name}"
+
     @property
     def shard_schema(self) -> str:
         return f"record_no BIGINT, {MESSAGE_DDL}, {self.meta}, defect STRING, archive_stem STRING"
@@ -84,13 +88,14 @@ def ingest(spark: SparkSession, archives: DataFrame, contract: Contract, work: s
            segment: Segment = FO, clean_start: bool = False) -> DataFrame:
     """Ingest the archives not done yet; returns their status rows.
 
-    ``work`` is the folder of one trading day. Only the names of the archives
+    ``work`` is the folder of one trading day; each segment has its own below it. Only the names of the archives
     still to do reach the driver, as the scan of their files needs them there.
 
     Order of commits: data, then the row ledger, then the status. An archive
     counts as done only by its status row, so a run cut short anywhere is
     simply repeated, and dynamic overwrite replaces what it had written.
     """
+    work = segment.place(work)
     if clean_start:
         for name, schema in (("status", STATUS_DDL), ("ledger", segment.ledger_schema), ("shards", segment.shard_schema)):
             sinks.clear(spark, f"{work}/{name}", schema)
@@ -127,10 +132,12 @@ def sound_shards(spark: SparkSession, work: str, segment: Segment, skip_unreadab
     """Shard rows of the archives that are done; a damaged shard file fails the
     query unless it is to be skipped."""
     reader = spark.read.schema(segment.shard_schema).option("ignoreCorruptFiles", skip_unreadable)
+    work = segment.place(work)
     return of_done_archives(reader.parquet(f"{work}/shards"), work).drop("defect")
 
 
 def sound_ledger(spark: SparkSession, work: str, segment: Segment) -> DataFrame:
+    work = segment.place(work)
     return of_done_archives(read_table(spark, f"{work}/ledger", segment.ledger_schema), work)
 
 
@@ -156,14 +163,14 @@ CASH_DDL = f"record_no BIGINT, {MESSAGE_DDL}, archive_stem STRING, trade_date ST
 
 def finalize_derivatives(spark: SparkSession, work: str, trade_date: str, drop_test: bool = True) -> DataFrame:
     rows = derivative_rows(sound_shards(spark, work, FO), trade_date, drop_test)
-    sinks.replace_day(rows, f"{work}/final", trade_date, ("instrument", "symbol", "expiry"), "zstd")
-    return spark.read.schema(DERIVATIVE_DDL).parquet(f"{work}/final").filter(F.col("trade_date") == trade_date)
+    sinks.replace_day(rows, f"{FO.place(work)}/final", trade_date, ("instrument", "symbol", "expiry"), "zstd")
+    return spark.read.schema(DERIVATIVE_DDL).parquet(f"{FO.place(work)}/final").filter(F.col("trade_date") == trade_date)
 
 
 def finalize_cash(spark: SparkSession, work: str, trade_date: str) -> DataFrame:
     rows = cash_rows(sound_shards(spark, work, CM), trade_date)
-    sinks.replace_day(rows, f"{work}/final", trade_date, ("symbol", "series"), "snappy")
-    return spark.read.schema(CASH_DDL).parquet(f"{work}/final").filter(F.col("trade_date") == trade_date)
+    sinks.replace_day(rows, f"{CM.place(work)}/final", trade_date, ("symbol", "series"), "snappy")
+    return spark.read.schema(CASH_DDL).parquet(f"{CM.place(work)}/final").filter(F.col("trade_date") == trade_date)
 
 
 def final_files(spark: SparkSession, work: str, trade_date: str, *keys: str) -> DataFrame:
@@ -175,10 +182,10 @@ def final_files(spark: SparkSession, work: str, trade_date: str, *keys: str) ->
 def audit_derivatives(spark: SparkSession, work: str, trade_date: str) -> dict[str, DataFrame]:
     """The blocks of the sanity report, and the sizes per instrument."""
     keys = ("instrument", "expiry", "symbol")
-    finals = spark.read.schema(DERIVATIVE_DDL).parquet(f"{work}/final").filter(F.col("trade_date") == trade_date)
+    finals = spark.read.schema(DERIVATIVE_DDL).parquet(f"{FO.place(work)}/final").filter(F.col("trade_date") == trade_date)
     shards = sound_shards(spark, work, FO)
     ledger = sound_ledger(spark, work, FO)
-    files = final_files(spark, work, trade_date, *keys).withColumn("expiry", F.col("expiry").cast("bigint"))
+    files = final_files(spark, FO.place(work), trade_date, *keys).withColumn("expiry", F.col("expiry").cast("bigint"))
     report = audit.sanity_report(audit.token_profile(finals, *keys), listing.with_magic(files), *keys)
     name = text.derivative_file_name(F.lit(trade_date), *[F.col(key) for key in ("instrument", "symbol", "expiry")])
     return {
@@ -191,7 +198,7 @@ def audit_derivatives(spark: SparkSession, work: str, trade_date: str) -> dict[s
 
 def audit_cash(spark: SparkSession, work: str, trade_date: str) -> DataFrame:
     """Rows and MiB per cash group, of the archives that are done."""
-    return sizes.cash_sizes(sound_ledger(spark, work, CM), final_files(spark, work, trade_date, "symbol", "series"))
+    return sizes.cash_sizes(sound_ledger(spark, work, CM), final_files(spark, CM.place(work), trade_date, "symbol", "series"))
 
 
 def publish(spark: SparkSession, work: str, trade_date: str, target: str,
@@ -202,7 +209,7 @@ def publish(spark: SparkSession, work: str, trade_date: str, target: str,
         sinks.write_report(block, f"{work}/audit/{trade_date}/{name}")
     passed = report["files"].filter("status <> 'PASS'").isEmpty() and report["cross_check"].first().expected_match
     if passed or publish_on_fail:
-        finals = spark.read.schema(DERIVATIVE_DDL).parquet(f"{work}/final").filter(F.col("trade_date") == trade_date)
+        finals = spark.read.schema(DERIVATIVE_DDL).parquet(f"{FO.place(work)}/final").filter(F.col("trade_date") == trade_date)
         sinks.write_derivatives(sinks.publishable(finals, skip), target)
     return passed
 
@@ -210,5 +217,5 @@ def publish(spark: SparkSession, work: str, trade_date: str, target: str,
 def publish_cash(spark: SparkSession, work: str, trade_date: str, target: str) -> None:
     """Write the cash report and the shared copy of all cash groups."""
     sinks.write_report(audit_cash(spark, work, trade_date), f"{work}/audit/{trade_date}/cash")
-    finals = spark.read.schema(CASH_DDL).parquet(f"{work}/final").filter(F.col("trade_date") == trade_date)
+    finals = spark.read.schema(CASH_DDL).parquet(f"{CM.place(work)}/final").filter(F.col("trade_date") == trade_date)
     sinks.write_cash(finals, target)

@@ -168,7 +168,10 @@ def read_exactly(stream, wanted: int) -> bytes:
 
 
 def record_batches(stream, name: str, batch_records: int, count: int | None) -> Iterator[np.ndarray]:
-    """Whole records of a stream, batch by batch; a torn last record is dropped."""
+    """Whole records of a stream, batch by batch; a torn last record is dropped.
+
+    A stream that ends before a planned ``count`` is an error, not a short result.
+    """
     left = count
     while left is None or left > 0:
         take = batch_records if left is None else min(batch_records, left)
@@ -180,6 +183,8 @@ def record_batches(stream, name: str, batch_records: int, count: int | None) ->
             torn = len(data) % RECORD_BYTES
             if torn:
                 LOG.warning("%s: dropping a torn last record of %d bytes", name, torn)
+            if left is not None and whole < left:
+                raise EOFError(f"{name}: {left - whole} records fewer than planned")
             return
         if left is not None:
             left -= whole
