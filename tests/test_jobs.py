@@ -1,5 +1,6 @@
 import os
 
+import pandas
 import pytest
 import wire
 from pyspark.sql import functions as F
@@ -75,7 +76,16 @@ def test_derivative_ingest_stops_at_a_defect(spark, folder):
     work = f"{folder}/work"
     with pytest.raises(Exception, match="defect side in bad record 1"):
         ingest.ingest(spark, archives(spark, f"{folder}/in"), fo_contract(spark), work)
-    assert not os.path.exists(f"{work}/fo/status")
+    assert statuses(spark, work) == {"bad": (1, 1, "failed")}
+    add(f"{folder}/in", "good", orders(45_001))
+    with pytest.raises(Exception, match="defect side in bad record 1"):
+        ingest.ingest(spark, archives(spark, f"{folder}/in"), fo_contract(spark), work)
+    assert statuses(spark, work) == {"bad": (1, 1, "failed"), "good": (1, 0, "done")}
+    assert ingest.finalize_derivatives(spark, work, DAY).count() == 1
+    add(f"{folder}/in", "bad", orders(9))
+    redone = ingest.ingest(spark, archives(spark, f"{folder}/in"), fo_contract(spark), work)
+    assert [(r.archive_stem, r.rows, r.status) for r in redone.collect()] == [("bad", 0, "done")]
+    assert ingest.sound_shards(spark, work, ingest.FO).count() == 1
 
 
 def test_cash_ingest_leaves_failed_archives_out(spark, folder):
@@ -130,7 +140,7 @@ def test_shard_stream_adds_only_what_is_new(spark, folder):
     con = fo_contract(spark)
     add(f"{folder}/in", "e1", orders(45_001, 45_003))
     ingest.ingest(spark, archives(spark, f"{folder}/in"), con, f"{folder}/work")
-    take = lambda: shards.run_available(spark, f"{folder}/work/fo/shards", f"{folder}/final", f"{folder}/state", DAY)
+    take = lambda: shards.run_available(spark, f"{folder}/work", f"{folder}/final", f"{folder}/state", DAY)
     count = lambda: spark.read.schema(ingest.DERIVATIVE_DDL).parquet(f"{folder}/final").count()
     take()
     take()
@@ -263,6 +273,20 @@ def test_export_of_derivative_files(spark, folder):
         export.export_derivative_files(spark, f"{folder}/in", out, DAY, expiry="7")
 
 
+def test_export_resolves_the_columns_of_each_file(spark, folder):
+    front = "1459348200"
+    for symbol, names in {"A": {}, "B": {"capture_ns": "capture_time_ns", "seqno": "seq_no"}, "C": {"qty": "quantity"}, "D": {"price": "cost"}}.items():
+        path = f"{folder}/in/{symbol}/{DAY}_FUTSTK_{symbol}_{front}.parquet"
+        tick_file(spark, path, *"NTG")
+        pandas.read_parquet(path).rename(columns=names).to_parquet(path)
+    got = {r.symbol: r for r in export.export_derivative_files(spark, f"{folder}/in", f"{folder}/out", DAY).collect()}
+    assert {s: (r.rows, r.status) for s, r in got.items()} == {
+        "A": (2, "written"), "B": (2, "written"), "C": (2, "written"), "D": (None, "error")}
+    assert all(os.path.isdir(got[s].path.removeprefix("file:")) and f"tape=main/symbol={s}" in got[s].path for s in "ABC")
+    rows = spark.read.parquet(f"{folder}/out/tapes").filter("tape = 'main'").collect()
+    assert {(r.symbol, r.capture_ns, r.quantity) for r in rows} == {(s, 5, 5) for s in "ABC"}
+
+
 def test_export_of_cash_files(spark, folder):
     for name in ("X_EQ", "X_BE", "Y_EQ"):
         tick_file(spark, f"{folder}/in/{DAY}_{name}.parquet", *"NTK")

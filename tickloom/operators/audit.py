@@ -82,21 +82,24 @@ def verdict(totals: DataFrame) -> DataFrame:
     )
 
 
-def cross_check(ledger: DataFrame, finals: DataFrame, drops: DataFrame) -> DataFrame:
-    """Ledger rows against written rows, raw and after the intended drops.
+def cross_check(ledger: DataFrame, finals: DataFrame, drops: DataFrame, gains: DataFrame) -> DataFrame:
+    """Ledger rows against written rows, raw and after the intended drops and the split by instrument.
 
-    The three totals are single rows; they are added up rather than joined.
+    The totals are single rows; they are added up rather than joined.
     """
-    zero = F.lit(0).cast("bigint")
+    names = ("parser_total", "parquet_total", "dropped", "gained")
+
+    def part(name: str, total: DataFrame) -> DataFrame:
+        return total.select(*[(F.col("n") if name == other else F.lit(0)).cast("bigint").alias(other) for other in names])
+
     parts = (
-        ledger.agg(F.sum("rows").alias("n")).select(F.col("n").alias("parser_total"), zero.alias("parquet_total"), zero.alias("dropped"))
-        .unionByName(finals.agg(F.count("*").alias("n")).select(zero.alias("parser_total"), F.col("n").alias("parquet_total"), zero.alias("dropped")))
-        .unionByName(drops.agg(F.sum(F.col("dropped_heartbeat") + F.col("dropped_test")).alias("n"))
-                     .select(zero.alias("parser_total"), zero.alias("parquet_total"), F.col("n").alias("dropped")))
+        part("parser_total", ledger.agg(F.sum("rows").alias("n")))
+        .unionByName(part("parquet_total", finals.agg(F.count("*").alias("n"))))
+        .unionByName(part("dropped", drops.agg(F.sum(F.col("dropped_heartbeat") + F.col("dropped_test")).alias("n"))))
+        .unionByName(part("gained", gains.agg(F.sum("gained").alias("n"))))
     )
-    totals = parts.agg(*[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name)
-                         for name in ("parser_total", "parquet_total", "dropped")])
-    checked = verdict(totals).withColumn("expected_total", F.col("parser_total") - F.col("dropped"))
+    totals = parts.agg(*[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in names])
+    checked = verdict(totals).withColumn("expected_total", F.col("parser_total") - F.col("dropped") + F.col("gained"))
     return checked.withColumn("expected_match", F.col("expected_total") == F.col("parquet_total"))
 
 

@@ -65,6 +65,12 @@ def split_by_instrument(attached: DataFrame) -> DataFrame:
     return attached.withColumn("instrument", F.explode("instruments")).drop("instruments")
 
 
+def split_gain(attached: DataFrame) -> DataFrame:
+    """Rows that splitting by instrument adds to those kept: one row, ``gained``."""
+    kept = ~is_heartbeat() & ~is_test()
+    return attached.agg(F.coalesce(F.sum(F.when(kept, F.size("instruments") - 1)), F.lit(0)).cast("bigint").alias("gained"))
+
+
 def drop_counts(attached: DataFrame, *keys: str) -> DataFrame:
     """Heartbeats dropped, then TEST rows dropped from what is left."""
     return attached.groupBy(*keys).agg(

@@ -31,10 +31,13 @@ def resolve_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
+def missing_columns(df: DataFrame) -> list[str]:
+    return [name for name in CORE_COLUMNS if name not in df.columns and name not in OPTIONAL_CORE_COLUMNS]
+
+
 def core_columns(df: DataFrame, *keys: str) -> DataFrame:
     """The core columns in their fixed order; the optional ones may be absent."""
-    missing = [name for name in CORE_COLUMNS
-               if name not in df.columns and name not in OPTIONAL_CORE_COLUMNS]
+    missing = missing_columns(df)
     if missing:
         raise ValueError("missing column(s): " + ", ".join(missing))
     kinds = {"stream_id": "smallint", "token": "int"}

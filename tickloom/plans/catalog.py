@@ -16,7 +16,7 @@ from tickloom.operators import contract as contracts
 from tickloom.operators.contract import Contract
 from tickloom.plans import export, ingest, sinks
 from tickloom.schema import FO_ARCHIVE_GLOB, FO_INSTRUMENTS, ID_COLUMNS
-from tickloom.session import work_folder
+from tickloom.session import checkpointed, work_folder
 from tickloom.sources import capture, contracts as contract_files, listing
 from tickloom.streaming import shards as shard_stream
 
@@ -264,15 +264,15 @@ def token_digit_check(spark, folder):
 
 @query
 def rows_rollup(spark, folder):
-    """OPTIDX rows are left out to show an instrument without rows."""
-    return audit.instrument_totals(fo_final(spark, folder).filter("instrument <> 'OPTIDX'"))
+    """One name more than the tables hold, to show an instrument without rows."""
+    return audit.instrument_totals(fo_final(spark, folder), (*FO_INSTRUMENTS, "FUTCUR"))
 
 
 @query
 def cross_check(spark, folder):
     attached = fo_attached(spark, folder)
     return audit.cross_check(audit.derivative_ledger(attached), ingest.derivative_rows(attached, TRADE_DATE),
-                             lookup.drop_counts(attached))
+                             lookup.drop_counts(attached), lookup.split_gain(attached))
 
 
 @query
@@ -554,7 +554,7 @@ def ingest_cash_counts(spark, folder):
     work = work_folder(spark, "ingest")
     classified = decode.classify(tables.lanes(spark, folder))
     sound = classified.filter("defect IS NULL").drop("msg_type", "msg_class", "defect")
-    broken = classified.filter("defect = 'side'").drop("msg_type", "msg_class", "defect")
+    broken = classified.filter("defect IS NOT NULL").drop("msg_type", "msg_class", "defect")
     write_capture(sound, f"{work}/in", "archive")
     write_capture(broken, f"{work}/in", "archive")
     archives = listing.discover_archives(spark, f"{work}/in", "*.cap.tar.xz")
@@ -584,16 +584,44 @@ def research_export(spark, folder):
 
 @query
 def shard_stream_counts(spark, folder):
-    """Shards taken up incrementally, in two runs over a growing table."""
+    """Archives taken up incrementally, in two runs over a growing table."""
+    return streamed_counts(spark, folder, "archive_stem < 'arc2'", "archive_stem >= 'arc2'")
+
+
+@query
+def shard_stream_redo(spark, folder):
+    """The same, with an archive done again after it was taken up: its rows are replaced."""
+    return streamed_counts(spark, folder, "archive_stem <> 'arc3'", "archive_stem >= 'arc2'")
+
+
+def committed(spark: SparkSession, folder: str, work: str, which: str, rows: str = "true") -> None:
+    """Commit the archives ``which`` selects, with those of their rows that ``rows`` selects."""
+    attached = fo_attached(spark, folder).withColumn("defect", F.lit(None).cast("string")).filter(which)
+    ingest.commit(attached.filter(rows), checkpointed(attached.select("archive_stem").distinct()), ingest.FO.place(work), ingest.FO)
+
+
+def streamed_counts(spark: SparkSession, folder: str, *runs: str) -> DataFrame:
     work = work_folder(spark, "stream")
-    rows = fo_attached(spark, folder).withColumn("defect", F.lit(None).cast("string"))
-    for part in (0, 1):
-        shard_stream.append_shards(rows.filter(F.col("record_no") % 2 == part), f"{work}/shards")
-        shard_stream.run_available(spark, f"{work}/shards", f"{work}/final", f"{work}/state", TRADE_DATE)
+    for which in runs:
+        committed(spark, folder, work, which)
+        shard_stream.run_available(spark, work, f"{work}/final", f"{work}/state", TRADE_DATE)
     finals = spark.read.schema(ingest.DERIVATIVE_DDL).parquet(f"{work}/final")
     return finals.groupBy("instrument", "symbol").agg(F.count("*").alias("rows"))
 
 
+@query
+def ingest_redone_empty(spark, folder):
+    """Status after an archive is done again and yields nothing: its former rows are gone from shards and ledger."""
+    work = work_folder(spark, "redone")
+    committed(spark, folder, work, "true")
+    committed(spark, folder, work, "archive_stem = 'arc1'", "false")
+    shards = ingest.sound_shards(spark, work, ingest.FO).groupBy("archive_stem").agg(F.count("*").alias("shard_rows"))
+    ledger = ingest.sound_ledger(spark, work, ingest.FO).groupBy("archive_stem").agg(F.sum("rows").alias("ledger_rows"))
+    status = ingest.read_table(spark, f"{ingest.FO.place(work)}/status", ingest.STATUS_DDL)
+    return status.join(shards, "archive_stem", "left").join(ledger, "archive_stem", "left").select(
+        "archive_stem", "status", "rows", "shard_rows", "ledger_rows")
+
+
 @query
 def size_report(spark, folder):
     path = work_folder(spark, "sizes")

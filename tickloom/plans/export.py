@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +15,9 @@ from tickloom.operators import ordering, research, resume, sizes
 from tickloom.operators.sizing import broadcast_if_small
 from tickloom.plans import sinks
 from tickloom.plans.ingest import read_table
-from tickloom.session import checkpointed
+from tickloom.session import checkpointed, ship_package
 from tickloom.sources import listing
-from tickloom.sources.files import remove_folder
+from tickloom.sources.files import filesystem_of, remove_folders
 
 
 def summary_schema(keys: Sequence[str]) -> str:
@@ -22,11 +25,13 @@ def summary_schema(keys: Sequence[str]) -> str:
 
 
 def export_tapes(spark: SparkSession, rows: DataFrame, out: str, trade_date: str, keys: Sequence[str],
-                 overwrite: bool = False) -> DataFrame:
+                 overwrite: bool = False, ready: bool = False) -> DataFrame:
     """Export every group of ``rows`` not exported yet; returns one row per group.
 
     ``keys`` are ``symbol`` or ``symbol, series``. The tapes are written first
     and the summary last, so a group counts as existing only when complete.
+    ``ready`` says that the rows hold the research columns already. The path of
+    a group is the folder of its main tape, or of its aux tape if it has no other.
     """
     keys = list(keys)
     schema = summary_schema(keys)
@@ -40,30 +45,31 @@ def export_tapes(spark: SparkSession, rows: DataFrame, out: str, trade_date: str
     if todo.isEmpty():
         return skipped
     wanted = broadcast_if_small(todo)
-    tapes = research.split_tapes(prepared(rows.join(wanted, keys, "left_semi"), keys))
+    chosen = rows.join(wanted, keys, "left_semi")
+    tapes = research.split_tapes(chosen if ready else prepared(chosen, keys))
     place = f"{out}/tapes/trade_date={trade_date}"
-    held = tape_folders(spark, place, keys)
+    held = checkpointed(tape_files(spark, place, keys).join(wanted, keys, "left_semi"))
     sinks.write_tapes(ordering.sort_tape(tapes, "tape", *keys), place, *keys)
     layout = "seq_no INT, tape STRING, " + ", ".join(f"{key} STRING" for key in keys)
     if not held.isEmpty():
-        # A tape that has become empty writes nothing, so its old rows must go.
-        produced = tapes.select("tape", *keys).distinct()
-        stale = held.join(wanted, keys, "left_semi").join(produced, ["tape", *keys], "left_anti")
-        for row in stale.select("folder").collect():
-            remove_folder(row.folder)
+        # A written tape has new files only. One that has become empty writes nothing, so its old files are still there and must go.
+        remove_folders(tape_files(spark, place, keys).join(held.select("path"), "path", "left_semi").select("folder").distinct())
     counts = resume.export_summary(spark.read.schema(layout).parquet(place).join(wanted, keys, "left_semi"), *keys)
-    fresh = with_path(todo.join(counts, keys, "left").fillna({"rows": 0, "status": "written"}), out, trade_date, keys)
-    fresh = checkpointed(fresh)
+    paths = tape_files(spark, place, keys).groupBy(*keys).agg(
+        F.min_by("folder", F.struct(F.col("tape") != "main", "folder")).alias("path"))
+    fresh = checkpointed(
+        todo.join(counts, keys, "left").join(paths, keys, "left").fillna({"rows": 0, "status": "written"})
+        .select("rows", "status", "path", F.lit(trade_date).alias("trade_date"), *keys))
     kept = done.join(fresh.select(*keys), keys, "left_anti")
     sinks.write_summary(fresh.unionByName(kept), f"{out}/summary")
     return fresh.unionByName(skipped) if not overwrite else fresh
 
 
-def tape_folders(spark: SparkSession, place: str, keys: Sequence[str]) -> DataFrame:
-    """The tapes a day holds: one row per tape and group, with its folder."""
+def tape_files(spark: SparkSession, place: str, keys: Sequence[str]) -> DataFrame:
+    """The files of a day's tapes, with their folder, tape and group."""
     files = listing.list_files(spark, place, "*.parquet", recursive=True)
     folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
-    return checkpointed(sizes.with_layout(files, "tape", *keys).select(folder, "tape", *keys).distinct())
+    return sizes.with_layout(files, "tape", *keys).select("path", folder, "tape", *keys)
 
 
 def prepared(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -72,10 +78,23 @@ def prepared(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return research.prepare(rows, *keys, *ties)
 
 
-def with_path(groups: DataFrame, out: str, trade_date: str, keys: Sequence[str]) -> DataFrame:
-    name = text.tape_name(F.concat_ws("_", *keys), F.lit(trade_date))
-    return groups.select("rows", "status", F.concat(F.lit(f"{out}/tapes/"), name).alias("path"),
-                         F.lit(trade_date).alias("trade_date"), *keys)
+def with_columns_found(files: DataFrame) -> DataFrame:
+    """Adds ``columns``: names and types in each file's footer, read in tasks; NULL where it cannot be read."""
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for path in batch.column("path").to_pylist():
+                store, inner = filesystem_of(path)
+                try:
+                    with store.open_input_file(inner) as handle:
+                        found.append("\n".join(f"{field.name}\t{field.type}" for field in pq.read_schema(handle)))
+                except pa.ArrowInvalid:
+                    found.append(None)
+            yield batch.append_column("columns", pa.array(found, pa.string()))
+
+    ship_package(files.sparkSession)
+    schema = files.schema.simpleString()[len("struct<"):-1]
+    return files.mapInArrow(probe, schema + ",columns:string")
 
 
 def export_derivative_files(spark: SparkSession, folder: str, out: str, trade_date: str, expiry: str = "",
@@ -102,22 +121,35 @@ def _export_files(spark: SparkSession, manifest: DataFrame, out: str, trade_date
                   overwrite: bool, report: str) -> DataFrame:
     """Export the files of a manifest and write the summary report.
 
-    A damaged file becomes an error row and the rest goes on. The files' paths
-    reach the driver, as for any scan; their rows do not.
+    Files are read in groups of equal columns, and each group's columns are
+    resolved by its own names. A damaged file, or one without a required
+    column, becomes an error row and the rest goes on. The files' paths reach
+    the driver, as for any scan; their rows do not.
     """
-    checked = checkpointed(listing.with_magic(listing.require_rows(manifest, "no files matched")))
-    paths = [row.path for row in checked.filter("magic_ok").select("path").collect()]
-    failed = checked.filter("NOT magic_ok").select(
-        F.lit(None).cast("bigint").alias("rows"), F.lit("error").alias("status"), "path",
-        F.lit(trade_date).alias("trade_date"), *keys)
-    summary = failed
-    if paths:
+    checked = checkpointed(with_columns_found(listing.require_rows(manifest, "no files matched")))
+    alike: dict[str, list[str]] = {}
+    for row in checked.filter("columns IS NOT NULL").select("path", "columns").collect():
+        alike.setdefault(row["columns"], []).append(row.path)
+    parts, lacking = [], []
+    for columns, paths in alike.items():
+        rows = spark.read.parquet(*paths)
+        if research.missing_columns(research.resolve_columns(rows)):
+            lacking.append(columns)
+            continue
         # The scan reports percent-encoded paths.
         encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
         place = F.regexp_replace(F.url_decode(encoded), "^file:/+", "/")
-        names = checked.select(F.regexp_replace("path", "^file:/+", "/").alias("place"), *keys)
-        rows = spark.read.parquet(*paths).withColumn("place", place)
-        named = rows.join(broadcast_if_small(names), "place").drop("place")
-        summary = export_tapes(spark, named, out, trade_date, keys, overwrite).unionByName(failed)
+        parts.append(prepared(rows.withColumn("tape_source", place), ["tape_source"]))
+    wrong = F.col("columns").isNull() | F.col("columns").isin(lacking) if lacking else F.col("columns").isNull()
+    failed = checked.filter(wrong).select(
+        F.lit(None).cast("bigint").alias("rows"), F.lit("error").alias("status"), "path",
+        F.lit(trade_date).alias("trade_date"), *keys)
+    summary = failed
+    if parts:
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        names = checked.select(F.regexp_replace("path", "^file:/+", "/").alias("tape_source"), *keys)
+        clashing = [key for key in keys if key in rows.columns]
+        named = rows.drop(*clashing).join(broadcast_if_small(names), "tape_source").drop("tape_source")
+        summary = export_tapes(spark, named, out, trade_date, keys, overwrite, ready=True).unionByName(failed)
     sinks.write_report(summary, f"{out}/{report}_{trade_date}")
     return summary

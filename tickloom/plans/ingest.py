@@ -17,6 +17,7 @@ from tickloom.schema import CM_ARCHIVE_GLOB, FO_ARCHIVE_GLOB, MESSAGE_COLUMNS, M
 from tickloom.session import checkpointed
 from tickloom.sources import listing
 from tickloom.sources.capture import read_capture
+from tickloom.sources.files import remove_folders
 
 
 @dataclass(frozen=True)
@@ -55,19 +56,13 @@ CM = Segment("cm", CM_ARCHIVE_GLOB, None, "symbol STRING, series STRING",
              "symbol STRING, series STRING, safe_name STRING", "first", False)
 
 
-def shard_rows(lanes: DataFrame, contract: Contract, segment: Segment) -> DataFrame:
+def shard_rows(lanes: DataFrame, contract: Contract) -> DataFrame:
     """Rows to keep of each archive: known tokens, and any defect.
 
-    A segment that stops on defects fails here; the other carries them along,
-    so that their archive can be told to have failed.
+    Defects are carried along, so that their archive can be told to have failed.
     """
-    classified = decode.classify(lanes)
-    if segment.stop_on_defect:
-        classified = decode.fail_on_defects(classified)
-    wanted = classified.filter("msg_class IS NOT NULL OR defect IS NOT NULL")
+    wanted = decode.classify(lanes).filter("msg_class IS NOT NULL OR defect IS NOT NULL")
     rows = decode.to_messages(wanted, "defect")
-    if segment.stop_on_defect:
-        return lookup.attach(rows, contract)
     return lookup.attach(rows, contract, "left").filter("symbol IS NOT NULL OR defect IS NOT NULL")
 
 
@@ -93,7 +88,9 @@ def ingest(spark: SparkSession, archives: DataFrame, contract: Contract, work: s
 
     Order of commits: data, then the row ledger, then the status. An archive
     counts as done only by its status row, so a run cut short anywhere is
-    simply repeated, and dynamic overwrite replaces what it had written.
+    simply repeated, and what it had written is replaced. An archive with a
+    defect is marked failed and the others are committed; a segment that stops
+    on defects then fails, naming the first one.
     """
     work = segment.place(work)
     if clean_start:
@@ -104,18 +101,39 @@ def ingest(spark: SparkSession, archives: DataFrame, contract: Contract, work: s
     if done is not None:
         todo = resume.remaining_archives(archives, done.filter("status = 'done'"))
     todo = checkpointed(todo.select("archive_stem", "path", "length"))
-    stems = [row.archive_stem for row in todo.select("archive_stem").collect()]
-    if not stems:
+    if todo.isEmpty():
         return spark.createDataFrame([], STATUS_DDL)
-    lanes = read_capture(spark, todo, members=segment.members,
-                         unreadable="fail" if segment.stop_on_defect else "mark")
+    lanes = read_capture(spark, todo, members=segment.members, unreadable="mark")
+    fresh = commit(shard_rows(lanes, contract), todo, work, segment)
+    if segment.stop_on_defect and not fresh.filter("defects > 0").isEmpty():
+        raise RuntimeError(first_defect(spark, fresh, work, segment))
+    return fresh
+
+
+def drop_archives(todo: DataFrame, path: str) -> None:
+    """Remove what a table below ``path`` holds of the archives of ``todo``.
+
+    An archive done again may yield nothing where it had rows before, and an
+    overwrite by partition would leave those rows in place.
+    """
+    held = sizes.with_layout(listing.list_files(todo.sparkSession, path, "*.parquet", recursive=True), "archive_stem")
+    stale = held.join(todo.select("archive_stem"), "archive_stem", "left_semi")
+    remove_folders(stale.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct())
+
+
+def commit(rows: DataFrame, todo: DataFrame, work: str, segment: Segment) -> DataFrame:
+    """Write the shard rows of the archives of ``todo``, their ledger and their status; returns the status rows.
+
+    ``work`` is the segment's own folder. The archives' former rows are replaced.
+    """
+    spark = rows.sparkSession
+    for name in ("status", "ledger", "shards"):
+        drop_archives(todo, f"{work}/{name}")
     sinks.write_shards(
-        shard_rows(lanes, contract, segment).select(
-            "record_no", *MESSAGE_COLUMNS, *segment.meta_columns, "defect", "archive_stem"),
-        f"{work}/shards")
-    # The stems are partition values: only the directories of this run are read.
-    written = spark.read.schema(segment.shard_schema).parquet(f"{work}/shards").filter(
-        F.col("archive_stem").isin(stems))
+        rows.select("record_no", *MESSAGE_COLUMNS, *segment.meta_columns, "defect", "archive_stem"), f"{work}/shards")
+    # The join is on partition values: only the directories of this run are read.
+    names = broadcast_if_small(todo.select("archive_stem"))
+    written = spark.read.schema(segment.shard_schema).parquet(f"{work}/shards").join(names, "archive_stem", "left_semi")
     ledger = audit.derivative_ledger if segment is FO else audit.cash_ledger
     sinks.write_ledger(ledger(written.filter("defect IS NULL")), f"{work}/ledger")
     counted = written.groupBy("archive_stem").agg(
@@ -125,7 +143,16 @@ def ingest(spark: SparkSession, archives: DataFrame, contract: Contract, work: s
         F.when(F.col("defects") > 0, F.lit("failed")).otherwise(F.lit("done")).alias("status"),
         "archive_stem")
     sinks.write_ledger(status, f"{work}/status")
-    return read_table(spark, f"{work}/status", STATUS_DDL).filter(F.col("archive_stem").isin(stems))
+    return read_table(spark, f"{work}/status", STATUS_DDL).join(names, "archive_stem", "left_semi")
+
+
+def first_defect(spark: SparkSession, fresh: DataFrame, work: str, segment: Segment) -> str:
+    """Rule and place of the first defect by archive and record."""
+    failed = broadcast_if_small(fresh.filter("defects > 0").select("archive_stem"))
+    shards = spark.read.schema(segment.shard_schema).parquet(f"{work}/shards").filter("defect IS NOT NULL")
+    place = F.min(F.struct("archive_stem", "record_no", "defect")).alias("first")
+    first = shards.join(failed, "archive_stem", "left_semi").agg(place).select("first.*").first()
+    return f"defect {first.defect} in {first.archive_stem} record {first.record_no}"
 
 
 def sound_shards(spark: SparkSession, work: str, segment: Segment, skip_unreadable: bool = False) -> DataFrame:
@@ -191,7 +218,7 @@ def audit_derivatives(spark: SparkSession, work: str, trade_date: str) -> dict[s
     return {
         "files": report.withColumn("filename", name),
         "totals": audit.instrument_totals(finals),
-        "cross_check": audit.cross_check(ledger, finals, lookup.drop_counts(shards)),
+        "cross_check": audit.cross_check(ledger, finals, lookup.drop_counts(shards), lookup.split_gain(shards)),
         "sizes": sizes.instrument_sizes(files),
     }
 

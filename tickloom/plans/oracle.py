@@ -204,13 +204,14 @@ SELECT series, tokens FROM counted""",
   CASE WHEN count(*) FILTER (token < 10000 OR token > 999999) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
 FROM final GROUP BY 1, 2, 3""",
     "rows_rollup": _with("fo") + """SELECT coalesce(d.i, 'TOTAL') AS instrument, CAST(count(f.instrument) AS BIGINT) AS rows
-FROM (VALUES ('FUTSTK'), ('FUTIDX'), ('OPTSTK'), ('OPTIDX')) AS d(i)
-LEFT JOIN final f ON f.instrument = d.i AND f.instrument <> 'OPTIDX' GROUP BY ROLLUP (d.i)""",
+FROM (VALUES ('FUTSTK'), ('FUTIDX'), ('OPTSTK'), ('OPTIDX'), ('FUTCUR')) AS d(i)
+LEFT JOIN final f ON f.instrument = d.i GROUP BY ROLLUP (d.i)""",
     "cross_check": _with("fo") + ", totals AS (SELECT (SELECT count(*) FROM att) AS parser_total, "
     "(SELECT count(*) FROM final) AS parquet_total, "
-    "(SELECT count(*) FROM att WHERE msg_type = 'Z' OR symbol LIKE 'TEST%') AS dropped)\n"
-    + _verdict("FROM totals", "dropped, parser_total - dropped AS expected_total, "
-               "parser_total - dropped = parquet_total AS expected_match, "),
+    "(SELECT count(*) FROM att WHERE msg_type = 'Z' OR symbol LIKE 'TEST%') AS dropped, "
+    "(SELECT count(*) FROM final) - (SELECT count(*) FROM att WHERE msg_type <> 'Z' AND symbol NOT LIKE 'TEST%') AS gained)\n"
+    + _verdict("FROM totals", "dropped, gained, parser_total - dropped + gained AS expected_total, "
+               "parser_total - dropped + gained = parquet_total AS expected_match, "),
     "cross_check_by_key": _with("fo") + """, l AS (SELECT expiry, symbol, count(*) AS n FROM att GROUP BY 1, 2),
 r AS (SELECT expiry, symbol, count(*) AS n FROM final GROUP BY 1, 2),
 totals AS (SELECT coalesce(l.expiry, r.expiry) AS expiry, coalesce(l.symbol, r.symbol) AS symbol,
@@ -293,6 +294,10 @@ FROM decoded d JOIN cm_meta c ON d.token = c.token GROUP BY 1, 2""",
   SELECT symbol, count(*) FILTER (tape = 'main') AS rows FROM tape GROUP BY 1)
 SELECT symbol, rows, 'written' AS status FROM written UNION ALL SELECT symbol, NULL, 'exists' FROM written""",
     "shard_stream_counts": _with("fo") + "SELECT instrument, symbol, count(*) AS rows FROM final GROUP BY 1, 2",
+    "shard_stream_redo": _with("fo") + "SELECT instrument, symbol, count(*) AS rows FROM final GROUP BY 1, 2",
+    "ingest_redone_empty": _with("fo") + """SELECT archive_stem, 'done' AS status,
+  count(*) FILTER (archive_stem <> 'arc1') AS rows, nullif(count(*) FILTER (archive_stem <> 'arc1'), 0) AS shard_rows,
+  CAST(nullif(count(*) FILTER (archive_stem <> 'arc1'), 0) AS BIGINT) AS ledger_rows FROM att GROUP BY 1""",
     "size_by_instrument": _with("files") + """SELECT coalesce(d.i, 'TOTAL') AS instrument,
   CAST(coalesce(sum(f.length), 0) AS BIGINT) AS bytes, count(f.length) AS files, count(DISTINCT f.expiry) AS expiries,
   count(DISTINCT CASE WHEN f.symbol IS NOT NULL THEN (f.instrument, f.symbol, f.expiry) END) AS symbol_groups

@@ -1,39 +1,32 @@
-"""Incremental form: final rows taken from shards as they arrive.
+"""Incremental form: final rows taken from archives as they are done.
 
-The stream's checkpoint remembers which shard files were taken, so running it
-again adds only what is new. Each micro-batch writes partitions that carry its
-number: a batch that is replayed replaces its own output and nothing else.
+The stream follows the status rows, which are written last: an archive is taken
+up once its data and its ledger are complete. Final rows lie by archive, so an
+archive done again, or a micro-batch replayed, replaces its own rows and
+nothing else.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from tickloom.operators.sizing import broadcast_if_small
 from tickloom.plans import ingest, sinks
-from tickloom.schema import MESSAGE_COLUMNS
+from tickloom.session import checkpointed
 
 
-def append_shards(rows: DataFrame, path: str, segment: ingest.Segment = ingest.FO) -> None:
-    columns = ["record_no", *MESSAGE_COLUMNS, *segment.meta_columns, "defect", "archive_stem"]
-    rows.select(*columns).write.mode("append").partitionBy("archive_stem").parquet(path)
+def run_available(spark: SparkSession, work: str, target: str, state: str, trade_date: str,
+                  files_per_batch: int = 10_000) -> None:
+    """Take up every archive done since the last run, then stop; ``work`` is the day's folder, as for ``ingest``."""
+    place = ingest.FO.place(work)
 
-
-def stream_finals(spark: SparkSession, shards: str, trade_date: str, drop_test: bool = True,
-                  files_per_batch: int = 10_000) -> DataFrame:
-    """Final derivative rows of a shard table, as a stream."""
-    arriving = spark.readStream.schema(ingest.FO.shard_schema).option(
-        "maxFilesPerTrigger", files_per_batch).parquet(shards)
-    return ingest.derivative_rows(arriving.filter("defect IS NULL").drop("defect"), trade_date, drop_test)
-
-
-def run_available(spark: SparkSession, shards: str, target: str, state: str, trade_date: str) -> None:
-    """Take up every shard file not taken before, then stop."""
     def write(batch: DataFrame, number: int) -> None:
-        sinks.write_derivatives(batch.withColumn("increment", F.lit(number)), target, "increment")
-
-    running = (
-        stream_finals(spark, shards, trade_date).writeStream.foreachBatch(write)
-        .option("checkpointLocation", state).trigger(availableNow=True).start()
-    )
+        taken = checkpointed(batch.filter("status = 'done'").select("archive_stem").distinct())
+        shards = spark.read.schema(ingest.FO.shard_schema).parquet(f"{place}/shards").drop("defect")
+        rows = ingest.derivative_rows(shards.join(broadcast_if_small(taken), "archive_stem", "left_semi"), trade_date)
+        ingest.drop_archives(taken, f"{target}/trade_date={trade_date}")
+        sinks.write_derivatives(rows, target, "archive_stem")
+
+    arriving = spark.readStream.schema(ingest.STATUS_DDL).option("maxFilesPerTrigger", files_per_batch).parquet(f"{place}/status")
+    running = arriving.writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
     running.awaitTermination()
