@@ -10,7 +10,6 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions import text
 from tickloom.operators import ordering, research, resume, sizes
 from tickloom.operators.sizing import broadcast_if_small
 from tickloom.plans import sinks

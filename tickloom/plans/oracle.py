@@ -275,8 +275,8 @@ UNION ALL SELECT path, regexp_extract(path, '([^/]*)\\.cap$', 1) FROM chosen""",
     "resume_remaining": """SELECT DISTINCT 'efvi_' || o_custkey AS archive_stem FROM orders
 WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey%3 = 0)""",
     "export_todo": _with("dup") + """SELECT DISTINCT symbol, series FROM dup EXCEPT
-SELECT symbol, series FROM dup WHERE line_key%5 = 0 GROUP BY 1, 2 HAVING count(DISTINCT line_key%2) = 2""",
-    "export_existing": _with("dup") + """SELECT symbol, series FROM dup WHERE line_key%5 = 0
+SELECT symbol, series FROM dup WHERE line_key%101 = 0 GROUP BY 1, 2 HAVING count(DISTINCT line_key%2) = 2""",
+    "export_existing": _with("dup") + """SELECT symbol, series FROM dup WHERE line_key%101 = 0
 GROUP BY 1, 2 HAVING count(DISTINCT line_key%2) = 2""",
     "capture_roundtrip": _with("decoded") + DECODED,
     "archive_roundtrip": _with("decoded") + DECODED,
