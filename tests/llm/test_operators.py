@@ -151,6 +151,16 @@ def test_decontamination_against_all_windows(spark):
     assert decontaminate.matches(frame(spark), bench.limit(0)).count() == 0
 
 
+def test_decontamination_with_repeated_items(spark):
+    first, second = (" ".join(f"{letter}{i}" for i in range(30)) for letter in "ab")
+    items = [(1, first), (1, first), (2, first), (2, second), (None, first), (None, second), (None, second)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = frame(spark, [(30, "intro " + first + " end"), (31, second), (32, first + " mid " + second)])
+    got = sorted(((r.doc_id, r.item_id, r.start, r.similarity) for r in decontaminate.matches(docs, bench).collect()), key=str)
+    assert got == sorted([(30, 1, 1, 1.0), (30, 2, 1, 1.0), (30, None, 1, 1.0), (31, 2, 0, 1.0), (31, None, 0, 1.0),
+                          (32, 1, 0, 1.0), (32, 2, 0, 1.0), (32, None, 0, 1.0)], key=str)
+
+
 def test_hamming_blocks_lose_nothing(spark):
     draw = np.random.default_rng(4)
     left = [int(v) for v in draw.integers(-(1 << 63), 1 << 63, 60)]

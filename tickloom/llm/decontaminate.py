@@ -33,13 +33,16 @@ def shingle_hashes(words: Column, width: int) -> Column:
 
 
 def items_of(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item, n_words, width, shingles) of items with at least one word; short items are one shingle of all their words."""
+    """Distinct (item, n_words, width, variant, shingles) of texts with at least one word; short ones are one shingle of all their words.
+
+    Repeated rows are one, and texts that share an item's id, null too, stay apart by ``variant``, the hash of their shingles.
+    """
     rows = benchmark.select(F.col(id_col).alias("item"), words_of(F.col(text_col)).alias("words")) \
         .select("item", "words", F.size("words").alias("n_words")).where("n_words > 0")
     parts = [rows.where(F.least(F.col("n_words"), F.lit(WORDS)) == width)
              .select("item", "n_words", F.lit(width).alias("width"), shingle_hashes(F.col("words"), width).alias("shingles"))
              for width in range(1, WORDS + 1)]
-    return reduce(DataFrame.unionAll, parts)
+    return reduce(DataFrame.unionAll, parts).withColumn("variant", F.xxhash64("shingles")).dropDuplicates(["item", "n_words", "variant"])
 
 
 def counted(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -108,8 +111,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     The benchmark's shingles are broadcast only when measured small. Windows
     of equal content, as in copies, are fingerprinted once. Null and empty
     texts, and items without a word, match nothing; a null id is reported as
-    null; repeated rows give one row; other columns are ignored; an empty
-    side gives no rows. Ties go to the earlier start.
+    null; repeated rows give one row, on either side; each text of an item id
+    is matched by itself, and the best of them is reported; other columns are
+    ignored; an empty side gives no rows. Ties go to the earlier start.
     """
     items = stored(items_of(benchmark, item_col, item_text_col), "items")
     # At most WORDS values, as the width is bounded.
@@ -130,13 +134,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     contents = first.select("n_words", "content", F.explode("shingles").alias("shingle"))
     # Stored, so that the planner does not repeat the long fingerprint expression wherever it is used.
     prints = stored(counted(contents, ["n_words", "content"]), "prints")
-    item_prints = counted(items.select("item", "n_words", F.explode("shingles").alias("shingle")), ["item", "n_words"]) \
+    item_prints = counted(items.select("item", "n_words", "variant", F.explode("shingles").alias("shingle")), ["item", "n_words", "variant"]) \
         .withColumnsRenamed({"weights": "item_weights", "total": "item_total"})
     near = within_radius(prints, broadcast_if_small(stored(item_prints, "item-prints")), "n_words", radius)
     verified = near.withColumn("similarity", weighted_similarity(F.col("weights"), F.col("total"), F.col("item_weights"), F.col("item_total"))) \
         .where(F.col("similarity") >= similarity).select("n_words", "content", "item", "hamming", "similarity")
     best = windows.select("id", "start", "n_words", "content").join(verified, ["n_words", "content"])
-    rank = F.struct(-F.col("similarity"), "start")
+    rank = F.struct(-F.col("similarity"), "start", "n_words", "hamming")
     return best.groupBy("id", "item").agg(
         F.min_by(F.struct("start", "n_words", "hamming", "similarity"), rank).alias("best")) \
         .select(F.col("id").alias(id_col), F.col("item").alias(item_col), "best.*")
