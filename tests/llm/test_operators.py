@@ -161,6 +161,28 @@ def test_decontamination_with_repeated_items(spark):
                           (32, 1, 0, 1.0), (32, 2, 0, 1.0), (32, None, 0, 1.0)], key=str)
 
 
+def test_decontamination_finds_all_edited_passages(spark):
+    draw = np.random.default_rng(11)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    items, texts, similarities = [], [], []
+    for key in range(300):
+        # The last word is missing from short passages, a word is changed in longer ones.
+        n = 9 if key % 2 else int(draw.integers(30, 60))
+        own = [vocabulary[i] for i in draw.integers(0, 3000, n)]
+        copy = own[:8] if n == 9 else own.copy()
+        if n > 9:
+            copy[int(draw.integers(n))] = "edited"
+        sets = [collections.Counter(tuple(found[i : i + 5]) for i in range(len(found) - 4)) for found in (own, copy)]
+        similarities.append(weighted(*sets))
+        items.append((key, " ".join(own)))
+        texts.append((key, " ".join(copy)))
+    wanted = {key: value for key, value in enumerate(similarities) if value >= 0.8}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r.similarity for r in decontaminate.matches(frame(spark, texts), bench).collect() if r.doc_id == r.item_id}
+    assert sum(value < 0.85 for value in wanted.values()) > 60
+    assert set(got) >= set(wanted) and all(got[key] >= value - 1e-9 for key, value in wanted.items())
+
+
 def test_hamming_blocks_lose_nothing(spark):
     draw = np.random.default_rng(4)
     left = [int(v) for v in draw.integers(-(1 << 63), 1 << 63, 60)]

@@ -1,4 +1,4 @@
-"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming search, weighted-shingle check."""
+"""Benchmark decontamination: item-sized windows, candidates by rare shingles or by SimHash, weighted-shingle check."""
 
 from __future__ import annotations
 
@@ -88,6 +88,34 @@ def within_radius(left: DataFrame, right: DataFrame, size: str, radius: int) ->
         .drop("_a1", "_a2", "_f1", "_f2", "_size")
 
 
+def sharing(prints: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of windows (n_words, content) and items (item, variant) of equal size that may be similar, with all columns of both.
+
+    A similar pair shares at least ``similarity`` of the window's weight, so
+    it shares one of the window's shingles whatever others of less than that
+    weight are left out. The most common ones are left out, so every pair at
+    or above the limit is here.
+    """
+    postings = stored(items.select("n_words", "item", "variant", F.explode(F.map_keys("item_weights")).alias("shingle")), "item-postings")
+    usual = broadcast_if_small(stored(postings.groupBy("n_words", "shingle").agg(F.count("*").alias("times")), "item-times"))
+    spread = prints.select("n_words", "content", "total", F.explode("weights").alias("shingle", "weight"))
+    ordered = spread.join(usual, ["n_words", "shingle"], "left").groupBy("n_words", "content", "total").agg(F.sort_array(F.collect_list(
+        F.struct(F.coalesce("times", F.lit(0).cast("long")).alias("times"), "shingle", "weight"))).alias("ordered"))
+    # What may be left out before a shingle is: less than the weight that a similar pair shares.
+    spare = F.col("total") - F.ceil(F.col("total") * similarity - 1e-9)
+    before = F.aggregate("ordered", F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<bigint>").alias("kept")), lambda found, entry: F.struct(
+        (found["sum"] + entry["weight"]).alias("sum"),
+        F.when((found["sum"] <= spare) & (entry["times"] > 0), F.concat(found["kept"], F.array(entry["shingle"]))).otherwise(found["kept"]).alias("kept")))
+    rare = ordered.select("n_words", "content", F.explode(before["kept"]).alias("shingle"))
+    met = stored(rare.join(broadcast_if_small(postings), ["n_words", "shingle"]).select("n_words", "content", "item", "variant").distinct(), "candidates")
+    sized = items.withColumnsRenamed({"n_words": "_n_words", "item": "_item", "variant": "_variant", "fingerprint": "_fingerprint"})
+    known = broadcast_if_small(stored(sized, "sized-items"))
+    return met.join(prints, ["n_words", "content"]).join(
+        known, (F.col("n_words") == F.col("_n_words")) & F.col("item").eqNullSafe(F.col("_item")) & (F.col("variant") == F.col("_variant"))) \
+        .withColumn("hamming", F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("_fingerprint")))) \
+        .drop("_n_words", "_item", "_variant", "_fingerprint")
+
+
 def weighted_similarity(a: Column, a_total: Column, b: Column, b_total: Column) -> Column:
     """Weighted Jaccard: the smaller weights over the larger ones, summed over all shingles."""
     shared = F.aggregate(F.map_entries(a), F.lit(0).cast("long"),
@@ -96,7 +124,7 @@ def weighted_similarity(a: Column, a_total: Column, b: Column, b_total: Column)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-            item_text_col: str = "text", similarity: float = 0.8, radius: int = 15) -> DataFrame:
+            item_text_col: str = "text", similarity: float = 0.8, radius: int | None = None) -> DataFrame:
     """Documents that hold a benchmark item: (id, item, start, n_words, hamming, similarity), the best window of each pair.
 
     Words are lower-case runs of letters and digits, shingles five words
@@ -105,8 +133,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     their shingles occur in items of that size: a window at or above
     ``similarity`` has at least that share of them, and moving it on to its
     first such shingle cannot lower the similarity, so no match is lost here.
-    Fingerprints within ``radius`` bits of an item's are all found by blocks;
-    the weighted Jaccard of the shingle counts decides.
+    Items that share enough of a window's shingles are all found by its
+    rarest ones (``sharing``); the weighted Jaccard of the shingle counts
+    decides, and ``hamming`` only tells how far the fingerprints are apart.
+    With a ``radius``, items are instead those within so many bits, found by
+    blocks. That loses matches near the limit: at 0.8 a bit of two windows
+    differs with probability of about 0.15, more for short items, so that 15
+    bits lose some percent.
 
     The benchmark's shingles are broadcast only when measured small. Windows
     of equal content, as in copies, are fingerprinted once. Null and empty
@@ -136,7 +169,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     prints = stored(counted(contents, ["n_words", "content"]), "prints")
     item_prints = counted(items.select("item", "n_words", "variant", F.explode("shingles").alias("shingle")), ["item", "n_words", "variant"]) \
         .withColumnsRenamed({"weights": "item_weights", "total": "item_total"})
-    near = within_radius(prints, broadcast_if_small(stored(item_prints, "item-prints")), "n_words", radius)
+    item_prints = stored(item_prints, "item-prints")
+    near = sharing(prints, item_prints, similarity) if radius is None else within_radius(prints, broadcast_if_small(item_prints), "n_words", radius)
     verified = near.withColumn("similarity", weighted_similarity(F.col("weights"), F.col("total"), F.col("item_weights"), F.col("item_total"))) \
         .where(F.col("similarity") >= similarity).select("n_words", "content", "item", "hamming", "similarity")
     best = windows.select("id", "start", "n_words", "content").join(verified, ["n_words", "content"])
