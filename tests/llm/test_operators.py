@@ -333,3 +333,13 @@ def test_stages_keep_columns_and_take_effect(spark):
     assert [r.doc_id for r in stages.drop_contaminated(spark, leak, folder).collect()] == [2]
     masked = stages.mask_personal_data(spark, spark.createDataFrame([(1, "a@b.com", "en", "s", 7)], docs.schema), folder).first()
     assert (masked.text, masked.n_chars) == ("[EMAIL]", 7)
+
+
+def test_contamination_is_decided_by_row(spark):
+    folder = "/root/testdata/sf0.001"
+    schema = spark.read.parquet(f"{folder}/documents.parquet").schema
+    bench = spark.read.parquet(f"{folder}/benchmark.parquet").first().text
+    rows = [(key, text, "en", "s", 1) for key, text in [(None, "before " + bench), (None, "clean words"), (None, None), (None, "clean words"),
+                                                        (7, bench + " after"), (7, "other clean words"), (8, None)]]
+    got = stages.drop_contaminated(spark, spark.createDataFrame(rows, schema), folder).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in got) == [(0, ""), (0, "clean words"), (0, "clean words"), (7, "other clean words"), (8, "")]

@@ -32,6 +32,11 @@ def shingle_hashes(words: Column, width: int) -> Column:
     return F.get(F.transform(F.array(words), hashed), F.lit(0))
 
 
+def text_hash(text: Column) -> Column:
+    """Tells rows of equal id apart by their text."""
+    return F.xxhash64(text)
+
+
 def items_of(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Distinct (item, n_words, width, variant, shingles) of texts with at least one word; short ones are one shingle of all their words.
 
@@ -123,6 +128,37 @@ def weighted_similarity(a: Column, a_total: Column, b: Column, b_total: Column)
     return shared / (a_total + b_total - shared)
 
 
+def _matched(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str,
+             similarity: float, radius: int | None) -> DataFrame:
+    """(id, text_hash, start, n_words, content, item, hamming, similarity) of all windows that match an item."""
+    items = stored(items_of(benchmark, item_col, item_text_col), "items")
+    # At most WORDS values, as the width is bounded.
+    widths = [row.width for row in items.select("width").distinct().collect()]
+    known = items.select("width", "n_words", F.explode("shingles").alias("shingle")).distinct() \
+        .groupBy("width", "shingle").agg(F.collect_set("n_words").alias("sizes"))
+    known = broadcast_if_small(stored(known, "item-shingles"))
+    rows = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
+    found = None
+    for width in widths:
+        part = _windows(rows, known.where(F.col("width") == width).drop("width"), width, similarity)
+        found = part if found is None else found.unionAll(part)
+    if found is None:
+        found = _windows(rows.limit(0), known.drop("width"), WORDS, similarity)
+    windows = stored(found, "windows")
+    # One window stands for all of equal content.
+    first = windows.groupBy("n_words", "content").agg(F.min_by("shingles", F.struct("id", "start")).alias("shingles"))
+    contents = first.select("n_words", "content", F.explode("shingles").alias("shingle"))
+    # Stored, so that the planner does not repeat the long fingerprint expression wherever it is used.
+    prints = stored(counted(contents, ["n_words", "content"]), "prints")
+    item_prints = counted(items.select("item", "n_words", "variant", F.explode("shingles").alias("shingle")), ["item", "n_words", "variant"]) \
+        .withColumnsRenamed({"weights": "item_weights", "total": "item_total"})
+    item_prints = stored(item_prints, "item-prints")
+    near = sharing(prints, item_prints, similarity) if radius is None else within_radius(prints, broadcast_if_small(item_prints), "n_words", radius)
+    verified = near.withColumn("similarity", weighted_similarity(F.col("weights"), F.col("total"), F.col("item_weights"), F.col("item_total"))) \
+        .where(F.col("similarity") >= similarity).select("n_words", "content", "item", "hamming", "similarity")
+    return windows.select("id", "text_hash", "start", "n_words", "content").join(verified, ["n_words", "content"])
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
             item_text_col: str = "text", similarity: float = 0.8, radius: int | None = None) -> DataFrame:
     """Documents that hold a benchmark item: (id, item, start, n_words, hamming, similarity), the best window of each pair.
@@ -148,32 +184,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     is matched by itself, and the best of them is reported; other columns are
     ignored; an empty side gives no rows. Ties go to the earlier start.
     """
-    items = stored(items_of(benchmark, item_col, item_text_col), "items")
-    # At most WORDS values, as the width is bounded.
-    widths = [row.width for row in items.select("width").distinct().collect()]
-    known = items.select("width", "n_words", F.explode("shingles").alias("shingle")).distinct() \
-        .groupBy("width", "shingle").agg(F.collect_set("n_words").alias("sizes"))
-    known = broadcast_if_small(stored(known, "item-shingles"))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = None
-    for width in widths:
-        part = _windows(rows, known.where(F.col("width") == width).drop("width"), width, similarity)
-        found = part if found is None else found.unionAll(part)
-    if found is None:
-        found = _windows(rows.limit(0), known.drop("width"), WORDS, similarity)
-    windows = stored(found, "windows")
-    # One window stands for all of equal content.
-    first = windows.groupBy("n_words", "content").agg(F.min_by("shingles", F.struct("id", "start")).alias("shingles"))
-    contents = first.select("n_words", "content", F.explode("shingles").alias("shingle"))
-    # Stored, so that the planner does not repeat the long fingerprint expression wherever it is used.
-    prints = stored(counted(contents, ["n_words", "content"]), "prints")
-    item_prints = counted(items.select("item", "n_words", "variant", F.explode("shingles").alias("shingle")), ["item", "n_words", "variant"]) \
-        .withColumnsRenamed({"weights": "item_weights", "total": "item_total"})
-    item_prints = stored(item_prints, "item-prints")
-    near = sharing(prints, item_prints, similarity) if radius is None else within_radius(prints, broadcast_if_small(item_prints), "n_words", radius)
-    verified = near.withColumn("similarity", weighted_similarity(F.col("weights"), F.col("total"), F.col("item_weights"), F.col("item_total"))) \
-        .where(F.col("similarity") >= similarity).select("n_words", "content", "item", "hamming", "similarity")
-    best = windows.select("id", "start", "n_words", "content").join(verified, ["n_words", "content"])
+    best = _matched(docs, benchmark, id_col, text_col, item_col, item_text_col, similarity, radius)
     rank = F.struct(-F.col("similarity"), "start", "n_words", "hamming")
     return best.groupBy("id", "item").agg(
         F.min_by(F.struct("start", "n_words", "hamming", "similarity"), rank).alias("best")) \
@@ -181,26 +192,32 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 
 def _windows(rows: DataFrame, known: DataFrame, width: int, similarity: float) -> DataFrame:
-    """(id, start, n_words, content, shingles) of the windows that could match an item of their size."""
-    hashed = rows.select("id", words_of(F.col("text")).alias("words")).select("id", shingle_hashes(F.col("words"), width).alias("shingles"))
-    hits = hashed.select("id", F.posexplode_outer("shingles").alias("start", "shingle"))
-    hits = hits.join(known, "shingle").select("id", "start", F.explode("sizes").alias("n_words"))
+    """(id, text_hash, start, n_words, content, shingles) of the windows that could match an item of their size."""
+    hashed = rows.select("id", "text_hash", words_of(F.col("text")).alias("words")).select("id", "text_hash", shingle_hashes(F.col("words"), width).alias("shingles"))
+    hits = hashed.select("id", "text_hash", F.posexplode_outer("shingles").alias("start", "shingle"))
+    hits = hits.join(known, "shingle").select("id", "text_hash", "start", F.explode("sizes").alias("n_words"))
     # A window of n words starts at most n - width + 1 shingles.
     span = F.col("n_words") - width + 1
-    near = hits.groupBy("id", "n_words").agg(F.sort_array(F.collect_set("start")).alias("starts"))
+    near = hits.groupBy("id", "text_hash", "n_words").agg(F.sort_array(F.collect_set("start")).alias("starts"))
     enough = F.ceil(span * similarity - 1e-9)
     # With m = enough hits needed, hit k begins a window that holds hit k + m - 1 as well, if the window is long enough.
     chosen = F.filter(F.transform("starts", lambda start, k: F.when(
         F.get("starts", (k + enough - 1).cast("int")) < start + span, start)), lambda start: start.isNotNull())
-    wanted = near.select("id", F.struct("n_words", chosen.alias("starts")).alias("sized")).where(F.size("sized.starts") > 0) \
-        .groupBy("id").agg(F.collect_list("sized").alias("sized"))
-    joined = hashed.join(wanted.withColumnRenamed("id", "_id"), F.col("id").eqNullSafe(F.col("_id")))
-    spread = joined.select("id", "shingles", F.explode("sized").alias("sized")) \
-        .select("id", "shingles", F.col("sized.n_words").alias("n_words"), F.explode("sized.starts").alias("start"))
-    cut = spread.select("id", "start", "n_words", F.slice("shingles", F.col("start") + 1, F.col("n_words") - width + 1).alias("shingles"))
-    return cut.select("id", "start", "n_words", F.xxhash64("shingles").alias("content"), "shingles")
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """Distinct ids of documents with a match; options as for ``matches``."""
-    return matches(docs, benchmark, id_col, **options).select(id_col).distinct()
+    wanted = near.select("id", "text_hash", F.struct("n_words", chosen.alias("starts")).alias("sized")).where(F.size("sized.starts") > 0) \
+        .groupBy("id", "text_hash").agg(F.collect_list("sized").alias("sized"))
+    joined = hashed.join(wanted.withColumnsRenamed({"id": "_id", "text_hash": "_text_hash"}),
+                         F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_text_hash")))
+    spread = joined.select("id", "text_hash", "shingles", F.explode("sized").alias("sized")) \
+        .select("id", "text_hash", "shingles", F.col("sized.n_words").alias("n_words"), F.explode("sized.starts").alias("start"))
+    cut = spread.select("id", "text_hash", "start", "n_words", F.slice("shingles", F.col("start") + 1, F.col("n_words") - width + 1).alias("shingles"))
+    return cut.select("id", "text_hash", "start", "n_words", F.xxhash64("shingles").alias("content"), "shingles")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+                 item_text_col: str = "text", similarity: float = 0.8, radius: int | None = None) -> DataFrame:
+    """Distinct (id, text_hash) of rows with a match; options as for ``matches``.
+
+    Rows that share an id, null too, are told apart by ``text_hash`` of their text.
+    """
+    found = _matched(docs, benchmark, id_col, text_col, item_col, item_text_col, similarity, radius)
+    return found.select(F.col("id").alias(id_col), "text_hash").distinct()

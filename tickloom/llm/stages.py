@@ -29,9 +29,9 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    found = stored(decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).withColumnRenamed("doc_id", "_found"), "contaminated")
-    return docs.join(found, docs.doc_id.eqNullSafe(found._found), "left_anti")
+    """Rows without a passage of the benchmark; each is judged by its own text, also where an id is null or repeated."""
+    found = stored(decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).withColumnsRenamed({"doc_id": "_found", "text_hash": "_text_hash"}), "contaminated")
+    return docs.join(found, docs.doc_id.eqNullSafe(found._found) & (decontaminate.text_hash(docs.text) == found._text_hash), "left_anti")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
