@@ -343,3 +343,14 @@ def test_contamination_is_decided_by_row(spark):
                                                         (7, bench + " after"), (7, "other clean words"), (8, None)]]
     got = stages.drop_contaminated(spark, spark.createDataFrame(rows, schema), folder).collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in got) == [(0, ""), (0, "clean words"), (0, "clean words"), (7, "other clean words"), (8, "")]
+
+
+def test_near_copies_with_null_and_repeated_ids(spark):
+    schema = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").schema
+    near = [" ".join([*(f"t{i}" for i in range(100)), f"end{k}"]) for k in range(4)]
+    other, lone = " ".join(f"o{i}" for i in range(50)), " ".join(f"n{i}" for i in range(50))
+    rows = [(3, near[0]), (5, near[1]), (5, other), (None, near[2]), (None, near[2]), (None, lone), (None, lone), (6, lone + " more"), (7, "two words"), (7, "two words"),
+            (None, None), (None, None), (8, ""), (8, "")]
+    got = stages.keep_one_of_each(spark, spark.createDataFrame([(*row, "en", "s", 1) for row in rows], schema).repartition(3), "").collect()
+    wanted = [(3, near[0]), (5, other), (6, lone + " more"), (7, "two words"), (None, None), (None, None), (8, ""), (8, "")]
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(wanted, key=str)

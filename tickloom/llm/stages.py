@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.llm import decontaminate, packing, personal_data, shingle_join
 from tickloom.llm.common import stored, table
 from tickloom.llm.queries import GOOD_FROM, scored, tokenizer_text
+from tickloom.operators.sizing import broadcast_if_small
 
 #: Near-duplicate stages take five words and a similarity of 0.8.
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
@@ -19,13 +20,26 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of near copies; rows without an id, and rows that repeat an id, stay as they are.
+    """One row of each group of near copies: that of the smallest id, null last; rows without a word stay as they are.
 
-    Only ids to drop are joined back, so the texts meet them once.
+    Rows are told apart by a key, the hash of id and text, so those with a
+    null or repeated id take part: a row goes only when its own text is a near
+    copy of a row that stays. Of rows equal in id and text one stays. Only
+    keys are joined back, so the texts meet them once, and only those of
+    repeated rows are shuffled.
     """
-    groups = shingle_join.similar_documents(docs, width=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
-    extra = stored(groups.where("component_id < doc_id").select(F.col("doc_id").alias("_extra")).distinct(), "extra")
-    return docs.join(extra, docs.doc_id == extra._extra, "left_anti")
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    groups = shingle_join.similar_documents(keyed, id_col="_key", width=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
+    groups = groups.where("n_shingles > 0").groupBy("_key").agg(F.min("component_id").alias("component"), F.count("*").alias("copies"))
+    members = stored(groups.join(keyed.groupBy("_key").agg(F.min("doc_id").alias("id")), "_key"), "members")
+    first = F.struct(F.col("id").isNull().alias("without"), "id", "_key")
+    leads = members.groupBy("component").agg(F.min(first)["_key"].alias("lead"), F.count("*").alias("keys")).where("keys > 1").drop("keys")
+    leads = broadcast_if_small(stored(leads, "leads"))
+    marked = members.join(leads, "component", "left").select("_key", "copies", F.coalesce(F.col("_key") == F.col("lead"), F.lit(True)).alias("stays"))
+    marked = stored(marked.where("copies > 1 or not stays"), "marked")
+    once = keyed.join(marked, "_key", "left_anti")
+    again = keyed.join(broadcast_if_small(marked.where("stays")), "_key", "left_semi").dropDuplicates(["_key"])
+    return once.unionByName(again).select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
