@@ -116,6 +116,21 @@ def test_near_vectors(spark):
     assert near_vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_vectors_in_a_dense_label(spark):
+    draw = np.random.default_rng(3)
+    # One label of cosine 0.94 or so throughout, with lone pairs above the limit.
+    base, spread = np.eye(64)[0], 0.25 * draw.standard_normal((2000, 64)) / 8
+    twins = spread[:200] + 0.1 * draw.standard_normal((200, 64)) / 8
+    rows = [(i, (base + v).tolist(), "hot") for i, v in enumerate(np.concatenate([spread, twins]))]
+    unit = np.array([v for _, v, _ in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    a, b = np.nonzero(np.triu(unit @ unit.T >= 0.98, 1))
+    component = closure(range(len(rows)), list(zip(a.tolist(), b.tolist())))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {r.vec_id: r.component_id for r in near_vectors.near_duplicates(df, passes=6, window=32).collect()}
+    assert len(a) >= 200 and got == component
+
+
 def weighted(a, b):
     return sum((a & b).values()) / max(sum((a | b).values()), 1)
 

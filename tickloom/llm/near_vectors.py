@@ -1,7 +1,8 @@
-"""Near-duplicate vectors: sorted projection passes, then an exact count within each component."""
+"""Near-duplicate vectors: rounds of sorted projection passes until one joins nothing, then an exact count within each component."""
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -121,10 +122,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     projections, and each is compared with the next ``window`` in that order;
     sorting is by range, so a hot label is split over tasks, and a window
     ends with its range. Near pairs of all passes are united to components.
+    Rounds of ``passes``, each with other projections and other ranges, are
+    repeated until one joins no components in the whole table, so dense
+    labels, where windows see little, get more of them than others need.
     Within a component all pairs are then compared, in tiles of about
     ``block`` vectors a side, so that ``n_links`` counts every link there.
-    A link is missed only when no pass brings its ends, or a chain between
-    them, within a window; none is reported below ``cosine``, in double
+    A link is missed only when no pass of any round brings its ends, or a
+    chain between them, within a window; as the last round found no such
+    link, few can be left, but none left is not certain. None is reported below ``cosine``, in double
     precision.
 
     Equal vectors are taken as one with a count, so groups of copies cost one
@@ -147,24 +152,34 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         rows.where("sound").withColumn("label", F.xxhash64("label")).groupBy("label", "h1", "h2").agg(
             F.min("id").alias("node"), F.count("*").alias("copies"), F.first("vector").alias("vector")).withColumn("size", F.size("vector")), "vectors")
 
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = batch.column("size").to_numpy()
-            for low, high in _stretches(sizes):
-                own = batch.slice(low, high - low)
-                found = codes(unit_rows(own.column("vector"), int(sizes[low])), passes, seed)
-                for number in range(passes):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(found), number, np.int32)), *(own.column(name) for name in ("label", "size")),
-                         pa.array(found[:, number]), own.column("node"), own.column("vector")],
-                        names=["pass", "label", "size", "code", "node", "vector"])
-
-    placed = nodes.select("label", "size", "node", "vector").mapInArrow(
-        coded, "pass int, label long, size int, code long, node long, vector array<double>")
+    def coded(own_seed: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sizes = batch.column("size").to_numpy()
+                for low, high in _stretches(sizes):
+                    own = batch.slice(low, high - low)
+                    found = codes(unit_rows(own.column("vector"), int(sizes[low])), passes, own_seed)
+                    for number in range(passes):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(found), number, np.int32)), *(own.column(name) for name in ("label", "size")),
+                             pa.array(found[:, number]), own.column("node"), own.column("vector")],
+                            names=["pass", "label", "size", "code", "node", "vector"])
+
+        return run
+
     order = ["pass", "label", "size", "code", "node"]
-    edges = placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(cosine, window), "src long, dst long")
-    found = components(edges)
-    found = stored(found.groupBy("node").agg(F.min("component").alias("component")), "vector-components")
+    found, joined = None, 0
+    for turn in itertools.count():
+        placed = nodes.select("label", "size", "node", "vector").mapInArrow(
+            coded(seed + turn), "pass int, label long, size int, code long, node long, vector array<double>")
+        edges = placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(cosine, window), "src long, dst long")
+        if found is not None:
+            edges = edges.union(found.select(F.col("node").alias("src"), F.col("component").alias("dst")))
+        found = stored(components(edges).groupBy("node").agg(F.min("component").alias("component")), "vector-components")
+        now = found.where("node <> component").count()
+        if now == joined:
+            break
+        joined = now
     member = nodes.join(found, "node")
     blocks = F.ceil(F.col("members") / block).cast("int")
     sizes = member.groupBy("component", "label", "size").agg(F.count("*").alias("members"))
