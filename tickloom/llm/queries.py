@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import attribution, chats, decontaminate, near_vectors, packing, personal_data, quality, repeated_passages, shingle_join, url_filter
+from tickloom.llm import attribution, chat_repair, chats, decontaminate, near_vectors, packing, personal_data, quality, repeated_passages, shingle_join, url_filter
 from tickloom.llm.common import table
 
 
@@ -99,6 +99,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.render(table(spark, sf_dir, "conversations"))
 
 
+def op11_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.digests(*chat_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_near_vectors": op2_near_vectors,
@@ -110,10 +114,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeated_passages": op8_repeated_passages,
     "op9_personal_data": op9_personal_data,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_chat_repair": op11_chat_repair,
 }
 
 ORACLE: dict[str, str] = {
     "op7_shingle_join": shingle_join.JOIN_SQL,
     "op8_repeated_passages": repeated_passages.REPEATS_SQL,
     "op10_chat_formatting": chats.RENDER_SQL,
+    "op11_chat_repair": chat_repair.REPAIR_SQL,
 }
