@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import attribution, chat_repair, chats, decontaminate, near_vectors, packing, personal_data, quality, repeated_passages, shingle_join, url_filter
+from tickloom.llm import attribution, chat_repair, chats, decontaminate, line_dedup, near_vectors, packing, personal_data, quality, repeated_passages, shingle_join, url_filter
 from tickloom.llm.common import table
 
 
@@ -103,6 +103,11 @@ def op11_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_repair.digests(*chat_repair.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_near_vectors": op2_near_vectors,
@@ -115,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_personal_data": op9_personal_data,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_chat_repair": op11_chat_repair,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -122,4 +128,5 @@ ORACLE: dict[str, str] = {
     "op8_repeated_passages": repeated_passages.REPEATS_SQL,
     "op10_chat_formatting": chats.RENDER_SQL,
     "op11_chat_repair": chat_repair.REPAIR_SQL,
+    "op12_line_dedup": line_dedup.LINES_SQL,
 }
