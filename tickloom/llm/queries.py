@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import attribution, chat_repair, chats, decontaminate, line_dedup, near_vectors, packing, personal_data, quality, repeated_passages, shingle_join, url_filter
+from tickloom.llm import attribution, chat_repair, chats, decontaminate, line_dedup, near_vectors, packing, periodic_runs, personal_data, quality, repeated_passages, shingle_join, url_filter
 from tickloom.llm.common import table
 
 
@@ -108,6 +108,18 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(periodic_runs.with_periodic_tails(table(spark, sf_dir, "documents")))
+    # Arrays of structs compare field by field: the longest run, then the smallest start, then period.
+    longest = F.array_max(F.transform("runs", lambda run: F.struct(run["length"], -run["start"], -run["period"])))
+    longest = found.withColumn("best", longest)
+    listed = F.array_join(F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n"))), "")
+    length, start, period = F.col("best.length"), -F.col("best.col2"), -F.col("best.col3")
+    return longest.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_near_vectors": op2_near_vectors,
@@ -121,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_formatting": op10_chat_formatting,
     "op11_chat_repair": op11_chat_repair,
     "op12_line_dedup": op12_line_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
