@@ -194,7 +194,7 @@ def test_unreadable_shards_fail_unless_skipped(spark, folder):
     add(f"{folder}/in", "e2", orders(45_001))
     work = f"{folder}/work"
     ingest.ingest(spark, archives(spark, f"{folder}/in"), fo_contract(spark), work)
-    place = f"{work}/fo/shards/archive_stem=e2"
+    place = f"{work}/fo/rows/kind=shard/archive_stem=e2"
     victim, = [name for name in os.listdir(place) if name.endswith(".parquet")]
     os.remove(f"{place}/.{victim}.crc")
     with open(f"{place}/{victim}", "r+b") as handle:

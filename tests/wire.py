@@ -5,7 +5,8 @@ import lzma
 import math
 import struct
 import tarfile
-import zlib
+
+from tickloom.fixtures.capture_files import blocked_xz
 
 EPOCH_NS = 315_513_000 * 1_000_000_000
 
@@ -55,40 +56,6 @@ def archive(path, **captures):
             target.addfile(member, io.BytesIO(data))
 
 
-def _varint(value):
-    out = bytearray()
-    while value >= 0x80:
-        out.append(value & 0x7F | 0x80)
-        value >>= 7
-    return bytes(out + bytes([value]))
-
-
-def blocked_xz(data, block_bytes):
-    """One xz stream of many blocks, as a compressor with several threads makes it."""
-    head, blocks, records, count = b"", b"", b"", 0
-    for at in range(0, len(data), block_bytes):
-        piece = data[at:at + block_bytes]
-        single = lzma.compress(piece, preset=0)
-        index_bytes = (struct.unpack("<I", single[-8:-4])[0] + 1) * 4
-        index = single[-12 - index_bytes:-12]
-        head, block = single[:12], single[12:-12 - index_bytes]
-        unpadded, shift, place = 0, 0, 2
-        while True:
-            unpadded |= (index[place] & 0x7F) << shift
-            shift += 7
-            place += 1
-            if index[place - 1] < 0x80:
-                break
-        blocks += block
-        records += _varint(unpadded) + _varint(len(piece))
-        count += 1
-    index = b"\0" + _varint(count) + records
-    index += b"\0" * (-len(index) % 4)
-    index += struct.pack("<I", zlib.crc32(index))
-    tail = struct.pack("<I", len(index) // 4 - 1) + head[6:8]
-    return head + blocks + index + struct.pack("<I", zlib.crc32(tail)) + tail + b"YZ"
-
-
 def blocked_archive(path, block_bytes, **captures):
     plain = io.BytesIO()
     with tarfile.open(fileobj=plain, mode="w") as target:

@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import io
 import itertools
+import lzma
+import struct
 import tarfile
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,52 +50,107 @@ def encode(batch: pa.RecordBatch) -> bytes:
 
 @dataclass
 class Written(WriterCommitMessage):
-    temporary: str | None
-    final: str | None
+    """Files of a task: (temporary, final)."""
+
+    files: list[tuple[str, str]]
+
+
+def _varint(value: int) -> bytes:
+    out = bytearray()
+    while value >= 0x80:
+        out.append(value & 0x7F | 0x80)
+        value >>= 7
+    return bytes(out + bytes([value]))
+
+
+def blocked_xz(data: bytes, block_bytes: int) -> bytes:
+    """One xz stream of many blocks, as a compressor with several threads makes it."""
+    head, blocks, records, count = b"", b"", b"", 0
+    for at in range(0, len(data), block_bytes):
+        piece = data[at:at + block_bytes]
+        single = lzma.compress(piece, preset=0)
+        index_bytes = (struct.unpack("<I", single[-8:-4])[0] + 1) * 4
+        index = single[-12 - index_bytes:-12]
+        head, block = single[:12], single[12:-12 - index_bytes]
+        unpadded, shift, place = 0, 0, 2
+        while True:
+            unpadded |= (index[place] & 0x7F) << shift
+            shift += 7
+            place += 1
+            if index[place - 1] < 0x80:
+                break
+        blocks += block
+        records += _varint(unpadded) + _varint(len(piece))
+        count += 1
+    index = b"\0" + _varint(count) + records
+    index += b"\0" * (-len(index) % 4)
+    index += struct.pack("<I", zlib.crc32(index))
+    tail = struct.pack("<I", len(index) // 4 - 1) + head[6:8]
+    return head + blocks + index + struct.pack("<I", zlib.crc32(tail)) + tail + b"YZ"
+
+
+def by_stem(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Iterator[pa.RecordBatch]]]:
+    """The batches of each archive; rows come in order of archives."""
+    def cut() -> Iterator[tuple[str, pa.RecordBatch]]:
+        for batch in batches:
+            stems = batch.column("archive_stem").to_pylist()
+            at = 0
+            for stem, run in itertools.groupby(stems):
+                size = len(list(run))
+                yield stem, batch.slice(at, size)
+                at += size
+
+    for stem, run in itertools.groupby(cut(), key=lambda item: item[0]):
+        yield stem, (batch for _, batch in run)
 
 
 class CaptureFileWriter(DataSourceArrowWriter):
-    def __init__(self, folder: str, form: str, torn: bytes):
-        self.folder, self.form, self.torn = folder.rstrip("/"), form, torn
+    """``form`` is plain, archive (xz of one block) or blocks (xz of blocks of ``block_bytes``)."""
+
+    def __init__(self, folder: str, form: str, torn: bytes, named: bool, block_bytes: int):
+        self.folder, self.form, self.torn, self.named, self.block_bytes = folder.rstrip("/"), form, torn, named, block_bytes
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        pieces = (data for data in map(encode, iterator) if data)
-        first = next(pieces, None)
-        if first is None:
-            return Written(None, None)
-        name = f"feed-{uuid.uuid4().hex}"
+        written = []
+        for stem, batches in by_stem(iterator) if self.named else [(None, iterator)]:
+            pieces = (data for data in map(encode, batches) if data)
+            first = next(pieces, None)
+            if first is not None:
+                written.append(self.write_file(stem or f"feed-{uuid.uuid4().hex}", itertools.chain([first], pieces, [self.torn])))
+        return Written(written)
+
+    def write_file(self, name: str, pieces: Iterator[bytes]) -> tuple[str, str]:
         suffix = ".cap" if self.form == "plain" else ".cap.tar.xz"
-        pieces = itertools.chain([first], pieces, [self.torn])
         if self.form != "plain":
             pieces = [self.archived(b"".join(pieces), f"{name}.cap")]
         files, inner = filesystem_of(self.folder)
         files.create_dir(inner, recursive=True)
-        temporary = f"{inner}/_{name}.part"
+        temporary = f"{inner}/_{name}-{uuid.uuid4().hex}.part"
         with files.open_output_stream(temporary, compression=None) as out:
             for data in pieces:
                 out.write(data)
-        return Written(temporary, f"{inner}/{name}{suffix}")
+        return temporary, f"{inner}/{name}{suffix}"
 
-    @staticmethod
-    def archived(data: bytes, name: str) -> bytes:
+    def archived(self, data: bytes, name: str) -> bytes:
         target = io.BytesIO()
-        with tarfile.open(fileobj=target, mode="w:xz", preset=0) as archive:
+        with tarfile.open(fileobj=target, mode="w") as archive:
             member = tarfile.TarInfo(name)
             member.size = len(data)
             archive.addfile(member, io.BytesIO(data))
-        return target.getvalue()
+        plain = target.getvalue()
+        return lzma.compress(plain, preset=0) if self.form == "archive" else blocked_xz(plain, self.block_bytes)
 
     def commit(self, messages: list) -> None:
         files, _ = filesystem_of(self.folder)
         for message in messages:
-            if message is not None and message.temporary:
-                files.move(message.temporary, message.final)
+            for temporary, final in message.files if message else []:
+                files.move(temporary, final)
 
     def abort(self, messages: list) -> None:
         files, _ = filesystem_of(self.folder)
         for message in messages:
-            if message is not None and message.temporary:
-                files.delete_file(message.temporary)
+            for temporary, _ in message.files if message else []:
+                files.delete_file(temporary)
 
 
 class CaptureFixture(DataSource):
@@ -104,12 +162,17 @@ class CaptureFixture(DataSource):
         return LANES_DDL
 
     def writer(self, schema: StructType, overwrite: bool) -> CaptureFileWriter:
-        torn = bytes(int(self.options.get("tornbytes", "0")))
-        return CaptureFileWriter(self.options["path"], self.options.get("form", "plain"), torn)
+        options = self.options
+        return CaptureFileWriter(options["path"], options.get("form", "plain"), bytes(int(options.get("tornbytes", "0"))),
+                                 options.get("named", "false") == "true", int(options.get("blockbytes", "65536")))
 
 
-def write_capture(lanes: DataFrame, folder: str, form: str = "plain", torn_bytes: int = 0) -> None:
+def write_capture(lanes: DataFrame, folder: str, form: str = "plain", torn_bytes: int = 0, named: bool = False,
+                  block_bytes: int = 1 << 16) -> None:
+    """One file per task, or, ``named``, one per ``archive_stem`` under that name, its records in order of ``record_no``."""
     ship_package(lanes.sparkSession)
     lanes.sparkSession.dataSource.register(CaptureFixture)
-    (lanes.write.format("tickcapture-fixture").mode("append")
-     .option("path", folder).option("form", form).option("tornBytes", torn_bytes).save())
+    if named:
+        lanes = lanes.repartition("archive_stem").sortWithinPartitions("archive_stem", "record_no")
+    (lanes.write.format("tickcapture-fixture").mode("append").option("path", folder).option("form", form)
+     .option("tornBytes", torn_bytes).option("named", str(named).lower()).option("blockBytes", block_bytes).save())

@@ -6,6 +6,9 @@ job again gives the same table instead of more rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,10 +26,32 @@ def _replace_partitions(df: DataFrame, *keys: str, codec: str) -> DataFrameWrite
     )
 
 
+#: Files a task of the shard write keeps open before it sorts what is left.
+SHARD_WRITERS = 4
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: object) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def write_shards(rows: DataFrame, path: str) -> None:
-    """Decoded rows by archive. A scan task holds rows of one archive, so this
-    needs no shuffle; expiry and symbol stay columns."""
-    _replace_partitions(rows, "archive_stem", codec="snappy").parquet(path)
+    """Decoded rows by ``kind`` (shard or quarantine) and archive: two tables from one pass.
+
+    A scan task holds rows of one archive, or of a few small ones, so this
+    needs no shuffle, and with a file open for each no sort either. Expiry and
+    symbol stay columns.
+    """
+    with setting(rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", SHARD_WRITERS):
+        _replace_partitions(rows, "kind", "archive_stem", codec="snappy").parquet(path)
 
 
 def write_derivatives(rows: DataFrame, path: str, *below: str) -> None:
@@ -45,16 +70,15 @@ def write_cash(rows: DataFrame, path: str) -> None:
     _replace_partitions(rows.hint("rebalance", *keys), *keys, codec="snappy").parquet(path)
 
 
-def replace_day(rows: DataFrame, path: str, trade_date: str, keys: tuple[str, ...], codec: str) -> None:
-    """A day's whole table: what the day held before and no longer has is gone."""
-    (rows.drop("trade_date").hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys)
-     .option("partitionOverwriteMode", "static").option("maxRecordsPerFile", ROWS_PER_FILE)
-     .option("compression", codec).parquet(f"{path}/trade_date={trade_date}"))
+def write_groups(rows: DataFrame, path: str, keys: tuple[str, ...], codec: str) -> None:
+    """One directory per group below a folder of its own."""
+    (rows.hint("rebalance", *keys).write.partitionBy(*keys).option("maxRecordsPerFile", ROWS_PER_FILE)
+     .option("compression", codec).parquet(path))
 
 
-def clear(spark: SparkSession, path: str, schema: str) -> None:
+def clear(spark: SparkSession, path: str, schema: str, *keys: str) -> None:
     """An empty table in the place of whatever was there."""
-    (spark.createDataFrame([], schema).write.mode("overwrite").partitionBy("archive_stem")
+    (spark.createDataFrame([], schema).write.mode("overwrite").partitionBy(*keys)
      .option("partitionOverwriteMode", "static").parquet(path))
 
 

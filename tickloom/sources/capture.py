@@ -2,8 +2,10 @@
 
 A plain capture is cut into byte ranges that hold whole records, one task per
 range. A large xz archive of several blocks is cut at block starts; any other
-archive is one task. Archives are streamed through the decompressor without
-touching the local disk, and a task holds one batch of records at a time.
+archive is read by one task. Ranges and archives far below a split's size share
+tasks. Archives are streamed through the decompressor without touching the local
+disk, and a task holds one batch of records at a time. A torn last record is no
+row of the scan, however it is cut; ``torn_records`` lists them.
 """
 
 from __future__ import annotations
@@ -64,6 +66,8 @@ RECORD = np.dtype({
 
 SPLIT_BYTES = 256 << 20
 MAX_SPLITS = 100_000
+# What opening a file costs, as bytes read meanwhile.
+OPEN_BYTES = 4 << 20
 PROBE_BYTES = 32 << 20
 # Captures unpack to roughly this many times their size; it only sets how
 # coarse the parts become when there would be too many of them.
@@ -88,6 +92,36 @@ class CaptureSplit(InputPartition):
     skip: int = 0
 
 
+@dataclass
+class CaptureBundle(InputPartition):
+    """Several splits for one task, one after another."""
+
+    splits: list[CaptureSplit]
+
+
+def bundles(splits: list[tuple[CaptureSplit, int]], split_bytes: int, max_splits: int, parallelism: int) -> list[InputPartition]:
+    """Splits, each with its unpacked bytes, gathered into tasks of about ``split_bytes``.
+
+    Every split also costs an opened file. Tasks stay smaller while there would
+    be too few of them for all cores, and grow when there would be more than
+    ``max_splits``. The largest come first; each task takes splits until the
+    next one would make it too large.
+    """
+    total = sum(size + OPEN_BYTES for _, size in splits)
+    limit = max(min(split_bytes, max(OPEN_BYTES, total // max(parallelism, 1))), total // max_splits)
+    tasks: list[InputPartition] = []
+    held, held_bytes = [], 0
+    for split, size in sorted(splits, key=lambda item: -item[1]):
+        if held and held_bytes + size + OPEN_BYTES > limit:
+            tasks.append(held[0] if len(held) == 1 else CaptureBundle(held))
+            held, held_bytes = [], 0
+        held.append(split)
+        held_bytes += size + OPEN_BYTES
+    if held:
+        tasks.append(held[0] if len(held) == 1 else CaptureBundle(held))
+    return tasks
+
+
 def is_plain(path: str) -> bool:
     return path.endswith(".cap")
 
@@ -180,9 +214,6 @@ def record_batches(stream, name: str, batch_records: int, count: int | None) ->
         if whole:
             yield np.frombuffer(data, dtype=RECORD, count=whole)
         if len(data) < take * RECORD_BYTES:
-            torn = len(data) % RECORD_BYTES
-            if torn:
-                LOG.warning("%s: dropping a torn last record of %d bytes", name, torn)
             if left is not None and whole < left:
                 raise EOFError(f"{name}: {left - whole} records fewer than planned")
             return
@@ -197,6 +228,7 @@ class CaptureReader(DataSourceReader):
         self.parts = json.loads(options.get("parts", "[]"))
         self.split_bytes = int(options.get("splitbytes", SPLIT_BYTES))
         self.max_splits = int(options.get("maxsplits", MAX_SPLITS))
+        self.parallelism = int(options.get("parallelism", 1))
         self.batch_records = int(options.get("batchrecords", 65_536))
         self.planned = False
         self.members = options.get("members", "one")
@@ -206,15 +238,21 @@ class CaptureReader(DataSourceReader):
     def partitions(self) -> Sequence[InputPartition]:
         splits = [CaptureSplit(*part) for part in self.parts]
         splits += plan_splits(self.files, self.split_bytes, self.max_splits)
-        splits = splits or [CaptureSplit("", 0, 0)]
+        packed = dict(self.files)
+        sized = [(split, packed[split.path] * UNPACKED_RATIO if split.count is None and split.path in packed
+                  else self.split_bytes if split.count is None else split.count * RECORD_BYTES) for split in splits]
         self.planned = True
-        return splits
+        return bundles(sized, self.split_bytes, self.max_splits, self.parallelism) or [CaptureSplit("", 0, 0)]
 
     def __getstate__(self) -> dict:
         """Tasks get their split; the list of all files stays behind."""
         return {**self.__dict__, "files": [], "parts": []} if self.planned else self.__dict__
 
-    def read(self, partition: CaptureSplit) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        for split in partition.splits if isinstance(partition, CaptureBundle) else [partition]:
+            yield from self.read_split(split)
+
+    def read_split(self, partition: CaptureSplit) -> Iterator[pa.RecordBatch]:
         if partition.count == 0:
             return
         stem = archive_stem_of(partition.path)
@@ -328,6 +366,7 @@ def read_capture(spark: SparkSession, listing: DataFrame, columns: Sequence[str]
         parts = [tuple(row) for row in probed.collect()]
     reader = spark.read.format(FORMAT).schema(lanes_schema(columns))
     reader = reader.option("files", json.dumps(files)).option("parts", json.dumps(parts))
+    reader = reader.option("parallelism", spark.sparkContext.defaultParallelism)
     for key, value in options.items():
         reader = reader.option(key.replace("_", ""), str(value))
     return reader.load()
@@ -357,6 +396,61 @@ def probe_archives(archives: DataFrame, split_bytes: int, members: str, unreadab
     return spread.mapInArrow(probe, ddl)
 
 
+TORN_DDL = "archive_stem STRING, path STRING, form STRING, records BIGINT, torn_bytes BIGINT, problem STRING"
+
+
+def torn_records(listing: DataFrame, unreadable: str = "fail") -> DataFrame:
+    """Whole records of each listed file and the bytes of its torn last one: a relation beside the scan, however that is cut.
+
+    (archive_stem, path, form, records, torn_bytes, problem), a row per file;
+    ``form`` is plain, whole (an archive that one task streams) or blocks. A
+    plain capture is judged by its size, an archive by the size that its first
+    capture's header states, of which a task unpacks only the beginning. An
+    archive that can't be read that far fails, or has nulls and the problem
+    (``unreadable="mark"``); damage further in is found by the scan.
+    """
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for path, length in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist(), strict=True):
+                form, size, problem = "plain", length, None
+                if not is_plain(path):
+                    try:
+                        form, size = archived_size(path, length)
+                    except UNREADABLE_ERRORS as wrong:
+                        if unreadable != "mark":
+                            raise
+                        form, size, problem = "whole", None, str(wrong)
+                known = size is not None
+                rows.append((archive_stem_of(path), path, form, size // RECORD_BYTES if known else None, size % RECORD_BYTES if known else None, problem))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * len(kinds)
+            yield pa.record_batch([pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names=names)
+
+    names = [field.split()[0] for field in TORN_DDL.split(", ")]
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+    ship_package(listing.sparkSession)
+    spread = listing.select("path", "length").repartition(listing.sparkSession.sparkContext.defaultParallelism)
+    return spread.mapInArrow(probe, TORN_DDL)
+
+
+def archived_size(path: str, length: int) -> tuple[str, int]:
+    """Form of an archive and the size of the first capture in it."""
+    files, inner = filesystem_of(path)
+    with files.open_input_file(inner) as raw:
+        index = xz.read_index(raw, length) if path.endswith(".xz") else None
+        if index is not None and len(index.packed) > 1:
+            with tarfile.open(fileobj=xz.BlockFile(raw, index), mode="r:") as archive:
+                member = next(capture_members(archive), None)
+            form = "blocks"
+        else:
+            raw.seek(0)
+            with tarfile.open(fileobj=raw, mode="r|*") as archive:
+                member = next(capture_members(archive), None)
+            form = "whole"
+    check_members(path, int(member is not None), "first")
+    return form, member.size
+
+
 def trailing_bytes(listing: DataFrame) -> DataFrame:
     """Size of the torn last record of each plain capture, 0 where whole."""
     plain = listing.filter(F.col("path").endswith(".cap"))

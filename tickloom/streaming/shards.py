@@ -22,7 +22,7 @@ def run_available(spark: SparkSession, work: str, target: str, state: str, trade
 
     def write(batch: DataFrame, number: int) -> None:
         taken = checkpointed(batch.filter("status = 'done'").select("archive_stem").distinct())
-        shards = spark.read.schema(ingest.FO.shard_schema).parquet(f"{place}/shards").drop("defect")
+        shards = ingest.shards(spark, place, ingest.FO).drop("batch")
         rows = ingest.derivative_rows(shards.join(broadcast_if_small(taken), "archive_stem", "left_semi"), trade_date)
         ingest.drop_archives(taken, f"{target}/trade_date={trade_date}")
         sinks.write_derivatives(rows, target, "archive_stem")
