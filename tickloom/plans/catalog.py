@@ -3,21 +3,26 @@
 from __future__ import annotations
 
 import datetime
+import re
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.fixtures import tables
 from tickloom.fixtures.capture_files import write_capture
+from tickloom.fixtures.named_files import write_files
 from tickloom.functions import clock, messages, text
 from tickloom.operators import audit, decode, lookup, ordering, research, resume, sizes
 from tickloom.operators import contract as contracts
 from tickloom.operators.contract import Contract
-from tickloom.plans import export, ingest, sinks
-from tickloom.schema import FO_ARCHIVE_GLOB, FO_INSTRUMENTS, ID_COLUMNS
+from tickloom.plans import days, export, ingest, sinks
+from tickloom.schema import FO_ARCHIVE_GLOB, FO_INSTRUMENTS, ID_COLUMNS, MESSAGE_COLUMNS
 from tickloom.session import checkpointed, work_folder
-from tickloom.sources import capture, contracts as contract_files, listing
+from tickloom.sources import capture, contracts as contract_files, footers, listing
+from tickloom.sources.files import filesystem_of
 from tickloom.streaming import shards as shard_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,6 +239,69 @@ def contract_cm_file(spark, folder):
         "token", "symbol", "series")
 
 
+def written_lines(lines: DataFrame, *first: str) -> str:
+    """Contract lines (line_key, value) as one file in their order, below the given first lines."""
+    spark, path = lines.sparkSession, work_folder(lines.sparkSession, "contract")
+    above = [(at - len(first), value) for at, value in enumerate(first)]
+    if above:
+        lines = spark.createDataFrame(above, "line_key BIGINT, value STRING").unionByName(lines.select("line_key", "value"))
+    # A contract is one file of under a million lines.
+    lines.repartition(1).sortWithinPartitions("line_key").select("value").write.text(path)
+    return path
+
+
+def fo_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return tables.contract_with_conflicts(spark, folder).selectExpr(
+        "line_key", "element_at(array('FUTSTK', 'FUTIDX', 'OPTSTK', 'OPTIDX', 'EQUITY'), cast(line_key%5 as int)+1) AS instrument",
+        "concat_ws(',', 'C', '1', concat(' ', token), element_at(array('FUTSTK', 'FUTIDX', 'OPTSTK', 'OPTIDX', 'EQUITY'), cast(line_key%5 as int)+1), "
+        "concat(symbol, ' '), expiry, 'x') AS value")
+
+
+@query
+def contract_fo_read(spark, folder):
+    """A derivatives contract file with conflicts, by each policy that takes it."""
+    path = written_lines(fo_lines(spark, folder), "token file,1,2,FUTSTK,A,5")
+    return reduce(DataFrame.unionByName, [
+        contract_files.read_fo_contract(spark, path, on_conflict=policy).rows.select(
+            F.lit(policy).alias("policy"), "token", "symbol", "expiry", F.array_join(F.array_sort("instruments"), ",").alias("instruments"))
+        for policy in ("first", "last")])
+
+
+@query
+def contract_cm_read(spark, folder):
+    """A cash contract file whose first line is a number, and one that begins with an entry: only the former loses it."""
+    lines = tables.contract_with_conflicts(spark, folder).selectExpr(
+        "line_key", "concat_ws(',', 'C', '1', token, case when line_key%3=0 then 'EQUITY' else 'INDEX' end, concat(' ', symbol), '0', '0', series) AS value")
+    entry = "7,1,77,EQUITY,FIRST,0,0,EQ"
+    return reduce(DataFrame.unionByName, [
+        contract_files.read_cm_contract(spark, written_lines(lines, first)).rows.select(F.lit(name).alias("first_line"), "token", "symbol", "series")
+        for name, first in (("number", entry), ("entry", "C" + entry))])
+
+
+def complaint(problem: Exception, pattern: str) -> str:
+    return re.search(pattern, str(problem)).group(0)
+
+
+@query
+def contract_checks(spark, folder):
+    """What the loader says of a contract with conflicts, with none of the wanted instruments, and with bad numbers."""
+    lines = fo_lines(spark, folder)
+    bad = tables.contract(spark, folder).agg(F.max("line_key").alias("line_key"))
+    cases = {
+        "conflict": (lines, "token [0-9]+ maps inconsistently \\([0-9]+ ways\\)"),
+        "empty": (lines.filter("instrument = 'EQUITY'"), "no contract lines of the wanted instruments"),
+        "token": (bad.selectExpr("line_key", "concat('C,1,x', line_key, ',FUTSTK,A,5') AS value"), "bad token: x[0-9]+"),
+        "expiry": (bad.selectExpr("line_key", "concat('C,1,5,OPTIDX,A,', line_key, '.5') AS value"), "bad expiry: [0-9.]+"),
+    }
+    said = []
+    for name, (rows, pattern) in cases.items():
+        try:
+            contract_files.read_fo_contract(spark, written_lines(rows, "first line"))
+        except (ValueError, PySparkException) as problem:
+            said.append((name, complaint(problem, pattern)))
+    return spark.createDataFrame(said, "case STRING, message STRING")
+
+
 # --- audit -----------------------------------------------------------------------
 
 
@@ -518,26 +586,82 @@ def capture_type_counts(spark, folder):
     return lanes.groupBy("msg_type_code").agg(F.count("*").alias("rows"), F.max("seq_no").alias("last_seq_no"))
 
 
+@query
+def archive_blocks_roundtrip(spark, folder):
+    """Archives of many small blocks, cut at block starts."""
+    path = work_folder(spark, "blocks")
+    write_capture(tables.lanes(spark, folder), path, "blocks", torn_bytes=13, block_bytes=20_000)
+    lanes = capture.read_capture(spark, listing.list_files(spark, path), probe_bytes=0, split_bytes=50_000)
+    return shown_ids(decode.decode(lanes, "drop")).drop("archive_stem", "record_no")
+
+
+@query
+def bundled_roundtrip(spark, folder):
+    """Many small captures, plain and archived, several to a task; each record knows its capture and its place there."""
+    path = work_folder(spark, "bundled")
+    # A capture for every few hundred events, numbered from 0 in each.
+    numbered = tables.lanes(spark, folder).withColumns({
+        "archive_stem": F.expr("concat('small', cast(record_no div 300 as string))"), "seq_no": F.expr("cast(record_no % 300 as int)")})
+    write_capture(numbered.filter("record_no div 300 % 2 = 0"), path, "plain", torn_bytes=7, named=True)
+    write_capture(numbered.filter("record_no div 300 % 2 = 1"), path, "archive", named=True)
+    lanes = capture.read_capture(spark, listing.list_files(spark, path), ["archive_stem", "record_no", "seq_no", "msg_type_code"])
+    return lanes.groupBy("archive_stem").agg(
+        F.count("*").alias("records"), F.max("record_no").alias("last_record_no"), F.count_if(F.col("record_no") == F.col("seq_no")).alias("in_place"),
+        F.sum("msg_type_code").alias("codes"))
+
+
+def named_captures(spark: SparkSession, folder: str, path: str) -> None:
+    """The same records in each form, with a torn last record of another size in each."""
+    for form, torn in (("plain", 13), ("archive", 5), ("blocks", 7)):
+        rows = tables.lanes(spark, folder).withColumn("archive_stem", F.concat("archive_stem", F.lit(f"_{form}")))
+        write_capture(rows, path, form, torn_bytes=torn, named=True, block_bytes=20_000)
+
+
+@query
+def torn_records(spark, folder):
+    path = work_folder(spark, "torn")
+    named_captures(spark, folder, path)
+    return capture.torn_records(listing.list_files(spark, path)).select("archive_stem", "form", "records", "torn_bytes", "problem")
+
+
 @query
 def archive_discovery(spark, folder):
-    """Each archive found by its pattern, with the size of its torn record."""
+    """Each archive found by its pattern, beside captures and archives of another segment; with its records and its torn bytes."""
     path = work_folder(spark, "found")
-    write_capture(tables.lanes(spark, folder), path, "archive")
-    write_capture(tables.lanes(spark, folder), path, "plain", torn_bytes=5)
-    archives = listing.discover_archives(spark, path, FO_ARCHIVE_GLOB)
-    torn = capture.trailing_bytes(listing.list_files(spark, path, "*.cap"))
-    return archives.agg(F.lit("archive").alias("kind"), (F.count("*") > 0).alias("found"), F.lit(0).cast("bigint").alias("torn")).unionByName(
-        torn.agg(F.lit("plain").alias("kind"), (F.count("*") > 0).alias("found"), F.max("trailing_bytes").alias("torn")))
+    named_captures(spark, folder, path)
+    other = tables.lanes(spark, folder).withColumn("archive_stem", F.concat("archive_stem", F.lit("_16641")))
+    write_capture(other, path, "archive", named=True)
+    archives = listing.discover_archives(spark, path, FO_ARCHIVE_GLOB, ingest.FO.exclude)
+    sizes_found = capture.torn_records(archives).select("archive_stem", "records", "torn_bytes")
+    return archives.join(sizes_found, "archive_stem").select(
+        "archive_stem", text.base_name(F.col("path")).alias("file"), "records", "torn_bytes")
 
 
-def ingested(spark: SparkSession, folder: str) -> str:
-    """A whole derivatives ingest of sound records, from archives to shards."""
-    work = work_folder(spark, "ingest")
+def sound_and_broken(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Lanes without a defect, and those with one, in captures of their own."""
     classified = decode.classify(tables.lanes(spark, folder))
     sound = classified.filter("defect IS NULL").drop("msg_type", "msg_class", "defect")
-    write_capture(sound, f"{work}/in", "archive")
+    broken = classified.filter("defect IS NOT NULL").drop("msg_type", "msg_class", "defect")
+    return sound, broken.withColumn("archive_stem", F.concat(F.lit("broken"), F.substring("archive_stem", 4, 9)))
+
+
+def ingest_all(spark: SparkSession, archives: DataFrame, folder: str, work: str, **options) -> str:
+    """The derivatives ingest of archives of which some have a defect: what it raises."""
+    try:
+        ingest.ingest(spark, archives, fo_contract(spark, folder), work, **options)
+    except RuntimeError as problem:
+        return str(problem)
+    return ""
+
+
+def ingested(spark: SparkSession, folder: str) -> str:
+    """A whole derivatives ingest of all records: archives with a defect fail, the others go on."""
+    work = work_folder(spark, "ingest")
+    for rows in sound_and_broken(spark, folder):
+        write_capture(rows, f"{work}/in", "archive", named=True)
     archives = listing.discover_archives(spark, f"{work}/in", FO_ARCHIVE_GLOB)
-    ingest.ingest(spark, archives, fo_contract(spark, folder), work)
+    if not ingest_all(spark, archives, folder, work).startswith("defect "):
+        raise AssertionError("the derivatives ingest has to name the first defect")
     return work
 
 
@@ -548,15 +672,145 @@ def ingest_final_counts(spark, folder):
         F.count("*").alias("rows"), F.sum("quantity").alias("quantity"))
 
 
+@query
+def footer_counts(spark, folder):
+    """The same rows, counted from the footers of the final files."""
+    work = ingested(spark, folder)
+    ingest.finalize_derivatives(spark, work, TRADE_DATE)
+    files = ingest.final_files(spark, ingest.FO.place(work), TRADE_DATE)
+    return footers.footer_counts(files, "instrument", "symbol", "expiry").select(
+        "instrument", "symbol", F.col("expiry").cast("bigint").alias("expiry"), "rows")
+
+
+@query
+def ingest_status(spark, folder):
+    """Status of every archive, and the defect that the job named."""
+    work = work_folder(spark, "status")
+    for rows in sound_and_broken(spark, folder):
+        write_capture(rows, f"{work}/in", "archive", torn_bytes=9, named=True)
+    named = ingest_all(spark, listing.discover_archives(spark, f"{work}/in", FO_ARCHIVE_GLOB), folder, work)
+    status = ingest.read_table(spark, f"{ingest.FO.place(work)}/status", ingest.STATUS_DDL)
+    return status.withColumn("raised", F.lit(named))
+
+
+@query
+def quarantine(spark, folder):
+    """Defective records with rule and place, from the pass that wrote the sound ones; none of them in the shards."""
+    work = work_folder(spark, "quarantine")
+    write_capture(tables.lanes(spark, folder).withColumn("seq_no", F.col("record_no").cast("int")), f"{work}/in", "archive", named=True)
+    ingest_all(spark, listing.discover_archives(spark, f"{work}/in", FO_ARCHIVE_GLOB), folder, work)
+    place = ingest.FO.place(work)
+    # The records' own numbers stand in their sequence numbers; in an archive they are counted from 0.
+    bad = ingest.quarantine(spark, place).select("archive_stem", "record_no", "seq_no", "msg_type", "defect", F.lit(0).cast("bigint").alias("shard_rows"))
+    kept = ingest.shards(spark, place, ingest.FO).groupBy("archive_stem").agg(F.count("*").alias("shard_rows"))
+    return bad.unionByName(kept, allowMissingColumns=True)
+
+
+@query
+def ingest_profile(spark, folder):
+    """What the writing passes saw, summed over the commits of a day."""
+    work = work_folder(spark, "profile")
+    write_capture(tables.lanes(spark, folder), f"{work}/in", "archive", torn_bytes=11, named=True)
+    ingest_all(spark, listing.discover_archives(spark, f"{work}/in", FO_ARCHIVE_GLOB), folder, work, group_bytes=1)
+    profile = ingest.read_profile(spark, work, ingest.FO)
+    return profile.agg(F.count("*").alias("commits"), *[F.sum(name).alias(name) for name in profile.columns if name != "commit_id"])
+
+
+def overwritten(spark: SparkSession, path: str, data: bytes) -> None:
+    files, inner = filesystem_of(path)
+    with files.open_output_stream(inner, compression=None) as out:
+        out.write(data)
+
+
+@query
+def ingest_groups(spark, folder):
+    """One archive per commit; the third can't be read at first. The status after each run, and which archives a run did."""
+    work = work_folder(spark, "groups")
+    sound, _ = sound_and_broken(spark, folder)
+    write_capture(sound, f"{work}/in", "archive", named=True)
+    archives = checkpointed(listing.discover_archives(spark, f"{work}/in", FO_ARCHIVE_GLOB))
+    victim = archives.filter("archive_stem = 'arc2'").first().path
+    files, inner = filesystem_of(victim)
+    with files.open_input_file(inner) as handle:
+        whole = handle.read()
+    overwritten(spark, victim, b"not an archive" * 1000)
+    try:
+        ingest.ingest(spark, archives, fo_contract(spark, folder), work, group_bytes=1, unreadable="fail")
+        raise AssertionError("an unreadable archive has to end the run")
+    except PySparkException:
+        pass
+    status = f"{ingest.FO.place(work)}/status"
+    first = checkpointed(ingest.read_table(spark, status, ingest.STATUS_DDL))
+    overwritten(spark, victim, whole)
+    redone = checkpointed(ingest.ingest(spark, archives, fo_contract(spark, folder), work, group_bytes=1, unreadable="fail"))
+    names = {"after the failure": first, "done again": redone, "at the end": ingest.read_table(spark, status, ingest.STATUS_DDL)}
+    return reduce(DataFrame.unionByName, [rows.select(F.lit(name).alias("seen"), "archive_stem", "status", "rows") for name, rows in names.items()])
+
+
+@query
+def ingest_clean_start(spark, folder):
+    """A day begun anew with fewer archives: nothing of the former run is left in any table."""
+    work = work_folder(spark, "clean")
+    sound, _ = sound_and_broken(spark, folder)
+    write_capture(sound, f"{work}/in", "archive", named=True)
+    archives = listing.discover_archives(spark, f"{work}/in", FO_ARCHIVE_GLOB)
+    ingest.ingest(spark, archives, fo_contract(spark, folder), work)
+    ingest.ingest(spark, archives.filter("archive_stem <> 'arc1'"), fo_contract(spark, folder), work, clean_start=True)
+    place = ingest.FO.place(work)
+    found = {"status": ingest.read_table(spark, f"{place}/status", ingest.STATUS_DDL).select("archive_stem", "rows"),
+             "ledger": ingest.sound_ledger(spark, work, ingest.FO).groupBy("archive_stem").agg(F.sum("rows").alias("rows")),
+             "shards": ingest.shards(spark, place, ingest.FO).groupBy("archive_stem").agg(F.count("*").alias("rows"))}
+    return reduce(DataFrame.unionByName, [rows.select(F.lit(name).alias("table_name"), "archive_stem", "rows") for name, rows in found.items()])
+
+
+@query
+def skipped_shards(spark, folder):
+    """Two damaged files among the shards: listed, and left out of the scan."""
+    work = work_folder(spark, "skipped")
+    committed(spark, folder, work, "true")
+    place = f"{ingest.FO.place(work)}/rows/kind=shard"
+    overwritten(spark, f"{place}/archive_stem=arc1/damaged-1.parquet", b"PAR1 nothing more")
+    overwritten(spark, f"{place}/archive_stem=arc3/damaged-2.parquet", b"xyz")
+    kept = ingest.sound_shards(spark, work, ingest.FO, skip_unreadable=True).groupBy("archive_stem").agg(F.count("*").alias("rows"))
+    bad = ingest.skipped_shards(spark, work, ingest.FO).select("archive_stem", text.base_name(F.col("path")).alias("skipped"), "length")
+    return kept.unionByName(bad, allowMissingColumns=True)
+
+
+@query
+def day_swap(spark, folder):
+    """A final day before, after a write that fails halfway, and after a good one."""
+    path = work_folder(spark, "swap")
+    rows = fo_final(spark, folder)
+    columns = "instrument STRING, symbol STRING, expiry BIGINT, price INT, trade_date STRING"
+
+    def write(what: DataFrame) -> None:
+        days.replace_day(what.select(*[field.split()[0] for field in columns.split(", ")]), path, TRADE_DATE, ingest.DERIVATIVE_KEYS, "zstd")
+
+    def seen(when: str) -> DataFrame:
+        day = days.read_day(spark, path, TRADE_DATE, columns)
+        return checkpointed(day.groupBy("instrument", "symbol", "expiry").agg(F.count("*").alias("rows"), F.sum("price").alias("price")).withColumn("seen", F.lit(when)))
+
+    write(rows.filter("record_no % 2 = 0"))
+    steps = [seen("first")]
+    broken = F.when(F.col("record_no") % 5 == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("price"))
+    try:
+        write(rows.withColumn("price", broken.cast("int")))
+        raise AssertionError("the write has to fail")
+    except PySparkException:
+        pass
+    steps.append(seen("after the failure"))
+    write(rows)
+    steps.append(seen("second"))
+    left = len(days.history(path, TRADE_DATE)) - len(days.sweep(spark, path, TRADE_DATE))
+    return reduce(DataFrame.unionByName, steps).withColumn("versions", F.lit(left))
+
+
 @query
 def ingest_cash_counts(spark, folder):
     """The cash ingest: archives with a defect fail, the others go on."""
     work = work_folder(spark, "ingest")
-    classified = decode.classify(tables.lanes(spark, folder))
-    sound = classified.filter("defect IS NULL").drop("msg_type", "msg_class", "defect")
-    broken = classified.filter("defect IS NOT NULL").drop("msg_type", "msg_class", "defect")
-    write_capture(sound, f"{work}/in", "archive")
-    write_capture(broken, f"{work}/in", "archive")
+    for rows in sound_and_broken(spark, folder):
+        write_capture(rows, f"{work}/in", "archive")
     archives = listing.discover_archives(spark, f"{work}/in", "*.cap.tar.xz")
     ingest.ingest(spark, archives, cm_contract(spark, folder), work, ingest.CM)
     return ingest.finalize_cash(spark, work, TRADE_DATE).groupBy("symbol", "series").agg(
@@ -703,3 +957,52 @@ def sanity_report(spark, folder):
     files = sizes.with_layout(files, *keys).withColumn("expiry", F.col("expiry").cast("bigint"))
     profile = audit.token_profile(spark.read.schema(ingest.DERIVATIVE_DDL).parquet(path), *keys)
     return audit.sanity_report(profile, files, *keys).drop("files")
+
+
+@query
+def report_blocks(spark, folder):
+    """The blocks of the report as they were written, and the shared copy, published though bad tokens fail the audit."""
+    work = ingested(spark, folder)
+    ingest.finalize_derivatives(spark, work, TRADE_DATE)
+    ingest.publish(spark, work, TRADE_DATE, f"{work}/shared", publish_on_fail=True)
+    block = {name: ingest.read_report(spark, f"{work}/audit/{TRADE_DATE}/{name}") for name in ("files", "totals", "cross_check")}
+    shared = days.read_day(spark, f"{work}/shared", TRADE_DATE, ingest.DERIVATIVE_DDL).groupBy("instrument").agg(F.count("*").cast("string").alias("rows"))
+    parts = [
+        block["files"].select(F.lit("files").alias("block"), F.col("filename").alias("name"), F.concat_ws(" ", "row_count", "token_check", "magic_bytes", "status").alias("value")),
+        block["totals"].select(F.lit("totals"), "instrument", "rows"),
+        block["cross_check"].select(F.lit("cross_check"), F.lit("expected"), F.concat_ws(" ", "parser_total", "parquet_total", "dropped", "gained", "expected_match")),
+        shared.select(F.lit("shared"), "instrument", "rows"),
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+def futures_files(spark: SparkSession, folder: str, path: str) -> None:
+    """A day's futures as one file for each symbol and expiry, of four kinds: other column names in two, one column less in the last."""
+    futures = lookup.keep_instruments(fo_final(spark, folder), ("FUTSTK",))
+    name = text.derivative_file_name(F.lit(TRADE_DATE), F.col("instrument"), F.col("symbol"), F.col("expiry"))
+    kind = F.substring_index("symbol", "&", -1).cast("int") % 4
+    rows = futures.filter("symbol LIKE 'SYM%'").select(*MESSAGE_COLUMNS, "archive_stem", "record_no", kind.alias("kind"), name.alias("file"))
+    write_files(rows, path, {1: {"capture_ns": "Capture Time NS", "quantity": "Qty"}, 2: {"price": "order-price", "msg_type": "Type"}, 3: {"price": None}})
+
+
+@query
+def export_mixed_files(spark, folder):
+    """Files of differing columns exported as one job; those without a price become error rows. With the place of each tape or file."""
+    path = work_folder(spark, "mixed")
+    futures_files(spark, folder, f"{path}/in")
+    done = export.export_derivative_files(spark, f"{path}/in", f"{path}/out", TRADE_DATE)
+    return done.select("symbol", "rows", "status", "trade_date", F.regexp_replace("path", "^.*/(out|in)/", "").alias("path"))
+
+
+@query
+def export_requested_expiry(spark, folder):
+    """The export of an expiry that is not the front one, and what it says of one that is not there."""
+    path = work_folder(spark, "expiry")
+    futures_files(spark, folder, f"{path}/in")
+    chosen = str(tables.FIRST_EXPIRY + tables.FOUR_WEEKS)
+    done = export.export_derivative_files(spark, f"{path}/in", f"{path}/out", TRADE_DATE, expiry=chosen)
+    try:
+        export.export_derivative_files(spark, f"{path}/in", f"{path}/none", TRADE_DATE, expiry="7")
+    except ValueError as problem:
+        message = str(problem)
+    return done.select("symbol", "rows", "status").withColumn("unknown", F.lit(message))

@@ -282,8 +282,59 @@ GROUP BY 1, 2 HAVING count(DISTINCT line_key%2) = 2""",
     "archive_roundtrip": _with("decoded") + DECODED,
     "capture_type_counts": _with("msgs") + "SELECT CAST(ascii(msg_type) AS SMALLINT) AS msg_type_code, count(*) AS rows, "
     "max(seq_no) AS last_seq_no FROM msgs WHERE msg_type IN ('N','T','Z') GROUP BY 1",
-    "archive_discovery": """SELECT 'archive' AS kind, count(*) > 0 AS found, CAST(0 AS BIGINT) AS torn FROM events
-UNION ALL SELECT 'plain', count(*) > 0, CAST(5 AS BIGINT) FROM events""",
+    "archive_blocks_roundtrip": _with("decoded") + DECODED,
+    "bundled_roundtrip": """SELECT 'small' || CAST(event_id // 300 AS VARCHAR) AS archive_stem, count(*) AS records,
+  row_number_max AS last_record_no, count(*) FILTER (place = event_id % 300) AS in_place, CAST(sum(code) AS BIGINT) AS codes
+FROM (SELECT event_id, ascii(substr('NMXTCGHJKZ?', CAST(event_id%11 AS INT)+1, 1)) AS code,
+  row_number() OVER (PARTITION BY event_id // 300 ORDER BY event_id) - 1 AS place,
+  count(*) OVER (PARTITION BY event_id // 300) - 1 AS row_number_max FROM events) GROUP BY event_id // 300, row_number_max""",
+    "torn_records": _with("msgs") + """SELECT archive_stem || '_' || kind AS archive_stem, CASE kind WHEN 'archive' THEN 'whole' ELSE kind END AS form,
+  count(*) AS records, CAST(torn AS BIGINT) AS torn_bytes, CAST(NULL AS VARCHAR) AS problem
+FROM msgs, (VALUES ('plain', 13), ('archive', 5), ('blocks', 7)) AS f(kind, torn) GROUP BY archive_stem, kind, torn""",
+    "archive_discovery": _with("msgs") + """SELECT archive_stem || '_' || kind AS archive_stem, archive_stem || '_' || kind || '.cap.tar.xz' AS file,
+  count(*) AS records, CAST(torn AS BIGINT) AS torn_bytes
+FROM msgs, (VALUES ('archive', 5), ('blocks', 7)) AS f(kind, torn) GROUP BY archive_stem, kind, torn""",
+    "footer_counts": _with("decoded", "fo") + """SELECT i.instrument, f.symbol, f.expiry, count(*) AS rows
+FROM decoded d JOIN fo_meta f ON d.token = f.token
+JOIN inst i ON d.token = i.token WHERE d.msg_type <> 'Z' AND f.symbol NOT LIKE 'TEST%' GROUP BY 1, 2, 3""",
+    "ingest_status": _with("decoded", "fo") + """, placed AS (
+  SELECT 'broken' || substr(archive_stem, 4) AS stem, defect, row_number() OVER (PARTITION BY archive_stem ORDER BY record_no) - 1 AS place
+  FROM lanes WHERE defect IS NOT NULL),
+first_place AS (SELECT 'defect ' || defect || ' in ' || stem || ' record ' || place AS raised FROM placed ORDER BY stem, place LIMIT 1),
+every AS (
+  SELECT l.archive_stem, count(f.token) AS rows, 0 AS defects FROM (SELECT DISTINCT archive_stem FROM lanes WHERE defect IS NULL) l
+  LEFT JOIN decoded d ON d.archive_stem = l.archive_stem LEFT JOIN fo_meta f ON f.token = d.token GROUP BY 1
+  UNION ALL SELECT stem, 0, count(*) FROM placed GROUP BY 1)
+SELECT archive_stem, rows, defects, CAST(9 AS BIGINT) AS torn_bytes, CASE WHEN defects > 0 THEN 'failed' ELSE 'done' END AS status, raised
+FROM every, first_place""",
+    "quarantine": _with("decoded", "fo") + """, placed AS (
+  SELECT archive_stem, row_number() OVER (PARTITION BY archive_stem ORDER BY record_no) - 1 AS record_no, CAST(record_no AS INT) AS seq_no, msg_type, defect FROM lanes)
+SELECT archive_stem, record_no, seq_no, msg_type, defect, CAST(0 AS BIGINT) AS shard_rows FROM placed WHERE defect IS NOT NULL
+UNION ALL SELECT d.archive_stem, NULL, NULL, NULL, NULL, count(*) FROM decoded d JOIN fo_meta f ON d.token = f.token GROUP BY 1""",
+    "ingest_profile": _with("decoded", "fo") + """, tokens AS (
+  SELECT count(f.token) AS known, count(*) - count(f.token) AS unknown FROM decoded d LEFT JOIN fo_meta f ON d.token = f.token)
+SELECT count(DISTINCT archive_stem) AS commits, count(DISTINCT archive_stem) AS archives, count(DISTINCT archive_stem) AS torn_records,
+  11 * count(DISTINCT archive_stem) AS torn_bytes, count(*) AS records, count(*) FILTER (defect IS NULL AND cls IS NULL) AS unknown_types,
+  count(*) FILTER (defect IS NULL AND cls = 'heartbeat') AS heartbeats, count(*) FILTER (defect = 'pad0') AS defect_pad0,
+  count(*) FILTER (defect = 'pad1') AS defect_pad1, count(*) FILTER (defect = 'msg_len') AS defect_msg_len,
+  count(*) FILTER (defect = 'short_body') AS defect_short_body, count(*) FILTER (defect = 'side') AS defect_side,
+  0 AS defect_exchange_time, 0 AS defect_unreadable, any_value(known) AS known_tokens, any_value(unknown) AS unknown_tokens
+FROM lanes, tokens""",
+    "ingest_groups": _with("decoded", "fo") + """, counted AS (
+  SELECT l.archive_stem, count(f.token) AS rows FROM (SELECT DISTINCT archive_stem FROM lanes WHERE defect IS NULL) l
+  LEFT JOIN decoded d ON d.archive_stem = l.archive_stem LEFT JOIN fo_meta f ON f.token = d.token GROUP BY 1)
+SELECT seen, archive_stem, 'done' AS status, rows FROM counted, (VALUES ('after the failure'), ('done again'), ('at the end')) AS s(seen)
+WHERE seen = 'at the end' OR (archive_stem < 'arc2') = (seen = 'after the failure')""",
+    "ingest_clean_start": _with("decoded", "fo") + """, counted AS (
+  SELECT l.archive_stem, count(f.token) AS rows FROM (SELECT DISTINCT archive_stem FROM lanes WHERE defect IS NULL) l
+  LEFT JOIN decoded d ON d.archive_stem = l.archive_stem LEFT JOIN fo_meta f ON f.token = d.token GROUP BY 1)
+SELECT t.n AS table_name, archive_stem, rows FROM counted, (VALUES ('status'), ('ledger'), ('shards')) AS t(n)
+WHERE archive_stem <> 'arc1' AND (rows > 0 OR t.n = 'status')""",
+    "skipped_shards": _with("fo") + """SELECT archive_stem, count(*) AS rows, NULL AS skipped, NULL AS length FROM att GROUP BY 1
+UNION ALL SELECT 'arc1', NULL, 'damaged-1.parquet', 17 UNION ALL SELECT 'arc3', NULL, 'damaged-2.parquet', 3""",
+    "day_swap": _with("fo") + """SELECT seen, instrument, symbol, expiry, count(*) AS rows, CAST(sum(price) AS BIGINT) AS price, 2 AS versions
+FROM final, (VALUES ('first'), ('after the failure'), ('second')) AS s(seen)
+WHERE seen = 'second' OR record_no % 2 = 0 GROUP BY 1, 2, 3, 4""",
     "ingest_final_counts": _with("decoded", "fo") + """SELECT i.instrument, f.symbol, f.expiry, count(*) AS rows,
   CAST(sum(d.quantity) AS BIGINT) AS quantity FROM decoded d JOIN fo_meta f ON d.token = f.token
 JOIN inst i ON d.token = i.token WHERE d.msg_type <> 'Z' AND f.symbol NOT LIKE 'TEST%' GROUP BY 1, 2, 3""",
@@ -324,4 +375,47 @@ FROM r LEFT JOIN s ON r.symbol = s.symbol AND r.series = s.series""",
   CASE WHEN count(*) FILTER (token < 10000 OR token > 999999) = 0 THEN 'PASS' ELSE 'FAIL' END AS token_check,
   CASE WHEN count(*) FILTER (token < 10000 OR token > 999999) = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
   'PASS' AS magic_bytes FROM final GROUP BY 1, 2, 3""",
+    "contract_fo_read": _with("dup") + """, wanted AS (
+  SELECT *, ['FUTSTK', 'FUTIDX', 'OPTSTK', 'OPTIDX', 'EQUITY'][line_key%5 + 1] AS instrument FROM dup WHERE line_key%5 <> 4 AND token < 1000000),
+picked AS (
+  SELECT token, arg_min({'s': symbol, 'e': expiry}, line_key) AS first, arg_max({'s': symbol, 'e': expiry}, line_key) AS last,
+    array_to_string(list_sort(list(DISTINCT instrument)), ',') AS instruments FROM wanted GROUP BY 1)
+SELECT 'first' AS policy, token, first.s AS symbol, first.e AS expiry, instruments FROM picked
+UNION ALL SELECT 'last', token, last.s, last.e, instruments FROM picked""",
+    "contract_cm_read": _with("dup") + """, picked AS (
+  SELECT token, arg_min(symbol, line_key) AS symbol, arg_min(series, line_key) AS series FROM dup WHERE line_key%3 = 0 AND token < 1000000 GROUP BY 1)
+SELECT first_line, token, symbol, series FROM picked, (VALUES ('number'), ('entry')) AS f(first_line)
+UNION ALL SELECT 'entry', 77, 'FIRST', 'EQ'""",
+    "contract_checks": _with("dup") + """, clash AS (
+  SELECT token, count(DISTINCT (symbol, expiry)) AS ways FROM dup WHERE line_key%5 <> 4 GROUP BY 1 HAVING count(DISTINCT (symbol, expiry)) > 1 ORDER BY 1 LIMIT 1)
+SELECT 'conflict' AS case, 'token ' || token || ' maps inconsistently (' || ways || ' ways)' AS message FROM clash
+UNION ALL SELECT 'empty', 'no contract lines of the wanted instruments'
+UNION ALL SELECT 'token', 'bad token: x' || max(c_custkey) FROM customer
+UNION ALL SELECT 'expiry', 'bad expiry: ' || max(c_custkey) || '.5' FROM customer""",
+    "report_blocks": _with("decoded", "fo") + """, kept AS (
+  SELECT d.archive_stem, d.record_no, d.token, d.msg_type, f.symbol, f.expiry FROM decoded d JOIN fo_meta f ON d.token = f.token),
+fin AS (SELECT kept.*, i.instrument FROM kept JOIN inst i ON kept.token = i.token WHERE msg_type <> 'Z' AND symbol NOT LIKE 'TEST%')
+SELECT 'files' AS block, '20260327_' || instrument || '_' || regexp_replace(symbol, '[^A-Za-z0-9._-]', '_', 'g') || '_' || expiry || '.parquet' AS name,
+  count(*) || CASE WHEN count(*) FILTER (token < 10000 OR token > 999999) = 0 THEN ' PASS PASS PASS' ELSE ' FAIL PASS FAIL' END AS value
+FROM fin GROUP BY instrument, symbol, expiry
+UNION ALL SELECT 'totals', coalesce(d.i, 'TOTAL'), CAST(count(f.instrument) AS VARCHAR)
+FROM (VALUES ('FUTSTK'), ('FUTIDX'), ('OPTSTK'), ('OPTIDX')) AS d(i) LEFT JOIN fin f ON f.instrument = d.i GROUP BY ROLLUP (d.i)
+UNION ALL SELECT 'cross_check', 'expected', (SELECT count(*) FROM kept) || ' ' || (SELECT count(*) FROM fin) || ' '
+  || (SELECT count(*) FROM kept WHERE msg_type = 'Z' OR symbol LIKE 'TEST%') || ' '
+  || ((SELECT count(*) FROM fin) - (SELECT count(*) FROM kept WHERE msg_type <> 'Z' AND symbol NOT LIKE 'TEST%')) || ' true'
+UNION ALL SELECT 'shared', instrument, CAST(count(*) AS VARCHAR) FROM fin WHERE instrument NOT IN ('OPTSTK', 'OPTIDX') GROUP BY instrument""",
+    "export_mixed_files": _with("fo") + """, futures AS (
+  SELECT replace(symbol, '&', '_') AS symbol, CAST(split_part(symbol, '&', 2) AS INT)%4 AS kind,
+    count(*) FILTER (msg_type IN ('N','M','X','T')) AS main, count(*) FILTER (msg_type IN ('G','H','J','K')) AS aux
+  FROM final WHERE instrument = 'FUTSTK' AND symbol LIKE 'SYM%' AND expiry = 1459348200 GROUP BY 1, 2)
+SELECT symbol, CASE WHEN kind < 3 THEN main END AS rows, CASE WHEN kind < 3 THEN 'written' ELSE 'error' END AS status, '20260327' AS trade_date,
+  CASE WHEN kind = 3 THEN '20260327_FUTSTK_' || symbol || '_1459348200.parquet'
+       WHEN main > 0 THEN 'tapes/trade_date=20260327/tape=main/symbol=' || symbol
+       WHEN aux > 0 THEN 'tapes/trade_date=20260327/tape=aux/symbol=' || symbol END AS path FROM futures""",
+    "export_requested_expiry": _with("fo") + """, every AS (
+  SELECT replace(symbol, '&', '_') AS symbol, CAST(split_part(symbol, '&', 2) AS INT)%4 AS kind, expiry,
+    count(*) FILTER (msg_type IN ('N','M','X','T')) AS main FROM final WHERE instrument = 'FUTSTK' AND symbol LIKE 'SYM%' GROUP BY 1, 2, 3),
+known AS (SELECT 'expiry 7 not found; available: ' || string_agg(DISTINCT CAST(expiry AS VARCHAR), ', ' ORDER BY CAST(expiry AS VARCHAR)) AS unknown FROM every)
+SELECT symbol, CASE WHEN kind < 3 THEN main END AS rows, CASE WHEN kind < 3 THEN 'written' ELSE 'error' END AS status, unknown
+FROM every, known WHERE expiry = 1459348200 + 2419200""",
 }
