@@ -69,3 +69,8 @@ def test_file_names(spark):
         text.cash_file_name(F.col("d"), F.col("s"), F.col("r")).alias("b"),
         text.tape_name(F.col("s"), F.col("d")).alias("c")).first()
     assert tuple(row) == ("20260327_FUTSTK_M_M_1459348200.parquet", "20260327_M_M_EQ.parquet", "TBT_M&M_20260327")
+
+
+def test_whole_numbers_have_all_their_digits(spark):
+    numbers = [0.5, 1.5, 2.0**63, -(2.0**63), 1e22, 1e23, -1.7e30, 9.9e37, 9.3e18, 9223372036854774784.0]
+    assert values(spark, text.whole_number, "double", numbers) == [f"{number:.0f}" for number in numbers]

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tickloom.schema import ARCHIVE_SUFFIXES, BLANK_WORDS
 
 UNICODE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-LONG_RANGE = 9.2e18
+# Doubles below the first fit a long, below the second a decimal of 38 digits.
+LONG_RANGE, DECIMAL_RANGE = 2.0**63, 1e38
 LINE_BLANKS = " \t\r\n"
 
 
@@ -41,8 +42,20 @@ def is_blank(value: Column, numeric: bool, floating: bool = False) -> Column:
 
 
 def whole_number(value: Column) -> Column:
-    """A float as its nearest whole number, ties to even."""
-    return F.when(F.abs(value) < LONG_RANGE, F.rint(value).cast("bigint").cast("string")).otherwise(
+    """A float as its nearest whole number, ties to even, with all its digits up to 38 of them.
+
+    A double past the range of a long is a whole number already; its two halves
+    of 64 bits are exact, and so is their sum as a decimal. Numbers of more
+    digits, which no id has, show 17 exact ones.
+    """
+    size = F.abs(value)
+    high = F.floor(size / F.lit(2.0**64)).cast("double")
+    low = size - high * F.lit(2.0**64)
+    # Such doubles are even, so half of the low part fits a long.
+    exact = high.cast("bigint").cast("decimal(19,0)") * F.expr("cast('18446744073709551616' AS decimal(20,0))") \
+        + (low / 2).cast("bigint").cast("decimal(19,0)") * F.expr("cast(2 AS decimal(1,0))")
+    large = F.concat(F.when(value < 0, "-").otherwise(""), exact.cast("decimal(38,0)").cast("string"))
+    return F.when(size < LONG_RANGE, F.rint(value).cast("bigint").cast("string")).when(size < DECIMAL_RANGE, large).otherwise(
         F.format_string("%.0f", value))
 
 

@@ -425,7 +425,7 @@ def clean_ids(spark, folder):
     rows = tables.table(spark, folder, "events").select(
         "event_id", words.alias("order_id"),
         F.expr("case when event_id%5=0 then double('NaN') when event_id%5=1 then null "
-               "else cast(event_id as double) + 1300000000000000 end").alias("buy_order_id"),
+               "when event_id%5=2 then (cast(event_id as double) - 50) * 1e21 else cast(event_id as double) + 1300000000000000 end").alias("buy_order_id"),
         F.expr("case when event_id%3=0 then null else event_id end").alias("sell_order_id"))
     return research.clean_ids(rows)
 

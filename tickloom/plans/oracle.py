@@ -238,7 +238,8 @@ SELECT *, row_number() OVER (PARTITION BY tape, symbol ORDER BY capture_ns NULLS
   archive_stem, record_no) AS tape_no FROM shaped""",
     "clean_ids": """SELECT event_id,
   CASE WHEN event_id%8 < 5 THEN '0' WHEN event_id%8 = 5 THEN '0' ELSE CAST(event_id AS VARCHAR) END AS order_id,
-  CASE WHEN event_id%5 IN (0, 1) THEN '0' ELSE CAST(event_id + 1300000000000000 AS VARCHAR) END AS buy_order_id,
+  CASE WHEN event_id%5 IN (0, 1) THEN '0' WHEN event_id%5 = 2 THEN CAST(CAST((CAST(event_id AS DOUBLE) - 50) * 1e21::DOUBLE AS HUGEINT) AS VARCHAR)
+    ELSE CAST(event_id + 1300000000000000 AS VARCHAR) END AS buy_order_id,
   CASE WHEN event_id%3 = 0 THEN '0' ELSE CAST(event_id AS VARCHAR) END AS sell_order_id,
   event_id%8 < 4 AS order_id_was_na, event_id%5 IN (0, 1) AS buy_order_id_was_na,
   event_id%3 = 0 AS sell_order_id_was_na FROM events""",
