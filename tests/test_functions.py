@@ -1,4 +1,5 @@
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,3 +75,10 @@ def test_file_names(spark):
 def test_whole_numbers_have_all_their_digits(spark):
     numbers = [0.5, 1.5, 2.0**63, -(2.0**63), 1e22, 1e23, -1.7e30, 9.9e37, 9.3e18, 9223372036854774784.0]
     assert values(spark, text.whole_number, "double", numbers) == [f"{number:.0f}" for number in numbers]
+
+
+def test_directory_values_are_those_of_a_written_table(spark, folder):
+    names = ["plain", "a%b", "c=d/e:f", "x y&z+é", "q?[w]^{v}", "t\tn'\"#*\\", "h\x7f"]
+    spark.createDataFrame([(name, 1) for name in names], "k string, x int").write.partitionBy("k").parquet(folder)
+    shown = values(spark, text.directory_value, "string", names)
+    assert sorted(f"k={name}" for name in shown) == sorted(name for name in os.listdir(folder) if name.startswith("k="))

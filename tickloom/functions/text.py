@@ -77,6 +77,17 @@ def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
+#: What a partition's directory shows as a percent sign and two digits, the percent sign first.
+ESCAPED = "%\"#'*/:=?\\{[]^\x7f" + "".join(map(chr, range(1, 32)))
+
+
+def directory_value(value: Column) -> Column:
+    """A text as it stands in the name of a partition's directory."""
+    for char in ESCAPED:
+        value = F.replace(value, F.lit(char), F.lit(f"%{ord(char):02X}"))
+    return value
+
+
 def archive_stem(path: Column) -> Column:
     """File name without its archive suffixes, each tried once, in their order.
 

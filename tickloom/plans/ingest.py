@@ -191,6 +191,13 @@ def drop_archives(todo: DataFrame, path: str) -> None:
     remove_folders(stale.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct())
 
 
+def drop_partitions(todo: DataFrame, *tables: str) -> None:
+    """The same for tables whose first directories are the archives: these are removed by name, and nothing is listed."""
+    folder = F.concat(F.lit("/archive_stem="), text.directory_value(F.col("archive_stem")))
+    place = F.explode(F.array(*[F.lit(table) for table in tables]))
+    remove_folders(todo.select("archive_stem").distinct().select(place.alias("place"), folder.alias("folder")).select(F.concat("place", "folder").alias("folder")))
+
+
 def commit(rows: DataFrame, todo: DataFrame, work: str, segment: Segment, torn: DataFrame | None = None) -> DataFrame:
     """Write the rows of the archives of ``todo``, their ledger and their status; returns the status rows.
 
@@ -198,8 +205,7 @@ def commit(rows: DataFrame, todo: DataFrame, work: str, segment: Segment, torn:
     defective ones the quarantine; one pass writes both. ``torn`` has the bytes of torn last records by archive.
     """
     spark = rows.sparkSession
-    for name in ("status", "ledger", "rows"):
-        drop_archives(todo, f"{work}/{name}")
+    drop_partitions(todo, *(f"{work}/{name}" for name in ("status", "ledger", "rows/kind=shard", "rows/kind=quarantine")))
     kind = F.when(F.col("defect").isNull(), F.lit("shard")).otherwise(F.lit("quarantine")).alias("kind")
     sinks.write_shards(rows.select("record_no", text.batch_no(F.col("record_no"), BATCH_RECORDS).cast("int").alias("batch"), *MESSAGE_COLUMNS,
                                    *segment.meta_columns, "defect", kind, "archive_stem"), f"{work}/rows")
