@@ -19,6 +19,8 @@ SPACES = b" \t\n\x0b\x0c\r"
 LOAD = 2
 #: Distinct lines of a shard and bytes of a batch of texts, both about.
 SHARD_KEYS, BATCH_BYTES = 1 << 20, 16 << 20
+#: Bytes of texts that a task of the last step takes, about.
+TASK_BYTES = 32 << 20
 
 
 def line_key(line: bytes, least: int) -> bytes | None:
@@ -264,9 +266,9 @@ def sent_lines(rows: DataFrame, shards: int, least: int) -> DataFrame:
     return stored(rows.mapInArrow(_lines(shards, least), SENT), "line-keys")
 
 
-def shard_count(rows: DataFrame, shard_keys: int = SHARD_KEYS) -> int:
+def shard_count(size: int, shard_keys: int = SHARD_KEYS) -> int:
     """Enough shards for so many lines each, were no line repeated and lines of 20 bytes (keys of 10 code points have 11 at least)."""
-    return max(16, (rows.agg(F.sum("size")).first()[0] or 0) // 20 // shard_keys + 1)
+    return max(16, size // 20 // shard_keys + 1)
 
 
 def build_index(sent: DataFrame) -> DataFrame:
@@ -300,10 +302,14 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     prepare(docs.sparkSession)
     rows = batched(docs, id_col, text_col, batch_bytes)
-    sent = sent_lines(rows.drop("size"), shard_count(rows, shard_keys), least)
+    size = rows.agg(F.sum("size")).first()[0] or 0
+    rows = rows.drop("size")
+    sent = sent_lines(rows, shard_count(size, shard_keys), least)
     index = build_index(sent)
     answers = stored(sent.select("batch", "shard", "keys").groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(_probe, ANSWER), "line-answers")
-    kept = rows.drop("size").groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_drop(least), KEPT)
+    # A number of its own for this shuffle, so that a task's texts stay the same at any size of the input.
+    tasks = size // TASK_BYTES + 1
+    kept = rows.repartition(tasks, "batch").groupBy("batch").cogroup(answers.repartition(tasks, "batch").groupBy("batch")).applyInArrow(_drop(least), KEPT)
     return kept.withColumnRenamed("id", id_col)
 
 

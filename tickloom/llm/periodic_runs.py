@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import mixed, prepare, slices, text_bytes, word_hashes
 
 #: Texts that are searched together, and pieces of a text that are hashed together, in bytes.
-GROUP_BYTES, PIECE_BYTES = 4 << 20, 1 << 20
+GROUP_BYTES, PIECE_BYTES = 1 << 20, 1 << 20
 #: Extensions that are asked for at once.
 ASKED = 1 << 18
 #: Sequences this short are compared symbol by symbol.
@@ -242,7 +242,7 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     the texts and of their reversals, which recompression makes: blocks of
     equal symbols and pairs of symbols are replaced in turn. A query climbs the
     levels while both places are at a symbol's start, and comes down where they
-    differ. There is no shuffle: texts of about 4 MB are searched together,
+    differ. There is no shuffle: texts of about 1 MB are searched together,
     a longer one by itself, with memory in proportion to its words (and to
     words times their logarithm where all of it is periodic).
 
