@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 
 from tickloom.session import ship_package, work_folder
 
-#: White space as the word contracts take it: space and U+0009 to U+000D. ``bytes.split`` cuts at the same bytes.
-WORD_BREAK = "[ \\x09-\\x0D]+"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -28,7 +24,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of a frame, written to the shared folder and read again: lost executors neither repeat nor change them."""
     folder = work_folder(df.sparkSession, name)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    frame = df.sparkSession.read.schema(df.schema).parquet(folder)
+    frame.stored_in = folder
+    return frame
+
+
+def forget(*frames: DataFrame) -> None:
+    """Remove what ``stored`` wrote for frames that nothing reads any more."""
+    for frame in frames:
+        path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(frame.stored_in)
+        path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_bytes(value: pa.Scalar) -> bytes:
@@ -111,9 +116,47 @@ def slices(texts: list[bytes], size: int = 1 << 20) -> Iterator[list[bytes]]:
         yield held
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether a frame has at most so many rows; counts no further than that."""
-    return df.limit(rows + 1).count() <= rows
+class Forest:
+    """Union-find over the nodes of a stretch of rows; ``links`` are a spanning forest, each node linked to its smallest."""
+
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def root(self, node: int) -> int:
+        parent = self.parent
+        while (up := parent.setdefault(node, node)) != node:
+            parent[node] = node = parent[up] if up in parent else up
+        return node
+
+    def join(self, a: int, b: int) -> None:
+        a, b = self.root(a), self.root(b)
+        if a != b:
+            self.parent[max(a, b)] = min(a, b)
+
+    def links(self) -> tuple[list[int], list[int]]:
+        nodes = [node for node in self.parent if self.root(node) != node]
+        return nodes, [self.root(node) for node in nodes]
+
+
+def _spanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of each few links of a task; (u, v), v the smaller."""
+    forest = Forest()
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            forest.join(a, b)
+        if len(forest.parent) > SPANNED:
+            yield _links(forest)
+            forest = Forest()
+    yield _links(forest)
+
+
+def _links(forest: Forest) -> pa.RecordBatch:
+    nodes, roots = forest.links()
+    return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(roots, pa.int64())], names=["u", "v"])
+
+
+#: Nodes that a task unites at once, and links that one task unites to the end: both bound its memory to some 100 MB.
+SPANNED = FEW = 1 << 19
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -122,10 +165,17 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps, each a join with a minimum
     per node, so that a hub is summed before it is shuffled and no component
     is ever gathered. Ends when a step changes nothing. Nulls link nothing.
+    Tasks first reduce their own links to a spanning forest. Where no more than
+    FEW links are left in all, one task ends the work, with the same result.
     """
-    star = stored(
-        edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(),
-        "edges")
+    prepare(edges.sparkSession)
+    pairs = edges.where("src <> dst").select(F.col("src").cast("long").alias("u"), F.col("dst").cast("long").alias("v"))
+    star = stored(pairs.mapInArrow(_spanned, "u long, v long"), "edges")
+    if star.count() <= FEW:
+        ends = stored(star.coalesce(1).mapInArrow(_spanned, "u long, v long"), "ends")
+        forget(star)
+        return ends.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
+            ends.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
     mark = None
     while True:
         both = star.union(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -134,9 +184,10 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # The smaller end may come first here: order each link again.
-        star = stored(
+        before, star = star, stored(
             small.union(least.select("u", F.col("m").alias("v"))).where("u <> v")
             .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "star")
+        forget(before)
         seen = star.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if seen == mark:
             return star.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

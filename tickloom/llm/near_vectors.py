@@ -11,7 +11,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import components, prepare, stored
+from tickloom.llm.common import Forest, components, prepare, stored
 
 CODE_BITS = 62
 
@@ -29,31 +29,11 @@ def codes(vectors: np.ndarray, passes: int, seed: int) -> np.ndarray:
 
 def unit_rows(column: pa.Array, dimension: int) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)
+    # A power of two changes no cosine, and keeps the squares of huge and tiny components in range.
+    flat = np.ldexp(flat, -np.frexp(np.abs(flat).max(axis=1, keepdims=True, initial=0))[1])
     return flat / np.linalg.norm(flat, axis=1, keepdims=True)
 
 
-class Forest:
-    """Union-find over the nodes of a stretch of rows; ``links`` are a spanning forest."""
-
-    def __init__(self) -> None:
-        self.parent: dict[int, int] = {}
-
-    def root(self, node: int) -> int:
-        parent = self.parent
-        while (up := parent.setdefault(node, node)) != node:
-            parent[node] = node = parent[up] if up in parent else up
-        return node
-
-    def join(self, a: int, b: int) -> None:
-        a, b = self.root(a), self.root(b)
-        if a != b:
-            self.parent[max(a, b)] = min(a, b)
-
-    def links(self) -> tuple[list[int], list[int]]:
-        nodes = [node for node in self.parent if self.root(node) != node]
-        return nodes, [self.root(node) for node in nodes]
-
-
 def _stretches(*keys: np.ndarray) -> list[tuple[int, int]]:
     """Ranges of rows with equal keys."""
     n = len(keys[0])
@@ -132,7 +112,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     link, few can be left, but none left is not certain. None is reported below ``cosine``, in double
     precision.
 
-    Equal vectors are taken as one with a count, so groups of copies cost one
+    Ids are integers (cast to long). Equal vectors are taken as one with a count, so groups of copies cost one
     row. Null labels, and vectors that are null, empty, zero or hold a null
     or non-finite component, link with nothing; so do rows with a null id
     (component null, kept). Vectors of different length are never compared.
@@ -142,7 +122,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     spark = vectors.sparkSession
     prepare(spark)
     label = F.col(label_col).cast("string") if label_col else F.lit("")
-    rows = vectors.select(F.col(id_col).alias("id"), label.alias("label"), F.col(vector_col).cast("array<double>").alias("vector"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), label.alias("label"), F.col(vector_col).cast("array<double>").alias("vector"))
     sound = F.col("label").isNotNull() & F.col("id").isNotNull() & F.coalesce(
         F.exists("vector", lambda x: x != 0) & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
     # Minus zero equals zero.

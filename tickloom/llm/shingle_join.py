@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -12,8 +13,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import components, mixed, prepare, slices, stored, text_bytes, word_hashes
-from tickloom.llm.near_vectors import Forest
+from tickloom.llm.common import Forest, components, forget, mixed, prepare, slices, stored, text_bytes, word_hashes
 from tickloom.operators.sizing import broadcast_if_small
 
 #: Frequencies are kept for so many ranges of hashes: a table of fixed size, four bytes each while counting, one when used.
@@ -196,13 +196,65 @@ def verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
 
 #: Turns of the leader step at most. More of them or fewer change the work, not the result.
 LEADER_TURNS = 2
+#: Postings are pruned again while a round leaves less than this part of them.
+WORTH = 0.8
 #: Lists of more documents are compared in tiles, shorter ones by pairs; again the result is the same.
 LONG_LIST, TILE = 64, 512
 
 
 def _band(percent: int) -> Column:
     """Class of a set's size: similar sets are in the same class or in neighbouring ones."""
-    return F.floor(F.log("n") / (float(np.log(100 / percent)) * 1.000001)).cast("int")
+    return F.floor(F.log("n") / (float(np.log(100 / min(percent, 99))) * 1.000001)).cast("int")
+
+
+def _met(percent: int):
+    """Postings (token, n, …), in this order, that share their token with one whose size fits.
+
+    The sizes nearest to a posting's own are its neighbours', so these decide.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None
+        joined = False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            token, n = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+            pair = (token[1:] == token[:-1]) & (100 * n[:-1] >= percent * n[1:])
+            fit = np.append(pair, False)
+            fit[1:] |= pair
+            # The first row may have met one of the batch before; the last one waits for the next batch.
+            fit[0] |= joined
+            yield rows.slice(0, rows.num_rows - 1).filter(pa.array(fit[:-1]))
+            held, joined = rows.slice(rows.num_rows - 1), bool(fit[-1])
+        if held is not None and joined:
+            yield held
+
+    return run
+
+
+def _pruned(lists: DataFrame, most: int) -> DataFrame:
+    """Postings without those that can be in no pair which shares enough of them.
+
+    A pair of levels l and m shares min(l, m) tokens that both hold by then. So
+    a posting counts for a level only where its list has such a partner of a
+    fitting class, and a document's postings of a level only where it has as
+    many of them.
+    """
+    levels = range(1, most + 1)
+    own, level = F.col("own"), F.col("level")
+    held = lists.groupBy("token", "band").agg(
+        *[F.count_if((own <= at) & (level >= at)).alias(f"up{at}") for at in levels], *[F.count_if((own <= at) & (level == at)).alias(f"at{at}") for at in levels])
+    names = [f"{kind}{at}" for kind in ("up", "at") for at in levels]
+    near = held.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))) \
+        .groupBy("token", "band").agg(*[F.sum(name).alias(name) for name in names])
+    # With a partner of a higher level the document's own counts, with one of a lower level the partner's.
+    counts = {at: (own <= at) & (((level == at) & (F.col(f"up{at}") > 1)) | ((level > at) & (F.col(f"at{at}") > 0))) for at in levels}
+    flagged = lists.join(near, ["token", "band"]).select(*lists.columns, *[counts[at].alias(f"c{at}") for at in levels])
+    enough = flagged.groupBy("doc").agg(*[(F.count_if(f"c{at}") >= at).alias(f"e{at}") for at in levels])
+    useful = functools.reduce(lambda a, b: a | b, [F.col(f"c{at}") & F.col(f"e{at}") for at in levels])
+    return flagged.join(enough, "doc").where(useful).select(*lists.columns)
 
 
 def _placed(opened: DataFrame, known: DataFrame) -> DataFrame:
@@ -216,9 +268,11 @@ def _open(placed: DataFrame, name: str) -> tuple[DataFrame, int]:
     parts = placed.groupBy("token", "part").agg(F.count("*").alias("members"))
     several = parts.groupBy("token").agg(
         F.count("*").alias("parts"), ((F.sum("members") ** 2 - F.sum(F.col("members") ** 2)) / 2).alias("pairs")).where("parts > 1")
-    opened = stored(placed.join(several.select("token", "pairs"), "token"), name)
-    left = opened.select("token", "pairs").distinct().agg(F.sum("pairs")).first()[0] or 0
-    return opened.drop("pairs"), int(left)
+    several = stored(several.select("token", "pairs"), "several")
+    kept = stored(placed.join(several, "token").drop("pairs"), name)
+    left = several.agg(F.sum("pairs")).first()[0] or 0
+    forget(several)
+    return kept, int(left)
 
 
 def _leaders(opened: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -313,6 +367,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     2. Each document posts a prefix of its rarest shingles. Its length adapts
        to the estimated cost, up to ``most`` shared shingles asked for.
     3. Documents with equal sets are taken as one, so copies cost one row.
+       Postings that meet none of a fitting size go as they stream by in order
+       of tokens; then those go that can't be among as many shared ones as
+       their levels ask for, until little changes.
     4. While lists hold many pairs between components, each document is
        checked against one other, the leader of most of its lists. A few turns
        with other leaders join large groups of near copies, at one check a
@@ -339,27 +396,40 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = stored(rows.mapInArrow(_prefixes(codes, rule), "id long, n long, f1 long, f2 long, level int, posted array<long>"), "prefixes")
     sets = found.where("n > 0 and id is not null").groupBy("n", "f1", "f2").agg(
         F.min("id").alias("doc"), F.first("level").alias("level"), F.first("posted").alias("posted"))
-    # A posting's own level: the least number of shared shingles at which the prefix holds it.
+    # A posting's own level: the least number of shared shingles at which the prefix holds it. Levels go as one number.
     base = F.col("n") - F.ceil(F.col("n") * percent / 100)
     postings = sets.select("doc", "n", "level", F.posexplode("posted").alias("place", "token")) \
-        .select("token", "doc", "n", "level", F.greatest(F.col("place") - base + 1, F.lit(1)).cast("int").alias("own"))
-    several = postings.groupBy("token").agg(F.count("*").alias("size")).where("size > 1").select("token")
-    lists = stored(postings.join(several, "token").withColumn("band", _band(percent)), "lists")
+        .select("token", "n", "doc", (F.greatest(F.col("place") - base + 1, F.lit(1)) * 256 + F.col("level")).cast("int").alias("levels"))
+    met = postings.repartition("token").sortWithinPartitions("token", "n").mapInArrow(_met(percent), "token long, n long, doc long, levels int")
+    lists = stored(met.select("token", "doc", "n", F.col("levels").bitwiseAND(255).alias("level"), F.shiftright("levels", 8).alias("own"), _band(percent).alias("band")), "lists")
+    size = lists.count()
+    while size:
+        before, lists = (lists, size), stored(_pruned(lists, most), "pruned")
+        forget(before[0])
+        size = lists.count()
+        if size > WORTH * before[1]:
+            break
 
-    links, opened = None, lists.withColumn("part", F.col("doc"))
+    # Each step's postings replace those of the step before.
+    links, opened, steps = None, lists.withColumn("part", F.col("doc")), [lists]
     for turn in range(LEADER_TURNS):
         opened, pairs_left = _open(opened, f"open-{turn}")
+        steps.append(opened)
         if pairs_left <= 4 * opened.count():
             break
-        first = _leaders(opened, turn, percent)
-        found_links = stored(verified(stored(first, "first-pairs"), rows, rule), "first-links")
+        first = stored(_leaders(opened, turn, percent), "first-pairs")
+        found_links = stored(verified(first, rows, rule), "first-links")
         links = found_links if links is None else stored(links.union(found_links), "all-links")
         # Components only grow, so lists that are closed stay closed.
         opened = _placed(opened, components(links))
+        forget(first, *steps)
+        steps = [opened]
     else:
         opened, _ = _open(opened, "open-last")
+        steps.append(opened)
     lengths = opened.groupBy("token").agg(F.count("*").alias("docs"), F.min("doc").alias("head"))
     listed = stored(opened.join(lengths, "token"), "listed")
+    forget(*steps)
     short = listed.where(F.col("docs") <= LONG_LIST).drop("docs", "head")
     more = verified(stored(_remaining(short, percent), "pairs"), rows, rule)
     more = more.union(_tiled(listed.where(F.col("docs") > LONG_LIST).select("doc", "head"), rows, rule))
