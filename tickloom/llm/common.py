@@ -167,10 +167,14 @@ def components(edges: DataFrame) -> DataFrame:
     is ever gathered. Ends when a step changes nothing. Nulls link nothing.
     Tasks first reduce their own links to a spanning forest. Where no more than
     FEW links are left in all, one task ends the work, with the same result.
+    Links are stored before, so that a task runs no second Python worker beside the one that finds them.
     """
     prepare(edges.sparkSession)
     pairs = edges.where("src <> dst").select(F.col("src").cast("long").alias("u"), F.col("dst").cast("long").alias("v"))
-    star = stored(pairs.mapInArrow(_spanned, "u long, v long"), "edges")
+    star = stored(pairs, "edges")
+    if star.count() > FEW:
+        all_links, star = star, stored(star.mapInArrow(_spanned, "u long, v long"), "forest")
+        forget(all_links)
     if star.count() <= FEW:
         ends = stored(star.coalesce(1).mapInArrow(_spanned, "u long, v long"), "ends")
         forget(star)
