@@ -15,6 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not hold in any case, made of ``name``."""
+    held = {column.lower() for column in df.columns}
+    while name.lower() in held:
+        name = f"_{name}"
+    return name
+
+
 def prepare(spark: SparkSession) -> None:
     """Makes this package importable in the executors' Python workers."""
     ship_package(spark)

@@ -1,4 +1,4 @@
-"""Benchmark decontamination: item-sized windows, candidates by rare shingles or by SimHash, weighted-shingle check."""
+"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, weighted-shingle check."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ from tickloom.operators.sizing import broadcast_if_small
 
 WORDS = 5
 BITS = 64
+#: Bits that fingerprints met by blocks may differ in; a similar pair further apart is found by its shingles.
+RADIUS = 15
 
 
 def words_of(text: Column) -> Column:
@@ -129,8 +131,8 @@ def weighted_similarity(a: Column, a_total: Column, b: Column, b_total: Column)
 
 
 def _matched(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str,
-             similarity: float, radius: int | None) -> DataFrame:
-    """(id, text_hash, start, n_words, content, item, hamming, similarity) of all windows that match an item."""
+             similarity: float, radius: int, complement: bool) -> DataFrame:
+    """(id, text_hash, start, n_words, content, item, hamming, similarity, found_by) of all windows that match an item."""
     items = stored(items_of(benchmark, item_col, item_text_col), "items")
     # At most WORDS values, as the width is bounded.
     widths = [row.width for row in items.select("width").distinct().collect()]
@@ -153,15 +155,19 @@ def _matched(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str,
     item_prints = counted(items.select("item", "n_words", "variant", F.explode("shingles").alias("shingle")), ["item", "n_words", "variant"]) \
         .withColumnsRenamed({"weights": "item_weights", "total": "item_total"})
     item_prints = stored(item_prints, "item-prints")
-    near = sharing(prints, item_prints, similarity) if radius is None else within_radius(prints, broadcast_if_small(item_prints), "n_words", radius)
+    columns = ("n_words", "content", "item", "weights", "total", "item_weights", "item_total", "hamming")
+    near = within_radius(prints, broadcast_if_small(item_prints), "n_words", radius).select(*columns, F.lit("blocks").alias("found_by"))
+    if complement:
+        beyond = sharing(prints, item_prints, similarity).where(F.col("hamming") > radius)
+        near = near.unionByName(beyond.select(*columns, F.lit("shingles").alias("found_by")))
     verified = near.withColumn("similarity", weighted_similarity(F.col("weights"), F.col("total"), F.col("item_weights"), F.col("item_total"))) \
-        .where(F.col("similarity") >= similarity).select("n_words", "content", "item", "hamming", "similarity")
+        .where(F.col("similarity") >= similarity).select("n_words", "content", "item", "hamming", "similarity", "found_by")
     return windows.select("id", "text_hash", "start", "n_words", "content").join(verified, ["n_words", "content"])
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-            item_text_col: str = "text", similarity: float = 0.8, radius: int | None = None) -> DataFrame:
-    """Documents that hold a benchmark item: (id, item, start, n_words, hamming, similarity), the best window of each pair.
+            item_text_col: str = "text", similarity: float = 0.8, radius: int = RADIUS, complement: bool = True) -> DataFrame:
+    """Documents that hold a benchmark item: (id, item, start, n_words, hamming, similarity, found_by), the best window of each pair.
 
     Words are lower-case runs of letters and digits, shingles five words
     (items with fewer: all their words). A window has as many words as the
@@ -169,13 +175,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     their shingles occur in items of that size: a window at or above
     ``similarity`` has at least that share of them, and moving it on to its
     first such shingle cannot lower the similarity, so no match is lost here.
-    Items that share enough of a window's shingles are all found by its
-    rarest ones (``sharing``); the weighted Jaccard of the shingle counts
-    decides, and ``hamming`` only tells how far the fingerprints are apart.
-    With a ``radius``, items are instead those within so many bits, found by
-    blocks. That loses matches near the limit: at 0.8 a bit of two windows
-    differs with probability of about 0.15, more for short items, so that 15
-    bits lose some percent.
+    A window meets the items of its size whose fingerprints are within
+    ``radius`` bits, by blocks that no such pair can miss; the weighted Jaccard
+    of the shingle counts decides. At a similarity of 0.8 a bit of two
+    fingerprints differs with a probability of about 0.15, more for short items, so
+    some percent of the pairs near the limit are further apart than any
+    radius whose blocks still tell fingerprints apart. These are the
+    complement: pairs beyond the radius that share enough of the window's
+    rarest shingles (``sharing``), none of which is missed. ``found_by`` says
+    which way a match was met, ``blocks`` or ``shingles``; without the
+    ``complement`` only the first are searched.
 
     The benchmark's shingles are broadcast only when measured small. Windows
     of equal content, as in copies, are fingerprinted once. Null and empty
@@ -184,10 +193,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     is matched by itself, and the best of them is reported; other columns are
     ignored; an empty side gives no rows. Ties go to the earlier start.
     """
-    best = _matched(docs, benchmark, id_col, text_col, item_col, item_text_col, similarity, radius)
-    rank = F.struct(-F.col("similarity"), "start", "n_words", "hamming")
+    best = _matched(docs, benchmark, id_col, text_col, item_col, item_text_col, similarity, radius, complement)
+    rank = F.struct(-F.col("similarity"), "start", "n_words", "hamming", "found_by")
     return best.groupBy("id", "item").agg(
-        F.min_by(F.struct("start", "n_words", "hamming", "similarity"), rank).alias("best")) \
+        F.min_by(F.struct("start", "n_words", "hamming", "similarity", "found_by"), rank).alias("best")) \
         .select(F.col("id").alias(id_col), F.col("item").alias(item_col), "best.*")
 
 
@@ -214,10 +223,10 @@ def _windows(rows: DataFrame, known: DataFrame, width: int, similarity: float) -
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                 item_text_col: str = "text", similarity: float = 0.8, radius: int | None = None) -> DataFrame:
+                 item_text_col: str = "text", similarity: float = 0.8, radius: int = RADIUS, complement: bool = True) -> DataFrame:
     """Distinct (id, text_hash) of rows with a match; options as for ``matches``.
 
     Rows that share an id, null too, are told apart by ``text_hash`` of their text.
     """
-    found = _matched(docs, benchmark, id_col, text_col, item_col, item_text_col, similarity, radius)
+    found = _matched(docs, benchmark, id_col, text_col, item_col, item_text_col, similarity, radius, complement)
     return found.select(F.col("id").alias(id_col), "text_hash").distinct()

@@ -8,11 +8,11 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import prepare, text_bytes
+from tickloom.llm.common import prepare, text_bytes, unused
 
 LONGEST_GRAM = 4
 #: Odd multipliers, one for each n-gram length.
@@ -138,12 +138,12 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int, penalty: float =
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          usable: Column | None = None, sample_bound: int = 3000, bits: int = 18, **options) -> Model:
+          usable: Column | None = None, sample_bound: int = 3000, sample_bytes: int = 1 << 29, bits: int = 18, **options) -> Model:
     """Model of at most ``sample_bound`` labelled documents of each label, chosen by hash of the id.
 
     Scores are set to the share of the labels among all usable ones. The bound makes the sample a small table, so it may be broadcast to the
-    texts and its features gathered on the driver. ``usable`` restricts the
-    labels by id. Ids with no label 0 or 1, or with both, are left out.
+    texts and its features gathered on the driver, which take ``sample_bytes`` at most in all. Of rows that share a
+    labelled id one takes part, the least by its features' hash. ``usable`` restricts the labels by id. Ids with no label 0 or 1, or with both, are left out.
     """
     prepare(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("key"), F.col(label_col).alias("label")).where("key is not null and label in (0, 1)")
@@ -160,7 +160,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), pa.array(found, pa.binary())], names=["key", "label", "found"])
 
     schema = T.StructType([rows.schema["key"], T.StructField("label", T.IntegerType()), T.StructField("found", T.BinaryType())])
-    drawn = rows.select("key", "label", "text").mapInArrow(features, schema).toArrow()
+    found = rows.select("key", "label", "text").mapInArrow(features, schema).groupBy("key", "label").agg(
+        F.min_by("found", F.struct(F.xxhash64("found"), "found")).alias("found"))
+    # At most ``sample_bound`` rows of each label are left here.
+    reached = F.sum(F.octet_length("found") + 64).over(Window.partitionBy("label").orderBy(F.xxhash64("key"), "key"))
+    drawn = found.withColumn("reached", reached).where(F.col("reached") <= sample_bytes // 2).drop("reached").toArrow()
     totals = {row.label: row["count"] for row in known.groupBy("label").count().collect()}
     order = sorted(range(drawn.num_rows), key=lambda row: (str(drawn.column("key")[row].as_py()), drawn.column("found")[row].as_py()))
     found = [np.frombuffer(drawn.column("found")[row].as_py(), "<u4").astype(np.int64) for row in order]
@@ -181,7 +185,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     prepare(docs.sparkSession)
     holder = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop(output)
-    texts = kept.withColumn("_text", F.col(text_col).cast("binary"))
+    texts = kept.withColumn(unused(docs, "_text"), F.col(text_col).cast("binary"))
     schema = T.StructType([*kept.schema.fields, T.StructField(output, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

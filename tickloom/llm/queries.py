@@ -50,10 +50,10 @@ def held_out(key: str) -> Column:
 GOOD_FROM = 0.7
 
 
-def scored(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def scored(spark: SparkSession, docs: DataFrame, sf_dir: str, output: str = "score") -> DataFrame:
     """All columns of ``docs``, and the quality score of a model that has not seen held-out labels."""
     model = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), usable=~held_out("key"))
-    return quality.score(docs, model)
+    return quality.score(docs, model, output=output)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

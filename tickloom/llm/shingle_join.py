@@ -415,7 +415,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     for turn in range(LEADER_TURNS):
         opened, pairs_left = _open(opened, f"open-{turn}")
         steps.append(opened)
-        if pairs_left <= 4 * opened.count():
+        if not pairs_left:
             break
         first = stored(_leaders(opened, turn, percent), "first-pairs")
         found_links = stored(verified(first, rows, rule), "first-links")
