@@ -67,6 +67,10 @@ LOWER_VALUES[ord("A") : ord("Z") + 1] = BYTE_VALUES[ord("a") : ord("z") + 1]
 SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
+#: Bytes of text that are hashed at a time: each takes some 60 bytes of arrays meanwhile.
+STRETCH = 1 << 18
+
+
 class _Powers:
     """Powers of the base and of its inverse, as many as were asked for so far."""
 
@@ -76,7 +80,7 @@ class _Powers:
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             for name, factor in (("up", BASE), ("down", INVERSE)):
-                row = np.full(max(n, 1 << 20), factor, np.uint64)
+                row = np.full(max(n, STRETCH), factor, np.uint64)
                 row[0] = 1
                 setattr(self, name, np.multiply.accumulate(row))
         return self.up[:n], self.down[:n]
@@ -97,7 +101,7 @@ def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np
 
     Words are what ``bytes.split`` gives, A-Z in lower case if asked. Running
     sums over the bytes give every word's polynomial at once, so no word is
-    handled by itself. Call it with a few MB at a time.
+    handled by itself. Call it with a stretch of texts at a time.
     """
     raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     space = SPACE[raw]
@@ -111,7 +115,7 @@ def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np
     return found, np.diff(np.searchsorted(starts, limits), prepend=0)
 
 
-def slices(texts: list[bytes], size: int = 1 << 20) -> Iterator[list[bytes]]:
+def slices(texts: list[bytes], size: int = STRETCH) -> Iterator[list[bytes]]:
     """Stretches of texts of about so many bytes; a longer text is a stretch of its own."""
     held, total = [], 0
     for text in texts:
