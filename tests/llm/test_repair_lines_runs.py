@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat_repair, line_dedup, periodic_runs, queries
+from tickloom.llm import chat_repair, line_dedup, periodic_runs, personal_data, queries
 
 # --- conversation repair -------------------------------------------------------------
 
@@ -272,3 +273,25 @@ def test_runs_query(spark, monkeypatch):
         wanted[key, len(runs), *long, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(kept.encode()).hexdigest()] += 1
     assert collections.Counter(map(tuple, queries.op13_periodic_runs(spark, "").collect())) == wanted
     assert periodic_runs.find_runs(frame.limit(0)).count() == 0
+
+
+# --- patterns of personal data -----------------------------------------------------------
+
+
+@pytest.mark.parametrize("letters", ["ab.@-_ 1", "12.3 .", "a1@.[(at)] dot(DOT)", "+1 2()-.9", "a@b.c_1 5"])
+def test_linear_searches_find_what_the_patterns_find(letters):
+    source = random.Random(letters)
+    parts = [*letters, "@", "a.b", "[at]", "(dot)", " (AT) ", "1.2.3.4", "x"]
+    for _ in range(1500):
+        text = "".join(source.choice(parts) for _ in range(source.randint(0, 40)))
+        for number, pattern in enumerate((personal_data.EMAIL, personal_data.IP, personal_data.CARD, personal_data.PHONE)):
+            assert list(personal_data.base_matches(number, text)) == [m.span() for m in pattern.finditer(text)], text
+        spelled = list(personal_data.emails(text, personal_data.SPELLED, "", edge=True))
+        assert spelled == [m.span() for m in personal_data.SPELLED_EMAIL.finditer(text)], text
+
+
+@pytest.mark.parametrize("text", ["1" * 1_000_000 + "@", "a" * 1_000_000 + "@ 1", "a-" * 500_000 + " (at) 1", "1." * 500_000, "+1" + "(" * 1_000_000, "a@" * 500_000])
+def test_very_long_runs_take_little_time(text):
+    began = time.perf_counter()
+    list(personal_data.candidates(text))
+    assert time.perf_counter() - began < 10

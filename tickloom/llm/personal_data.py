@@ -21,13 +21,14 @@ BASE_KINDS = KINDS[:4]
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: An e-mail address with its signs spelled out, a candidate only.
+SPELLED_EMAIL = re.compile(r"\b[A-Za-z0-9._%+-]+ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]+(?: ?[\[(](?:dot|DOT)[\])] ?[A-Za-z0-9-]+)+")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
 
 #: Wider patterns, whose matches are candidates only: (kind, text that must occur, pattern).
 WIDER = (
-    ("email", "", re.compile(r"\b[A-Za-z0-9._%+-]+ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]+(?: ?[\[(](?:dot|DOT)[\])] ?[A-Za-z0-9-]+)+")),
     ("phone", "", re.compile(r"(?<![0-9+.])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")),
     ("secret", "AKIA", re.compile(r"\bAKIA[0-9A-Z]{16}\b")),
     ("secret", "password", re.compile(r"\bpassword ?[=:] ?[^\s\"'<>]{6,}")),
@@ -54,6 +55,53 @@ VOTES = 5
 ABSTAIN = 2
 
 
+#: What the searches below look for: runs of characters, each passed once.
+LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
+SPELLED = re.compile(r" ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]+(?: ?[\[(](?:dot|DOT)[\])] ?[A-Za-z0-9-]+)+")
+EDGE = re.compile(r"\b")
+
+
+def emails(text: str, rest: re.Pattern = DOMAIN, sign: str = "@", edge: bool = False) -> Iterator[tuple[int, int]]:
+    """The matches of EMAIL (or of its spelled form), in time linear in the text.
+
+    A match takes the characters of a name up to the sign, as many as the last
+    match left; where the rest fails, it fails for every shorter name too.
+    """
+    last = 0
+    for run in LOCAL.finditer(text):
+        stop = run.end()
+        if sign and text[stop : stop + 1] != sign:
+            continue
+        start = max(run.start(), last)
+        if edge:
+            found = EDGE.search(text, start, stop)
+            start = found.start() if found else stop
+        match = rest.match(text, stop + len(sign)) if start < stop else None
+        if match:
+            last = match.end()
+            yield start, last
+
+
+def addresses(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of IP: four numbers after four of each dotted row, in linear time."""
+    for row in DOTTED.finditer(text):
+        ends, at = [], row.start()
+        for number in row.group().split("."):
+            ends.append((at, at + len(number)))
+            at += len(number) + 1
+        for first in range(0, len(ends) - 3, 4):
+            yield ends[first][0], ends[first + 3][1]
+
+
+def base_matches(number: int, text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the leftmost matches of a kind's base pattern that don't overlap."""
+    if number < 2:
+        return emails(text) if number == 0 else addresses(text)
+    return (match.span() for match in (CARD, PHONE)[number - 2].finditer(text))
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for place, digit in enumerate(reversed(digits)):
@@ -80,28 +128,30 @@ def valid(kind: str, text: str) -> bool:
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of valid base matches in order; texts without the needed characters are not searched."""
-    found = []
-    searches = [(0, EMAIL)] if "@" in text else []
-    if DIGIT.search(text):
-        searches += [(1, IP), (2, CARD)] + [(3, PHONE)] * ("+" in text)
-    for number, pattern in searches:
-        found += [(match.start(), number, match.end()) for match in pattern.finditer(text) if valid(KINDS[number], match.group())]
-    return sorted(found)
+    return sorted((start, number, end) for start, number, end, sound in _base_candidates(text) if sound)
 
 
-def candidates(text: str) -> Iterator[tuple[int, int, int, bool]]:
-    """(start, kind number, end, base) of base matches, of base matches that fail their check, and of wider ones."""
+def _base_candidates(text: str) -> Iterator[tuple[int, int, int, bool]]:
     digits = DIGIT.search(text) is not None
-    for number, pattern in ((0, EMAIL), (1, IP), (2, CARD), (3, PHONE)):
+    for number in range(len(BASE_KINDS)):
         if (number == 0 and "@" not in text) or (number and not digits) or (number == 3 and "+" not in text):
             continue
-        for match in pattern.finditer(text):
-            sound = valid(KINDS[number], match.group())
-            # Short digit runs are no cards in any reading.
-            if sound or (number != 2 or len(match.group()) >= 12):
-                yield match.start(), number, match.end(), sound
+        for start, end in base_matches(number, text):
+            yield start, number, end, valid(KINDS[number], text[start:end])
+
+
+def candidates(text: str) -> Iterator[tuple[int, int, int, bool]]:
+    """(start, kind number, end, base) of base matches, of base matches that fail their check, and of wider ones."""
+    for start, number, end, sound in _base_candidates(text):
+        # Short digit runs are no cards in any reading.
+        if sound or (number != 2 or end - start >= 12):
+            yield start, number, end, sound
+    if any(sign in text for sign in ("(at)", "[at]", "(AT)", "[AT]")):
+        for start, end in emails(text, SPELLED, "", edge=True):
+            yield start, 0, end, False
+    digits = DIGIT.search(text) is not None
     for kind, needed, pattern in WIDER:
-        if (needed and needed in text) or (kind == "phone" and digits) or (kind == "email" and ("(at)" in text or "[at]" in text or "(AT)" in text or "[AT]" in text)):
+        if (needed and needed in text) or (kind == "phone" and digits):
             for match in pattern.finditer(text):
                 yield match.start(), KINDS.index(kind), match.end(), False
 

@@ -10,6 +10,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import stored
+
 BLOCK, ALLOW = "block", "allow"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -104,7 +106,8 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str]], id_col: str = "pag
         known = rows.where("_ruled is not null").select("host", "path", (F.col("_ruled") == BLOCK).cast("double").alias("label"))
     else:
         known = labelled.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("label").cast("double"))
-    model = fit(labelled_sample(known, sample_bound), dimensions, regularization)
+    # Stored, so that the steps of the fit read the small table and not the pages.
+    model = fit(stored(labelled_sample(known, sample_bound), "url-sample"), dimensions, regularization)
     if model is None:
         scored = rows.withColumn("block_score", F.lit(0.0))
     else:
