@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
@@ -84,7 +84,7 @@ def with_expiry_date(manifest: DataFrame, origin: str = "utc") -> DataFrame:
     return manifest.withColumn("expiry_date", clock.expiry_date(F.col("expiry_epoch"), origin))
 
 
-def front_expiry(manifest: DataFrame, on_or_after: datetime.date, *keys: str) -> DataFrame:
+def front_expiry(manifest: DataFrame, on_or_after: Column | datetime.date, *keys: str) -> DataFrame:
     """Nearest expiry not before the trade date; ties go to the smaller text."""
     dated = with_expiry_date(manifest).filter(F.col("expiry_date") >= F.lit(on_or_after))
     nearest = F.min(F.struct("expiry_date", "expiry_epoch")).alias("nearest")
@@ -99,8 +99,7 @@ def select_expiry(manifest: DataFrame, trade_date: str, requested: str = "") ->
                      manifest.select("expiry_epoch").distinct().orderBy("expiry_epoch").collect()]
             raise ValueError(f"expiry {requested} not found; available: {', '.join(known)}")
         return requested
-    day = datetime.datetime.strptime(trade_date, "%Y%m%d").date()
-    front = front_expiry(manifest, day).first()
+    front = front_expiry(manifest, clock.trade_date(F.lit(trade_date))).first()
     if front is None:
         raise ValueError(f"no expiry on or after {trade_date}")
     return front.expiry_epoch
