@@ -6,10 +6,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tickloom.llm import attribution, near_vectors, packing, personal_data, quality, repeated_passages, shingle_join
+from tickloom.llm import attribution, common, near_vectors, packing, personal_data, quality, repeated_passages, shingle_join
 from tickloom.llm.common import word_hashes
 from tickloom.llm.wordbpe import WordBpe
 
@@ -170,3 +171,15 @@ def test_labelers_agree_on_what_is_personal():
 
 def test_crc_of_ids_is_little_endian():
     assert zlib.crc32(np.array([1], "<u4").tobytes()) == zlib.crc32(b"\1\0\0\0")
+
+
+def test_frugal_functions_pass_all_batches_through(monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "GIVE_BACK", 100)
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    batches = [pa.record_batch({"a": np.arange(at, at + 10)}) for at in range(0, 50, 10)]
+    doubled = common.frugal(lambda rows: (pa.record_batch({"a": np.asarray(batch.column(0)) * 2}) for batch in rows))
+    assert [value for batch in doubled(iter(batches)) for value in batch.column(0).to_pylist()] == list(range(0, 100, 2))
+    # 80 bytes a batch: after every second one, and at the end.
+    assert len(given) == 3
+    assert list(doubled(iter([]))) == []

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,42 @@ def forget(*frames: DataFrame) -> None:
         path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes of input after which a task gives back what it has freed.
+GIVE_BACK = 1 << 24
+
+
+def give_back() -> None:
+    """Return memory that this process has freed to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same function of batches, which gives freed memory back as it goes and at its end.
+
+    A Python worker outlives its tasks, and its allocators keep what these
+    freed: idle workers would hold the memory of their largest task beside
+    the stages that come later.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def read() -> Iterator[pa.RecordBatch]:
+            taken = 0
+            for batch in batches:
+                yield batch
+                taken += batch.nbytes
+                if taken >= GIVE_BACK:
+                    taken = 0
+                    give_back()
+
+        yield from run(read())
+        give_back()
+
+    return whole
+
+
 def text_bytes(value: pa.Scalar) -> bytes:
     """UTF-8 of a text scalar without building a Python string; null is empty."""
     buffer = value.as_buffer()
@@ -185,10 +222,10 @@ def components(edges: DataFrame) -> DataFrame:
     pairs = edges.where("src <> dst").select(F.col("src").cast("long").alias("u"), F.col("dst").cast("long").alias("v"))
     star = stored(pairs, "edges")
     if star.count() > FEW:
-        all_links, star = star, stored(star.mapInArrow(_spanned, "u long, v long"), "forest")
+        all_links, star = star, stored(star.mapInArrow(frugal(_spanned), "u long, v long"), "forest")
         forget(all_links)
     if star.count() <= FEW:
-        ends = stored(star.coalesce(1).mapInArrow(_spanned, "u long, v long"), "ends")
+        ends = stored(star.coalesce(1).mapInArrow(frugal(_spanned), "u long, v long"), "ends")
         forget(star)
         return ends.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
             ends.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

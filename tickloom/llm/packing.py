@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import documents, prepare
+from tickloom.llm.common import documents, frugal, prepare
 from tickloom.llm.wordbpe import word_bpe
 
 
@@ -151,7 +151,7 @@ def pack(docs: DataFrame, definition: str, id_col: str = "doc_id", text_col: str
 
     schema = T.StructType([T.StructField("id", kind)] + [
         T.StructField(name, T.BinaryType() if name == "ids" else T.LongType()) for name in names[1:]])
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(frugal(run), schema).withColumnRenamed("id", id_col)
 
 
 def _batch(pieces: list[tuple], names: tuple[str, ...], key_type: pa.DataType) -> pa.RecordBatch:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import prepare, text_bytes
+from tickloom.llm.common import frugal, prepare, text_bytes
 
 #: Order of kinds where spans start together; the first four have a base pattern.
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -274,7 +274,7 @@ def train(docs: DataFrame, text_col: str = "text") -> SpanModel:
                 found.update(pattern_of(text, *span) for span in candidates(text))
         yield pa.RecordBatch.from_arrays([pa.array([list(key) for key in found], pa.list_(pa.int32())), pa.array(list(found.values()), pa.int64())], names=["pattern", "count"])
 
-    total = rows.mapInArrow(count, "pattern array<int>, count long").groupBy("pattern").agg(F.sum("count").alias("count"))
+    total = rows.mapInArrow(frugal(count), "pattern array<int>, count long").groupBy("pattern").agg(F.sum("count").alias("count"))
     return fit({tuple(row.pattern): row["count"] for row in total.collect()})
 
 
@@ -323,7 +323,7 @@ def find(docs: DataFrame, model: SpanModel, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], names=["id", "spans"])
 
     schema = T.StructType([rows.schema["id"], T.StructField("spans", T._parse_datatype_string(SPAN))])
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(frugal(run), schema).withColumnRenamed("id", id_col)
 
 
 def mask(docs: DataFrame, model: SpanModel, text_col: str = "text", threshold: float = 0.6) -> DataFrame:
@@ -353,4 +353,4 @@ def mask(docs: DataFrame, model: SpanModel, text_col: str = "text", threshold: f
             columns[place] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frugal(run), docs.schema)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import prepare, text_bytes, unused
+from tickloom.llm.common import frugal, prepare, text_bytes, unused
 
 LONGEST_GRAM = 4
 #: Odd multipliers, one for each n-gram length.
@@ -160,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), pa.array(found, pa.binary())], names=["key", "label", "found"])
 
     schema = T.StructType([rows.schema["key"], T.StructField("label", T.IntegerType()), T.StructField("found", T.BinaryType())])
-    found = rows.select("key", "label", "text").mapInArrow(features, schema).groupBy("key", "label").agg(
+    found = rows.select("key", "label", "text").mapInArrow(frugal(features), schema).groupBy("key", "label").agg(
         F.min_by("found", F.struct(F.xxhash64("found"), "found")).alias("found"))
     # At most ``sample_bound`` rows of each label are left here.
     reached = F.sum(F.octet_length("found") + 64).over(Window.partitionBy("label").orderBy(F.xxhash64("key"), "key"))
@@ -193,4 +193,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             found = [holder.value.score(text_bytes(text)) for text in batch.column(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.float64())], names=[*batch.schema.names[:-1], output])
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(frugal(run), schema)

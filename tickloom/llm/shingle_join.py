@@ -13,7 +13,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import Forest, components, forget, mixed, prepare, slices, stored, text_bytes, word_hashes
+from tickloom.llm.common import Forest, components, forget, frugal, mixed, prepare, slices, stored, text_bytes, word_hashes
 from tickloom.operators.sizing import broadcast_if_small
 
 #: Frequencies are kept for so many ranges of hashes: a table of fixed size, four bytes each while counting, one when used.
@@ -107,7 +107,7 @@ def frequencies(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
     """
     rows = docs.select(F.col(text_col).cast("binary").alias("text"))
     schema = "chunk int, counts binary"
-    summed = rows.mapInArrow(_count(width), schema).repartition(16, "chunk").mapInArrow(_sum, schema).collect()
+    summed = rows.mapInArrow(frugal(_count(width)), schema).repartition(16, "chunk").mapInArrow(frugal(_sum), schema).collect()
     codes = np.zeros(1 << SKETCH_BITS, np.uint8)
     for chunk, data in summed:
         counts = np.frombuffer(zlib.decompress(bytes(data)), "<u8")
@@ -191,7 +191,7 @@ def verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     texts = docs.join(broadcast_if_small(wanted), "id", "left_semi")
     both = pairs.join(texts.select(F.col("id").alias("y"), F.col("text").alias("ty")), "y") \
         .join(texts.select(F.col("id").alias("x"), F.col("text").alias("tx")), "x").select("x", "y", "tx", "ty")
-    return both.mapInArrow(_verify(rule), "src long, dst long")
+    return both.mapInArrow(frugal(_verify(rule)), "src long, dst long")
 
 
 #: Turns of the leader step at most. More of them or fewer change the work, not the result.
@@ -393,14 +393,14 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     prepare(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     codes = spark.sparkContext.broadcast(frequencies(rows, "text", width))
-    found = stored(rows.mapInArrow(_prefixes(codes, rule), "id long, n long, f1 long, f2 long, level int, posted array<long>"), "prefixes")
+    found = stored(rows.mapInArrow(frugal(_prefixes(codes, rule)), "id long, n long, f1 long, f2 long, level int, posted array<long>"), "prefixes")
     sets = found.where("n > 0 and id is not null").groupBy("n", "f1", "f2").agg(
         F.min("id").alias("doc"), F.first("level").alias("level"), F.first("posted").alias("posted"))
     # A posting's own level: the least number of shared shingles at which the prefix holds it. Levels go as one number.
     base = F.col("n") - F.ceil(F.col("n") * percent / 100)
     postings = sets.select("doc", "n", "level", F.posexplode("posted").alias("place", "token")) \
         .select("token", "n", "doc", (F.greatest(F.col("place") - base + 1, F.lit(1)) * 256 + F.col("level")).cast("int").alias("levels"))
-    met = postings.repartition("token").sortWithinPartitions("token", "n").mapInArrow(_met(percent), "token long, n long, doc long, levels int")
+    met = postings.repartition("token").sortWithinPartitions("token", "n").mapInArrow(frugal(_met(percent)), "token long, n long, doc long, levels int")
     lists = stored(met.select("token", "doc", "n", F.col("levels").bitwiseAND(255).alias("level"), F.shiftright("levels", 8).alias("own"), _band(percent).alias("band")), "lists")
     size = lists.count()
     while size:
