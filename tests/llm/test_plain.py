@@ -69,6 +69,17 @@ def test_full_sequences_are_cut_from_long_documents():
     assert b"".join(piece[3] for piece in pieces) == ids and [piece[-1] for piece in pieces] == [8, 8, 4]
 
 
+def test_a_pool_holds_so_many_documents_at_most():
+    packer = packing.Packer(8, 1 << 20, packing.Cost(), 0, pool_documents=5)
+    one, pieces = np.array([1], "<u4").tobytes(), []
+    for key in range(12):
+        pieces += packer.add(key, one)
+        assert len(packer.pool) < 5
+    pieces += packer.flush()
+    assert sorted(piece[0] for piece in pieces) == list(range(12))
+    assert sorted((piece[5], piece[6]) for piece in pieces) == [(0, at) for at in range(5)] + [(1, at) for at in range(5)] + [(2, 0), (2, 1)]
+
+
 @pytest.mark.parametrize("rule", attribution.RULES)
 def test_attribution_matches_the_rule(rule):
     draw = random.Random(rule)

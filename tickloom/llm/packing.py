@@ -71,10 +71,10 @@ def assign(lengths: list[int], capacity: int, cost: Cost) -> list[tuple[int, int
 
 
 class Packer:
-    """Packs a stream of documents, a bounded number of tokens at a time."""
+    """Packs a stream of documents, a bounded number of tokens and of documents at a time."""
 
-    def __init__(self, capacity: int, pool_tokens: int, cost: Cost, first: int) -> None:
-        self.capacity, self.pool_tokens, self.cost, self.sequence = capacity, pool_tokens, cost, first
+    def __init__(self, capacity: int, pool_tokens: int, cost: Cost, first: int, pool_documents: int = 1 << 16) -> None:
+        self.capacity, self.pool_tokens, self.pool_documents, self.cost, self.sequence = capacity, pool_tokens, pool_documents, cost, first
         self.pool: list[tuple[pa.Scalar, int, int, bytes]] = []
         self.waiting = 0
 
@@ -88,7 +88,7 @@ class Packer:
         if tokens > whole:
             self.pool.append((key, whole, tokens, ids[4 * whole :]))
             self.waiting += tokens - whole
-            if self.waiting >= self.pool_tokens:
+            if self.waiting >= self.pool_tokens or len(self.pool) >= self.pool_documents:
                 yield from self.flush()
 
     def flush(self) -> Iterator[tuple]:
@@ -109,14 +109,14 @@ class Packer:
 
 
 def pack(docs: DataFrame, definition: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1,
-         capacity: int = 2048, pool_tokens: int = 1 << 22, cost: Cost = Cost()) -> DataFrame:
+         capacity: int = 2048, pool_tokens: int = 1 << 22, cost: Cost = Cost(), pool_documents: int = 1 << 16) -> DataFrame:
     """Pieces of documents in sequences of at most ``capacity`` tokens, balanced by estimated attention cost.
 
     ``definition`` is the JSON text of a word-wise tokenizer; it travels with
     the tasks. Each task tokenizes its own rows and packs about
-    ``pool_tokens`` tokens at a time, so nothing is shuffled, memory is
-    bounded whatever the input, and at most one sequence of each pool is
-    short. Sequence numbers are the task's number, then a count.
+    ``pool_tokens`` tokens, of ``pool_documents`` documents at most, at a time,
+    so nothing is shuffled, memory is bounded whatever the input, and at most
+    one sequence of each pool is short. Sequence numbers are the task's number, then a count.
 
     Returns (id, start, length, ids as little-endian unsigned 32-bit binary,
     doc_tokens, sequence_id, offset, padded_length). Null and empty texts are
@@ -133,7 +133,7 @@ def pack(docs: DataFrame, definition: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, key_type = None, None
-        packer = Packer(capacity, pool_tokens, cost, TaskContext.get().partitionId() << 33)
+        packer = Packer(capacity, pool_tokens, cost, TaskContext.get().partitionId() << 33, pool_documents)
         held: list[tuple] = []
         size = 0
         for key, data in documents(batches):
