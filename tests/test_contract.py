@@ -3,6 +3,8 @@ import os
 import pytest
 
 from tickloom.operators import contract
+from tickloom.plans import catalog
+from tickloom.plans.sinks import setting
 from tickloom.sources import contracts
 
 
@@ -103,3 +105,24 @@ def test_top_series_counts_lines_that_agree_with_the_first(spark):
     df = spark.createDataFrame(rows, "line_key bigint, token bigint, symbol string, series string")
     assert [tuple(r) for r in contract.top_series(df).collect()] == [("BE", 1), ("EQ", 2), ("SM", 2)]
     assert [tuple(r) for r in contract.top_series(df, 2).collect()] == [("EQ", 2), ("SM", 2)]
+
+
+def test_a_folder_is_read_file_by_file_in_order_of_names(spark, folder):
+    os.makedirs(folder)
+    for name, lines in (("part-0", ["C,1,5,FUTSTK,HEAD,1", "C,1,7,FUTSTK,A,1"]), ("part-1", [f"C,1,7,FUTSTK,B{i},2" for i in range(50)] + ["C,1,8,FUTSTK,C,3"]),
+                        ("part-2", ["C,1,7,FUTSTK,Z,9"])):
+        with open(f"{folder}/{name}", "w") as out:
+            out.write("\n".join(lines) + "\n")
+    assert mapping(contracts.read_fo_contract(spark, folder, on_conflict="first")) == {7: ("A", 1), 8: ("C", 3)}
+    assert mapping(contracts.read_fo_contract(spark, folder, on_conflict="last")) == {7: ("Z", 9), 8: ("C", 3)}
+
+
+def test_contract_lines_are_written_in_order_by_several_tasks(spark):
+    lines = spark.range(4000).selectExpr("3999 - id AS line_key", "concat('C,1,', (3999 - id) % 10, ',FUTSTK,S', 3999 - id, ',5') AS value").repartition(5)
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        path = catalog.written_lines(lines, "first line").removeprefix("file:")
+    files = sorted(name for name in os.listdir(path) if name.startswith("part-"))
+    assert len(files) > 2
+    read = [line for name in files for line in open(f"{path}/{name}").read().splitlines()]
+    assert read == ["first line"] + [f"C,1,{i % 10},FUTSTK,S{i},5" for i in range(4000)]
+    assert mapping(contracts.read_fo_contract(spark, path, on_conflict="first")) == {i: (f"S{i}", 5) for i in range(10)}

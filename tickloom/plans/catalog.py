@@ -240,13 +240,12 @@ def contract_cm_file(spark, folder):
 
 
 def written_lines(lines: DataFrame, *first: str) -> str:
-    """Contract lines (line_key, value) as one file in their order, below the given first lines."""
+    """Contract lines (line_key, value) in their order, below the given first lines: files of a folder, one after another by name."""
     spark, path = lines.sparkSession, work_folder(lines.sparkSession, "contract")
     above = [(at - len(first), value) for at, value in enumerate(first)]
     if above:
         lines = spark.createDataFrame(above, "line_key BIGINT, value STRING").unionByName(lines.select("line_key", "value"))
-    # A contract is one file of under a million lines.
-    lines.repartition(1).sortWithinPartitions("line_key").select("value").write.text(path)
+    lines.orderBy("line_key").select("value").write.text(path)
     return path
 
 

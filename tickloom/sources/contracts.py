@@ -15,12 +15,14 @@ END_MARK = "\u0001end"
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a file with ``line_key``, which orders them as in the file.
 
-    A file may be read in several blocks: the block's offset orders blocks, the
-    row id orders the lines inside one. Bytes that are not UTF-8 are dropped.
+    A folder counts as its files one after another, by name. A file may be read
+    in several blocks: the block's offset orders blocks, the row id orders the
+    lines inside one. Bytes that are not UTF-8 are dropped.
     """
     return spark.read.text(path).select(
         F.regexp_replace("value", "�", "").alias("line"),
         F.struct(
+            F.col("_metadata.file_name").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         ).alias("line_key"),
@@ -31,13 +33,14 @@ def split_fields(lines: DataFrame, width: int) -> DataFrame:
     """``c0 ..`` of the lines that have at least ``width`` fields.
 
     An end mark is added to every line, so that a line that is too short can
-    be told from one whose last fields are empty.
+    be told from one whose last fields are empty. Fields come out of a
+    generator, so that a line is parsed once and not again for each use of one.
     """
     names = [f"c{i}" for i in range(width)]
     marked = F.concat(F.col("line"), F.lit("," + END_MARK))
     parsed = F.from_csv(marked, ", ".join(f"{name} STRING" for name in [*names, "tail"]))
-    fields = lines.withColumn("f", parsed).select(
-        "line_key", *[F.coalesce(F.col(f"f.{name}"), F.lit("")).alias(name) for name in names])
+    fields = lines.select("line_key", F.inline(F.array(parsed))).select(
+        "line_key", *[F.coalesce(F.col(name), F.lit("")).alias(name) for name in names])
     short = F.lit(False)
     for name in names:
         short = short | (F.col(name) == END_MARK)
@@ -48,7 +51,7 @@ def without_first_line(lines: DataFrame, only_if: Column | None = None) -> DataF
     first = lines.agg(F.min("line_key").alias("k")).first().k
     if first is None:
         return lines
-    is_first = (F.col("line_key.block") == first.block) & (F.col("line_key.row") == first.row)
+    is_first = (F.col("line_key.file") == first.file) & (F.col("line_key.block") == first.block) & (F.col("line_key.row") == first.row)
     return lines.filter(~(is_first if only_if is None else is_first & only_if))
 
 
