@@ -1,8 +1,13 @@
+import io
+import lzma
 import os
+import tarfile
+import tracemalloc
 
 import pytest
 import wire
 
+from tickloom.fixtures import capture_files
 from tickloom.operators import decode
 from tickloom.schema import MESSAGE_COLUMNS
 from tickloom.sources import capture, listing
@@ -176,3 +181,28 @@ def test_discovery(spark, folder):
 def test_capture_choice(spark, files, pick):
     df = spark.createDataFrame([("/d/" + name, size) for name, size in files], "path string, length bigint")
     assert [row.path for row in listing.choose_capture(df).collect()] == ([] if pick is None else ["/d/" + pick])
+
+
+@pytest.mark.parametrize("form", ["archive", "blocks"])
+@pytest.mark.parametrize("size", [0, 1, 512, 513, 100_000])
+def test_archives_are_written_piece_by_piece(folder, form, size):
+    data = os.urandom(size)
+    writer = capture_files.CaptureFileWriter(folder, form, b"", False, 7000)
+    written, final = writer.write_file("e_1", iter([data[at:at + 999] for at in range(0, size, 999)]))
+    packed = open(written, "rb").read()
+    with tarfile.open(fileobj=io.BytesIO(lzma.decompress(packed))) as archive:
+        member, = archive.getmembers()
+        assert (member.name, archive.extractfile(member).read()) == ("e_1.cap", data)
+    assert final.endswith("/e_1.cap.tar.xz") and packed.startswith(b"\xfd7zXZ")
+
+
+@pytest.mark.parametrize("form", ["archive", "blocks"])
+def test_writing_an_archive_holds_little_of_it(folder, form):
+    writer = capture_files.CaptureFileWriter(folder, form, b"", False, 1 << 16)
+    pieces = (bytes([at]) * 200_000 for at in range(200))
+    tracemalloc.start()
+    try:
+        writer.write_file("e_1", pieces)
+        assert tracemalloc.get_traced_memory()[1] < 8_000_000
+    finally:
+        tracemalloc.stop()

@@ -11,10 +11,12 @@ import itertools
 import lzma
 import struct
 import tarfile
+import tempfile
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -63,15 +65,38 @@ def _varint(value: int) -> bytes:
     return bytes(out + bytes([value]))
 
 
+#: Bytes that are packed at a time.
+CHUNK = 1 << 20
+
+
+def chunks(source: BinaryIO, size: int) -> Iterator[bytes]:
+    while data := source.read(size):
+        yield data
+
+
+def packed_xz(pieces: Iterable[bytes]) -> Iterator[bytes]:
+    """One xz stream of one block."""
+    packer = lzma.LZMACompressor(preset=0)
+    for piece in pieces:
+        yield packer.compress(piece)
+    yield packer.flush()
+
+
 def blocked_xz(data: bytes, block_bytes: int) -> bytes:
     """One xz stream of many blocks, as a compressor with several threads makes it."""
-    head, blocks, records, count = b"", b"", b"", 0
-    for at in range(0, len(data), block_bytes):
-        piece = data[at:at + block_bytes]
+    return b"".join(blocked_pieces(chunks(io.BytesIO(data), block_bytes)))
+
+
+def blocked_pieces(pieces: Iterable[bytes]) -> Iterator[bytes]:
+    """The same, a block for each piece; only the index is held until the end."""
+    head, records, count = b"", bytearray(), 0
+    for piece in pieces:
         single = lzma.compress(piece, preset=0)
         index_bytes = (struct.unpack("<I", single[-8:-4])[0] + 1) * 4
         index = single[-12 - index_bytes:-12]
-        head, block = single[:12], single[12:-12 - index_bytes]
+        if not count:
+            head = single[:12]
+            yield head
         unpadded, shift, place = 0, 0, 2
         while True:
             unpadded |= (index[place] & 0x7F) << shift
@@ -79,14 +104,14 @@ def blocked_xz(data: bytes, block_bytes: int) -> bytes:
             place += 1
             if index[place - 1] < 0x80:
                 break
-        blocks += block
+        yield single[12:-12 - index_bytes]
         records += _varint(unpadded) + _varint(len(piece))
         count += 1
-    index = b"\0" + _varint(count) + records
+    index = b"\0" + _varint(count) + bytes(records)
     index += b"\0" * (-len(index) % 4)
     index += struct.pack("<I", zlib.crc32(index))
     tail = struct.pack("<I", len(index) // 4 - 1) + head[6:8]
-    return head + blocks + index + struct.pack("<I", zlib.crc32(tail)) + tail + b"YZ"
+    yield index + struct.pack("<I", zlib.crc32(tail)) + tail + b"YZ"
 
 
 def by_stem(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Iterator[pa.RecordBatch]]]:
@@ -122,7 +147,7 @@ class CaptureFileWriter(DataSourceArrowWriter):
     def write_file(self, name: str, pieces: Iterator[bytes]) -> tuple[str, str]:
         suffix = ".cap" if self.form == "plain" else ".cap.tar.xz"
         if self.form != "plain":
-            pieces = [self.archived(b"".join(pieces), f"{name}.cap")]
+            pieces = self.archived(pieces, f"{name}.cap")
         files, inner = filesystem_of(self.folder)
         files.create_dir(inner, recursive=True)
         temporary = f"{inner}/_{name}-{uuid.uuid4().hex}.part"
@@ -131,14 +156,27 @@ class CaptureFileWriter(DataSourceArrowWriter):
                 out.write(data)
         return temporary, f"{inner}/{name}{suffix}"
 
-    def archived(self, data: bytes, name: str) -> bytes:
-        target = io.BytesIO()
-        with tarfile.open(fileobj=target, mode="w") as archive:
-            member = tarfile.TarInfo(name)
-            member.size = len(data)
-            archive.addfile(member, io.BytesIO(data))
-        plain = target.getvalue()
-        return lzma.compress(plain, preset=0) if self.form == "archive" else blocked_xz(plain, self.block_bytes)
+    def archived(self, pieces: Iterator[bytes], name: str) -> Iterator[bytes]:
+        """The packed archive, piece by piece.
+
+        The header of its one member states the size, which is known only when
+        all records have come: until then they wait in a temporary file of the task.
+        """
+        with tempfile.TemporaryFile() as held:
+            # In this format a header takes as many blocks whatever the size is.
+            with tarfile.open(fileobj=held, mode="w", format=tarfile.GNU_FORMAT) as archive:
+                member = tarfile.TarInfo(name)
+                archive.addfile(member)
+                for data in pieces:
+                    held.write(data)
+                    member.size += len(data)
+                held.write(bytes(-member.size % tarfile.BLOCKSIZE))
+                archive.offset = held.tell()
+            held.seek(0)
+            held.write(member.tobuf(archive.format, archive.encoding, archive.errors))
+            held.seek(0)
+            plain = chunks(held, CHUNK if self.form == "archive" else self.block_bytes)
+            yield from packed_xz(plain) if self.form == "archive" else blocked_pieces(plain)
 
     def commit(self, messages: list) -> None:
         files, _ = filesystem_of(self.folder)
