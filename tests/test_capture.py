@@ -206,3 +206,11 @@ def test_writing_an_archive_holds_little_of_it(folder, form):
         assert tracemalloc.get_traced_memory()[1] < 8_000_000
     finally:
         tracemalloc.stop()
+
+
+def test_parts_cheaper_than_an_opened_file_share_tasks():
+    parts = [(capture.CaptureSplit("/a.cap.tar.xz", at, 700, at, 1 << 40), 50_000) for at in range(20_000)]
+    tasks = capture.bundles(parts, 50_000, 100_000, 12)
+    assert 12 <= len(tasks) <= 400
+    assert sorted(split.first for task in tasks for split in task.splits) == list(range(20_000))
+    assert len(capture.bundles(parts[:40], 50_000, 100_000, 12)) == 40

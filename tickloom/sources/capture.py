@@ -68,6 +68,8 @@ SPLIT_BYTES = 256 << 20
 MAX_SPLITS = 100_000
 # What opening a file costs, as bytes read meanwhile.
 OPEN_BYTES = 4 << 20
+# Tasks that each core has before splits cheaper than an opened file share one.
+TASKS_PER_CORE = 4
 PROBE_BYTES = 32 << 20
 # Captures unpack to roughly this many times their size; it only sets how
 # coarse the parts become when there would be too many of them.
@@ -104,11 +106,14 @@ def bundles(splits: list[tuple[CaptureSplit, int]], split_bytes: int, max_splits
 
     Every split also costs an opened file. Tasks stay smaller while there would
     be too few of them for all cores, and grow when there would be more than
-    ``max_splits``. The largest come first; each task takes splits until the
-    next one would make it too large.
+    ``max_splits``. Where ``split_bytes`` is below the cost of opening a file,
+    splits share tasks once every core has several. The largest come first;
+    each task takes splits until the next one would make it too large.
     """
     total = sum(size + OPEN_BYTES for _, size in splits)
     limit = max(min(split_bytes, max(OPEN_BYTES, total // max(parallelism, 1))), total // max_splits)
+    if split_bytes < OPEN_BYTES:
+        limit = max(limit, min(SPLIT_BYTES, total // (TASKS_PER_CORE * max(parallelism, 1))))
     tasks: list[InputPartition] = []
     held, held_bytes = [], 0
     for split, size in sorted(splits, key=lambda item: -item[1]):
