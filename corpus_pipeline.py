@@ -16,9 +16,6 @@ STAGES = [
     ("packing", stages.pack_sequences),
 ]
 
-#: Bytes of the batches that go to Python workers and back: whole documents pass there, several columns of them, in both processes.
-ARROW_BYTES = 8 << 20
-
 #: A fitted classifier and a tokenizer take part, which SQL cannot express.
 ORACLE_SQL = None
 
@@ -27,7 +24,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         folder = work_folder(spark, f"pipeline-{name}")
-        with setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES):
+        with setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", stages.ARROW_BYTES):
             stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
     return docs

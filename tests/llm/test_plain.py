@@ -61,6 +61,28 @@ def test_assign_fills_and_balances():
     assert packing.assign([], 2048, packing.Cost()) == []
 
 
+def test_the_encoder_s_tables_are_bounded_by_bytes(definition):
+    whole, own = Tokenizer.from_str(definition), WordBpe(definition)
+    draw = random.Random(7)
+    own.PARTS = own.LIMIT = 1 << 18
+    most = 0
+    for place in range(30):
+        # Long words too: a bound by their number alone would let these in.
+        text = " ".join("".join(draw.choices("abcdefghij\u00e9\u00f1'1.", k=draw.choice([3, 8, 400]))) for _ in range(300)) + ODD[place % len(ODD)]
+        assert np.frombuffer(own.ids(text.encode()), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+        most = max(most, *(sum(len(key) + len(value) for key, value in table.items()) for table in (own.words, own.parts)))
+    # The bound, and one text's words beyond it.
+    assert most < (1 << 18) + 400_000
+
+
+def test_pieces_leave_in_small_batches():
+    pieces = [(pa.scalar(1), 0, 4, b"1234", 1, 0, 0, 2048)] * 50_000 + [(pa.scalar(None, pa.int64()), 0, 2048, bytes(8192), 2048, 1, 0, 2048)] * 600
+    found = [*packing.batches_of(iter(pieces))]
+    assert sum(batch.num_rows for batch in found) == len(pieces) and max(batch.nbytes for batch in found) < 5 << 20
+    assert [key for batch in found for key in batch.column("id").to_pylist()] == [1] * 50_000 + [None] * 600
+    assert [*packing.batches_of(iter([]))] == []
+
+
 def test_full_sequences_are_cut_from_long_documents():
     packer = packing.Packer(8, 100, packing.Cost(), 0)
     ids = np.arange(20, dtype="<u4").tobytes()

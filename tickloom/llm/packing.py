@@ -17,6 +17,12 @@ from tickloom.llm.common import documents, frugal, prepare
 from tickloom.llm.wordbpe import word_bpe
 
 
+#: Bytes of a batch of pieces, which the task holds and, as it reads it, the JVM; and of a piece besides its ids.
+OUT_BYTES, PIECE = 1 << 21, 64
+
+NAMES = ("id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "padded_length")
+
+
 @dataclass(frozen=True)
 class Cost:
     """Estimated work of a sequence: tokens times ``linear``, and the square of each piece's length times ``quadratic``.
@@ -129,34 +135,40 @@ def pack(docs: DataFrame, definition: str, id_col: str = "doc_id", text_col: str
     kind = rows.schema["id"].dataType
     holder = docs.sparkSession.sparkContext.broadcast(definition)
     tail = np.array([end_id], "<u4").tobytes()
-    names = ("id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "padded_length")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, key_type = None, None
         packer = Packer(capacity, pool_tokens, cost, TaskContext.get().partitionId() << 33, pool_documents)
-        held: list[tuple] = []
-        size = 0
-        for key, data in documents(batches):
-            encoder = encoder or word_bpe(holder.value)
-            key_type = key.type
-            for piece in packer.add(key, encoder.ids(data) + tail):
-                held.append(piece)
-                size += len(piece[3])
-                if size > 1 << 24:
-                    yield _batch(held, names, key_type)
-                    held, size = [], 0
-        if key_type is not None:
-            held += packer.flush()
-            yield _batch(held, names, key_type)
+
+        def pieces() -> Iterator[tuple]:
+            encoder = None
+            for key, data in documents(batches):
+                encoder = encoder or word_bpe(holder.value)
+                yield from packer.add(key, encoder.ids(data) + tail)
+            yield from packer.flush()
+
+        yield from batches_of(pieces())
 
     schema = T.StructType([T.StructField("id", kind)] + [
-        T.StructField(name, T.BinaryType() if name == "ids" else T.LongType()) for name in names[1:]])
+        T.StructField(name, T.BinaryType() if name == "ids" else T.LongType()) for name in NAMES[1:]])
     return rows.mapInArrow(frugal(run), schema).withColumnRenamed("id", id_col)
 
 
-def _batch(pieces: list[tuple], names: tuple[str, ...], key_type: pa.DataType) -> pa.RecordBatch:
-    columns = list(zip(*pieces, strict=True)) or [()] * len(names)
-    arrays = [pa.array([key.as_py() for key in columns[0]], key_type)]
-    for name, values in zip(names[1:], columns[1:], strict=True):
+def batches_of(pieces: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``OUT_BYTES``, as the pieces come; none without pieces."""
+    held, size = [], 0
+    for piece in pieces:
+        held.append(piece)
+        size += len(piece[3]) + PIECE
+        if size >= OUT_BYTES:
+            yield _batch(held)
+            held, size = [], 0
+    if held:
+        yield _batch(held)
+
+
+def _batch(pieces: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*pieces, strict=True))
+    arrays = [pa.array([key.as_py() for key in columns[0]], columns[0][0].type)]
+    for name, values in zip(NAMES[1:], columns[1:], strict=True):
         arrays.append(pa.array(values, pa.binary() if name == "ids" else pa.int64()))
-    return pa.RecordBatch.from_arrays(arrays, names=list(names))
+    return pa.RecordBatch.from_arrays(arrays, names=list(NAMES))

@@ -11,12 +11,15 @@ import json
 import os
 import re
 import unicodedata
+from itertools import accumulate, chain, compress
+from operator import not_
 
 import numpy as np
 import regex
 
 #: Words of these characters are pre-tokenized here; all others by the tokenizer as a whole.
 PLAIN = re.compile("[!-~À-ɏ]+")
+PLAIN_LINES = re.compile("[\n!-~À-ɏ]+")
 
 
 def byte_letters() -> dict[int, int]:
@@ -29,7 +32,8 @@ def byte_letters() -> dict[int, int]:
 class WordBpe:
     """``ids(data)`` gives the ids of a UTF-8 text as little-endian unsigned 32-bit."""
 
-    LIMIT = 1_000_000
+    #: Estimated bytes of the tables of words and of their pieces, after which each starts anew, and of an entry besides its key and ids.
+    LIMIT, PARTS, ENTRY = 16 << 20, 40 << 20, 128
 
     def __init__(self, definition: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -37,38 +41,66 @@ class WordBpe:
 
         parts = json.loads(definition)
         self.whole = Tokenizer.from_str(definition)
-        self.pieces = regex.compile(parts["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        # No piece holds white space, so words can be cut by lines at once.
+        self.pieces = regex.compile("\n|" + parts["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.special = [token["content"] for token in parts["added_tokens"]]
         bare = parts | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}
         self.bare = Tokenizer.from_str(json.dumps(bare))
         self.letters = byte_letters()
+        self.forget_words()
+        self.forget_parts()
+
+    def forget_words(self) -> None:
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.word_bytes = 0
+
+    def forget_parts(self) -> None:
+        self.parts: dict[str, bytes] = {"\n": MARK}
+        self.part_bytes = 0
 
     def ids(self, data: bytes) -> bytes:
         words = data.split()
         new = {word for word in words if word not in self.words}
         if new:
-            if len(self.words) + len(new) > self.LIMIT:
-                self.words, self.parts, new = {}, {}, set(words)
-            self.learn(new)
+            if self.part_bytes > self.PARTS:
+                self.forget_parts()
+            if self.word_bytes > self.LIMIT:
+                self.forget_words()
+                new = set(words)
+            self.learn(list(new))
         return b"".join(map(self.words.__getitem__, words))
 
-    def learn(self, words: set[bytes]) -> None:
-        plain, new = {}, set()
-        for word in words:
-            text = word.decode()
-            if PLAIN.fullmatch(text) and not any(token in text for token in self.special):
-                plain[word] = found = self.pieces.findall(unicodedata.normalize("NFC", text).lower())
-                new.update(part for part in found if part not in self.parts)
-            else:
-                self.words[word] = _packed(self.whole.encode(text, add_special_tokens=False).ids)
-        listed = list(new)
-        spelled = [part if part.isascii() else part.encode().decode("latin-1").translate(self.letters) for part in listed]
-        for part, found in zip(listed, self.bare.encode_batch_fast(spelled, add_special_tokens=False), strict=True):
-            self.parts[part] = _packed(found.ids)
-        for word, found in plain.items():
-            self.words[word] = b"".join([self.parts[part] for part in found])
+    def learn(self, words: list[bytes]) -> None:
+        text = b"\n".join(words).decode()
+        if not PLAIN_LINES.fullmatch(text) or any(token in text for token in self.special):
+            texts = text.split("\n")
+            plain = [bool(PLAIN.fullmatch(word)) and not any(token in word for token in self.special) for word in texts]
+            for word, other in zip(compress(words, map(not_, plain)), compress(texts, map(not_, plain)), strict=True):
+                self.words[word] = found = _packed(self.whole.encode(other, add_special_tokens=False).ids)
+                self.word_bytes += len(word) + len(found) + self.ENTRY
+            words, text = [*compress(words, plain)], "\n".join(compress(texts, plain))
+        if words:
+            pieces = self.pieces.findall(unicodedata.normalize("NFC", text).lower())
+            self.spell([part for part in dict.fromkeys(pieces) if part not in self.parts])
+            found = b"".join(map(self.parts.__getitem__, pieces)).split(MARK)
+            self.words.update(zip(words, found, strict=True))
+            self.word_bytes += sum(map(len, words)) + sum(map(len, found)) + self.ENTRY * len(words)
+
+    def spell(self, new: list[str]) -> None:
+        """Ids of pieces not seen before; all in one call."""
+        if not new:
+            return
+        spelled = [part if part.isascii() else part.encode().decode("latin-1").translate(self.letters) for part in new]
+        found = [one.ids for one in self.bare.encode_batch_fast(spelled, add_special_tokens=False)]
+        packed, start = _packed([*chain.from_iterable(found)]), 0
+        for part, end in zip(new, accumulate(4 * len(ids) for ids in found), strict=True):
+            self.parts[part] = packed[start:end]
+            start = end
+        self.part_bytes += sum(map(len, new)) + len(packed) + self.ENTRY * len(new)
+
+
+#: Stands between words among their ids; these are below 2**24, so every four bytes of them hold a zero.
+MARK = b"\xff" * 4
 
 
 def _packed(ids: list[int]) -> bytes:
