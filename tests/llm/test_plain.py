@@ -83,6 +83,17 @@ def test_pieces_leave_in_small_batches():
     assert [*packing.batches_of(iter([]))] == []
 
 
+def test_features_of_the_sample_are_not_copied():
+    draw = np.random.default_rng(3)
+    rows = [np.unique(draw.integers(0, 1 << 12, size)) for size in (400, 0, 900, 30, 500, 700)]
+    column, labels = pa.array([row.astype("<u4").tobytes() for row in rows], pa.binary()), np.array([1, 0, 1, 0, 0, 1])
+    own = [quality.held(value) for value in column]
+    assert [row.tolist() for row in own] == [row.tolist() for row in rows] and sum(row.nbytes for row in own) == 4 * sum(map(len, rows))
+    assert not any(row.flags.owndata for row in own)
+    there, here = quality.fit(rows, labels, 12), quality.fit(own, labels, 12)
+    assert np.array_equal(there.weights, here.weights) and (there.bias, there.slope, there.offset) == (here.bias, here.slope, here.offset)
+
+
 def test_full_sequences_are_cut_from_long_documents():
     packer = packing.Packer(8, 100, packing.Cost(), 0)
     ids = np.arange(20, dtype="<u4").tobytes()

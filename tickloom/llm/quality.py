@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import frugal, prepare, text_bytes, unused
+from tickloom.llm.common import frugal, give_back, prepare, text_bytes, unused
 
 LONGEST_GRAM = 4
+#: Results in which the features of the sample come to the driver.
+PIECES = 64
 #: Odd multipliers, one for each n-gram length.
 MIX = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F], np.uint32)
 
@@ -46,6 +48,11 @@ def indicators(data: bytes, bits: int) -> np.ndarray:
     return np.flatnonzero(seen)
 
 
+def held(found: pa.Scalar) -> np.ndarray:
+    """Indicators of one row where they came, as 32-bit integers, without a copy."""
+    return np.frombuffer(found.as_buffer(), "<u4")
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights per indicator (the ratios are multiplied in), and the logistic curve that turns margins to scores."""
@@ -93,7 +100,7 @@ def dual_descent(rows: list[np.ndarray], signs: np.ndarray, ratios: np.ndarray,
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
-            row = rows[i]
+            row = rows[i].astype(np.int64)
             gradient = signs[i] * ((ratios[row] * u[row]).sum() * scale[i] + bias) - 1
             new = min(max(alpha[i] - gradient / norm[i], 0.0), limit[i])
             step = (new - alpha[i]) * signs[i]
@@ -164,13 +171,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         F.min_by("found", F.struct(F.xxhash64("found"), "found")).alias("found"))
     # At most ``sample_bound`` rows of each label are left here.
     reached = F.sum(F.octet_length("found") + 64).over(Window.partitionBy("label").orderBy(F.xxhash64("key"), "key"))
-    drawn = found.withColumn("reached", reached).where(F.col("reached") <= sample_bytes // 2).drop("reached").toArrow()
+    # In many pieces: else two tasks would each send the driver half of all features as one result.
+    drawn = found.withColumn("reached", reached).where(F.col("reached") <= sample_bytes // 2).drop("reached").repartition(PIECES, "key").toArrow()
+    give_back()
     totals = {row.label: row["count"] for row in known.groupBy("label").count().collect()}
-    order = sorted(range(drawn.num_rows), key=lambda row: (str(drawn.column("key")[row].as_py()), drawn.column("found")[row].as_py()))
-    found = [np.frombuffer(drawn.column("found")[row].as_py(), "<u4").astype(np.int64) for row in order]
+    # Each key is there once.
+    order = sorted(range(drawn.num_rows), key=lambda row: str(drawn.column("key")[row].as_py()))
+    found = [held(drawn.column("found")[row]) for row in order]
     own = np.array([drawn.column("label")[row].as_py() for row in order], np.int64)
     model = fit(found, own, bits, **options)
     drawn_odds = np.count_nonzero(own == 1) + 1, np.count_nonzero(own == 0) + 1
+    # What training took would else stay with the driver beside all that comes later.
+    del drawn, found
+    give_back()
     shift = np.log((totals.get(1, 0) + 1) / (totals.get(0, 0) + 1)) - np.log(drawn_odds[0] / drawn_odds[1])
     return replace(model, offset=float(model.offset + shift))
 
