@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm.common import documents, frugal, prepare
-from tickloom.llm.wordbpe import word_bpe
+from tickloom.llm.wordbpe import TABLE_BYTES, word_bpe
 
 
 #: Bytes of a batch of pieces, which the task holds and, as it reads it, the JVM; and of a piece besides its ids.
@@ -115,14 +115,14 @@ class Packer:
 
 
 def pack(docs: DataFrame, definition: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1,
-         capacity: int = 2048, pool_tokens: int = 1 << 22, cost: Cost = Cost(), pool_documents: int = 1 << 16) -> DataFrame:
+         capacity: int = 2048, pool_tokens: int = 1 << 22, cost: Cost = Cost(), pool_documents: int = 1 << 16, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """Pieces of documents in sequences of at most ``capacity`` tokens, balanced by estimated attention cost.
 
     ``definition`` is the JSON text of a word-wise tokenizer; it travels with
     the tasks. Each task tokenizes its own rows and packs about
     ``pool_tokens`` tokens, of ``pool_documents`` documents at most, at a time,
     so nothing is shuffled, memory is bounded whatever the input, and at most
-    one sequence of each pool is short. Sequence numbers are the task's number, then a count.
+    one sequence of each pool is short. Words seen are kept in about ``table_bytes``. Sequence numbers are the task's number, then a count.
 
     Returns (id, start, length, ids as little-endian unsigned 32-bit binary,
     doc_tokens, sequence_id, offset, padded_length). Null and empty texts are
@@ -142,9 +142,11 @@ def pack(docs: DataFrame, definition: str, id_col: str = "doc_id", text_col: str
         def pieces() -> Iterator[tuple]:
             encoder = None
             for key, data in documents(batches):
-                encoder = encoder or word_bpe(holder.value)
+                encoder = encoder or word_bpe(holder.value, table_bytes)
                 yield from packer.add(key, encoder.ids(data) + tail)
             yield from packer.flush()
+            if encoder:
+                encoder.rest()
 
         yield from batches_of(pieces())
 

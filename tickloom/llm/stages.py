@@ -16,6 +16,9 @@ SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 #: Bytes of the batches that go to Python workers and back: whole documents pass there, several columns of them, in both processes.
 ARROW_BYTES = 2 << 20
 
+#: Bytes of the words that a packing worker keeps: less than by default, since memory of earlier stages lies beside them.
+TABLE_BYTES = 56 << 20
+
 
 def small_batches(spark: SparkSession) -> None:
     """Bounds the batches of Python workers by bytes, from now on: a stage's rows are made only when its caller writes them."""
@@ -94,4 +97,4 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     gives none.
     """
     small_batches(spark)
-    return packing.pack(docs, tokenizer_text())
+    return packing.pack(docs, tokenizer_text(), table_bytes=TABLE_BYTES)

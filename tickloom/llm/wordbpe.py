@@ -29,13 +29,21 @@ def byte_letters() -> dict[int, int]:
     return {byte: byte for byte in own} | {byte: 0x100 + place for place, byte in enumerate(rest)}
 
 
+#: Estimated bytes of an encoder's tables: smaller ones take more time, as words are encoded again.
+TABLE_BYTES = 168 << 20
+#: Estimated bytes of tables that a worker keeps between tasks.
+KEPT_BYTES = 64 << 20
+
+
 class WordBpe:
     """``ids(data)`` gives the ids of a UTF-8 text as little-endian unsigned 32-bit."""
 
-    #: Estimated bytes of the tables of words and of their pieces, after which each starts anew, and of an entry besides its key and ids.
-    LIMIT, PARTS, ENTRY = 16 << 20, 40 << 20, 128
+    #: Estimated bytes of a table's entry besides its key and ids.
+    ENTRY = 128
 
-    def __init__(self, definition: str) -> None:
+    def __init__(self, definition: str, table_bytes: int = TABLE_BYTES) -> None:
+        # Of words and of their pieces; beyond them a table starts anew.
+        self.LIMIT, self.PARTS = table_bytes * 2 // 7, table_bytes * 5 // 7
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -58,6 +66,12 @@ class WordBpe:
         self.parts: dict[str, bytes] = {"\n": MARK}
         self.part_bytes = 0
 
+    def rest(self) -> None:
+        """At a task's end: an idle worker, of which there may be more than cores, keeps small tables only."""
+        if self.word_bytes + self.part_bytes > KEPT_BYTES:
+            self.forget_words()
+            self.forget_parts()
+
     def ids(self, data: bytes) -> bytes:
         words = data.split()
         new = {word for word in words if word not in self.words}
@@ -107,13 +121,13 @@ def _packed(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
 
-_READY: dict[int, WordBpe] = {}
+_READY: dict[tuple[int, int], WordBpe] = {}
 
 
-def word_bpe(definition: str) -> WordBpe:
+def word_bpe(definition: str, table_bytes: int = TABLE_BYTES) -> WordBpe:
     """The encoder of a definition; a worker process keeps it, with its words, from task to task."""
-    key = hash(definition)
+    key = hash(definition), table_bytes
     if key not in _READY:
         _READY.clear()
-        _READY[key] = WordBpe(definition)
+        _READY[key] = WordBpe(definition, table_bytes)
     return _READY[key]
