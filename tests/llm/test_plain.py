@@ -8,11 +8,12 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from tickloom.llm import attribution, common, near_vectors, packing, personal_data, quality, repeated_passages, shingle_join
 from tickloom.llm.common import word_hashes
-from tickloom.llm.wordbpe import WordBpe
+from tickloom.llm.wordbpe import ALPHABET, WordBpe, spelled_out
 
 ODD = ["", " ", "a", "\xa0é\x1cÉ x\x85y", "İstanbul ΣΑΣ ﬁ e\u0301", "don't STOP 12½ ²³ _x_ !!", "<|endoftext|> x<|startoftext|>", "日本語 text", "\t\n\x0b\x0c\r", "a" * 5000]
 
@@ -75,6 +76,54 @@ def test_the_encoder_s_tables_are_bounded_by_bytes(definition):
     assert most < (1 << 18) + 400_000
 
 
+def test_new_pieces_of_many_texts_take_few_calls(definition):
+    whole, own = Tokenizer.from_str(definition), WordBpe(definition)
+    calls, model = [], own.bare
+
+    class Counted:
+        def encode_batch_fast(self, texts, **kinds):
+            calls.append(len(texts))
+            return model.encode_batch_fast(texts, **kinds)
+
+    own.bare = Counted()
+    draw = random.Random(11)
+    texts = ["".join(draw.choices("abcdeéñA'1. \n", k=draw.randint(0, 60))) for _ in range(3000)] + ODD
+    found = [*own.each((key, text.encode()) for key, text in enumerate(texts))]
+    assert [key for key, _ in found] == [*range(len(texts))]
+    for (_, ids), text in zip(found, texts, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+    # Every text has new words: by text, there were some 2,700 calls, one result for each piece.
+    assert sum(calls) <= 8
+
+
+def test_texts_encode_alike_however_they_are_cut(definition, monkeypatch):
+    whole = Tokenizer.from_str(definition)
+    texts = ["", "a" * 99, *ODD, "one two " * 40, " ", " x" * 60 + " ", ""]
+    for size in (1, 30, 64, 500):
+        monkeypatch.setattr("tickloom.llm.wordbpe.STRETCH", size)
+        found = [*WordBpe(definition).each((key, text.encode()) for key, text in enumerate(texts))]
+        assert [key for key, _ in found] == [*range(len(texts))]
+        assert [np.frombuffer(ids, "<u4").tolist() for _, ids in found] == [whole.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [*WordBpe(definition).each(iter([]))] == []
+
+
+def test_pieces_without_marked_ends_are_encoded_one_by_one(definition):
+    own, wanted = WordBpe(definition), WordBpe(definition)
+    own.end = None
+    text = "one twó thrée 12 </w> <</w>> x</w>y".encode()
+    assert own.ids(text) == wanted.ids(text)
+    assert wanted.encoded(["ab</w>c", "d"])[0] == own.encoded(["ab</w>c", "d"])[0]
+
+
+def test_listed_letters_match_as_their_classes():
+    pattern = r"'s|'ll|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    draw = random.Random(5)
+    lines = "".join(ALPHABET) + "\n" + "\n".join("".join(draw.choices([*ALPHABET, "'", "s", "l", "1"], k=20)) for _ in range(2000))
+    assert spelled_out(pattern).findall(lines) == regex.findall(f"\n|{pattern}", lines)
+    # Classes that it does not list stay as they are.
+    assert spelled_out(r"\p{Lu}+|.").findall("ABc") == ["AB", "c"]
+
+
 def test_pieces_leave_in_small_batches():
     pieces = [(pa.scalar(1), 0, 4, b"1234", 1, 0, 0, 2048)] * 50_000 + [(pa.scalar(None, pa.int64()), 0, 2048, bytes(8192), 2048, 1, 0, 2048)] * 600
     found = [*packing.batches_of(iter(pieces))]

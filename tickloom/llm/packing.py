@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -140,12 +141,13 @@ def pack(docs: DataFrame, definition: str, id_col: str = "doc_id", text_col: str
         packer = Packer(capacity, pool_tokens, cost, TaskContext.get().partitionId() << 33, pool_documents)
 
         def pieces() -> Iterator[tuple]:
-            encoder = None
-            for key, data in documents(batches):
-                encoder = encoder or word_bpe(holder.value, table_bytes)
-                yield from packer.add(key, encoder.ids(data) + tail)
-            yield from packer.flush()
-            if encoder:
+            rows = documents(batches)
+            first = next(rows, None)
+            if first:
+                encoder = word_bpe(holder.value, table_bytes)
+                for key, ids in encoder.each(chain([first], rows)):
+                    yield from packer.add(key, ids + tail)
+                yield from packer.flush()
                 encoder.rest()
 
         yield from batches_of(pieces())
