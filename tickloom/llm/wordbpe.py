@@ -43,7 +43,7 @@ def spelled_out(pattern: str) -> re.Pattern | regex.Pattern:
     return regex.compile(f"\n|{pattern}") if r"\p" in listed else re.compile(f"\n|{listed}")
 
 
-#: Bytes of text whose words are told apart at a time; a longer text is cut at white space.
+#: Bytes of text, at most, whose words are told apart at a time (less with small tables); a longer text is cut at white space.
 STRETCH = 1 << 22
 #: Bytes that a text counts besides its own.
 TEXT = 64
@@ -65,6 +65,7 @@ class WordBpe:
     def __init__(self, definition: str, table_bytes: int = TABLE_BYTES) -> None:
         # Of words that are not plain, and of the pieces of plain ones; beyond them a table starts anew.
         self.LIMIT, self.PARTS = table_bytes * 2 // 7, table_bytes * 5 // 7
+        self.stretch = min(STRETCH, table_bytes // 42)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -99,19 +100,19 @@ class WordBpe:
             self.forget_parts()
 
     def ids(self, data: bytes) -> bytes:
-        return b"".join(self._stretch([part])[0] for part in pieces(data, STRETCH))
+        return b"".join(self._stretch([part])[0] for part in pieces(data, self.stretch))
 
     def each(self, texts: Iterator[tuple[object, bytes]]) -> Iterator[tuple[object, bytes]]:
         """Keys and ids of keys and texts, in the same order."""
         held, size = [], 0
         for key, data in texts:
-            if len(data) < STRETCH:
+            if len(data) < self.stretch:
                 held.append((key, data))
                 size += len(data) + TEXT
-            if held and (size >= STRETCH or len(data) >= STRETCH):
+            if held and (size >= self.stretch or len(data) >= self.stretch):
                 yield from self._held(held)
                 held, size = [], 0
-            if len(data) >= STRETCH:
+            if len(data) >= self.stretch:
                 yield key, self.ids(data)
         if held:
             yield from self._held(held)
